@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from dataclasses import dataclass, field
+from string import punctuation
 
 import pandas as pd
 import regex
@@ -101,7 +103,7 @@ class WordBPE:
     """
 
     content: str
-    cached: int = 1 << 17
+    cached: int = 1 << 18
     vocab: dict[str, int] = field(init=False)
 
     def __post_init__(self):
@@ -112,6 +114,7 @@ class WordBPE:
             raise ValueError("not a word-end BPE file of the kind that is supported")
         self.vocab, self.end = model["vocab"], model["end_of_word_suffix"]
         self.names = {i: t for t, i in self.vocab.items()} | {x["id"]: x["content"] for x in file["added_tokens"]}
+        self.digits = {i: str(i) for i in self.names}
         self.ranks = {}
         for rank, (a, b) in enumerate(model["merges"]):
             self.ranks[self.vocab[a], self.vocab[b]] = rank, self.vocab[a + b]
@@ -121,41 +124,55 @@ class WordBPE:
         self.words = regex.compile(file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.added = {x["content"]: x["id"] for x in file["added_tokens"]}
         self.added_pattern = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.added, key=len, reverse=True)) + ")")
-        self.of_word = Memo(self.encode_word, self.cached)
+        self.added_heads = {x[0] for x in self.added}
+        self.type = "H" if max(self.names) < 1 << 16 else "I"
+        # bytes, as lists of numbers take several times the memory
+        self.of_word = Memo(self.encode_word, self.cached * 3 // 2)
         self.of_piece = Memo(self.encode_piece, self.cached)
 
-    def encode_word(self, word: str) -> list[int]:
+    def encode_word(self, word: str) -> bytes:
         raw = word.encode("utf-8", "surrogatepass")
         ids = [self.byte_ids[b] for b in raw]
         ids[-1] = self.end_ids[raw[-1]]
-        return merge(ids, self.ranks)
-
-    def encode_piece(self, piece: str) -> tuple[int, str, str]:
-        """Of a piece without white space: the number of ids, the ids and the tokens, each with a blank between."""
-        ids: list[int] = []
+        return array(self.type, merge(ids, self.ranks)).tobytes()
+
+    def encode_piece(self, piece: str) -> bytes:
+        """The ids of a piece without white space."""
+        if piece.isascii() and not any(h in piece for h in self.added_heads):
+            text = piece.lower()
+            word = text.rstrip(punctuation)
+            if word.isalpha():  # letters, then marks: two words at most
+                return self.of_word[word] + self.of_word[text[len(word) :]] if word != text else self.of_word[word]
+        out = []
         for part in self.added_pattern.split(piece):
             if part in self.added:
-                ids.append(self.added[part])
+                out.append(array(self.type, [self.added[part]]).tobytes())
             elif part:
                 # lower case by single characters, without the form of sigma at a word's end
                 text = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                for word in self.words.findall(text):
-                    ids += self.of_word[word]
-        return len(ids), " ".join(map(str, ids)), " ".join(map(self.names.__getitem__, ids))
-
-    def encode_text(self, text: str) -> tuple[int, str, str]:
-        """The number of ids of a whole text, the ids and the decoded text. White space only separates, so pieces are encoded alone."""
-        if (pieces := text.split()) and any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            pieces = regex.findall(r"[^\p{White_Space}]+", text)  # str.split() also splits at these four
-        found = [x for x in map(self.of_piece.__getitem__, pieces) if x[0]]
-        return sum(x[0] for x in found), " ".join([x[1] for x in found]), " ".join([x[2] for x in found])
+                out += map(self.of_word.__getitem__, self.words.findall(text))
+        return b"".join(out)
 
     def encode(self, text: str) -> list[int]:
-        return [int(x) for x in self.encode_text(text)[1].split()]
+        """The ids of a whole text. White space only separates words, so the pieces between are encoded alone."""
+        pieces = text.split()
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # str.split() also splits at these four
+            pieces = regex.findall(r"[^\p{White_Space}]+", text)
+        ids = array(self.type)
+        ids.frombytes(b"".join(map(self.of_piece.__getitem__, pieces)))
+        return ids.tolist()
 
     def decode(self, ids: list[int]) -> str:
         """Tokens with a blank between, as the file names no decoder; ids that it doesn't have are left out."""
-        return " ".join(self.names[i] for i in ids if i in self.names)
+        try:
+            return " ".join(map(self.names.__getitem__, ids))
+        except KeyError:
+            return " ".join(self.names[i] for i in ids if i in self.names)
+
+    def encode_text(self, text: str) -> tuple[int, str, str]:
+        """The number of ids of a whole text, the ids and the decoded text."""
+        ids = self.encode(text)
+        return len(ids), " ".join(map(self.digits.__getitem__, ids)), self.decode(ids)
 
 
 _own: dict[str, WordBPE] = {}

@@ -19,6 +19,8 @@ BLOCK = 1 << 20
 #: Distinct words gathered before their n-grams are counted.
 WORDS = 1 << 17
 UNKNOWN = "und"
+#: No letter, and not 0, so that codes of n-grams of different lengths differ.
+BLANK = 1
 
 
 @lru_cache(1)
@@ -28,19 +30,19 @@ def letters() -> np.ndarray:
 
 
 def codes(text: str) -> np.ndarray:
-    """Code points of the lower-case text with each run of other characters than letters as one 0, also at both ends."""
+    """Code points of the lower-case text with each run of other characters than letters as one ``BLANK``, also at both ends."""
     raw = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    raw = np.concatenate(([0], np.where(letters()[raw], raw, 0), [0]))
+    raw = np.concatenate(([BLANK], np.where(letters()[raw], raw, BLANK), [BLANK]))
     keep = np.ones(len(raw), bool)
-    keep[1:] = (raw[1:] != 0) | (raw[:-1] != 0)
+    keep[1:] = (raw[1:] != BLANK) | (raw[:-1] != BLANK)
     return raw[keep]
 
 
 def grams(c: np.ndarray) -> np.ndarray:
     """Codes of the n-grams inside single words, where a word is padded with a blank on both sides."""
-    one = c[c != 0]
+    one = c[c != BLANK]
     two = (c[:-1] << 21) | c[1:]
-    mid = (c[1:-1] != 0) & ((c[:-2] != 0) | (c[2:] != 0))
+    mid = c[1:-1] != BLANK
     three = ((c[:-2] << 42) | (c[1:-1] << 21) | c[2:])[mid]
     return np.concatenate((one, two, three)) if len(c) > 1 else one
 

@@ -44,14 +44,14 @@ def source_table(sized: DataFrame, weights: Sequence[float]) -> DataFrame:
     return table.withColumn("weight", F.element_at(F.lit(list(weights)), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int")))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_epochs: float = 3.0, seed: int = 5) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_epochs: float = 3.0, seed: int = 5, rounds: int = 3) -> DataFrame:
     """``(row, doc_id, source, size, source_size, target, copies)`` for each row of ``docs``.
 
-    Each source is repeated as a whole ``floor(target / source_size)`` times. Its fractional repetition takes documents
-    in a seeded order while they fit, then tops up twice with the document, among those left, whose size is
-    nearest to what is missing. ``copies`` counts both and never is above ``ceil(max_epochs)``. ``row`` is a hash of id and text:
-    rows equal in both share it. Null and empty texts have size 0 and are taken with the whole repetitions only.
-    An empty table gives an empty result. Other columns are ignored.
+    Each source is repeated as a whole ``floor(target / source_size)`` times. Its fractional repetition takes documents in a
+    seeded order while they fit. Each further round does so among those left that fit in what is missing; then the
+    one whose size is nearest to what is still missing is taken, if that helps. ``copies`` counts all and never is
+    above ``ceil(max_epochs)``. ``row`` is a hash of id and text: rows equal in both share it. Null and empty texts have size 0 and
+    are taken with the whole repetitions only. An empty table gives an empty result. Other columns are ignored.
     """
     text = F.coalesce("text", F.lit(""))
     sized = docs.select("doc_id", "source", n_words("text").alias("size"), F.xxhash64(F.lit(seed), "doc_id", text).alias("row"))
@@ -62,40 +62,45 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_epochs:
     # floating-point noise under a whole number of repetitions must not become a fraction
     whole = F.floor(rate + 1e-9)
     need = F.greatest(F.col("target") - whole * F.col("source_size"), F.lit(0.0))
-    same = lambda other: sized["source"].eqNullSafe(other["source"])
-    rows = sized.withColumn("slice", F.pmod(F.col("row"), F.lit(SLICES)).cast("int"))
+    plan = sources.select(F.col("source").alias("of"), "source_size", "target", whole.cast("int").alias("whole"), need.alias("need"))
+    rows = sized.join(plan, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    rows = rows.withColumns({"slice": F.pmod(F.col("row"), F.lit(SLICES)).cast("int"), "extra": F.lit(False)})
+    for k in range(rounds):
+        rows = stash(fill(missing_of(rows)), f"round-{k}")
+    rows = top_up(missing_of(rows))
+    return rows.select("row", "doc_id", "source", "size", "source_size", "target", (F.col("whole") + F.col("extra").cast("int")).alias("copies"))
+
+
+def missing_of(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``missing``: what their source's fractional repetition still lacks."""
+    had = rows.groupBy(F.col("source").alias("of")).agg(F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("had"))
+    joined = rows.join(stash(had, "had"), F.col("source").eqNullSafe(F.col("of")))
+    return joined.withColumn("missing", F.col("need") - F.col("had")).drop("of", "had")
 
-    slices = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
-    before = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+
+def fill(rows: DataFrame) -> DataFrame:
+    """Each source takes rows that fit in what is missing, in the seeded order, up to the first that no longer does."""
+    fits = ~F.col("extra") & (F.col("size") > 0) & (F.col("size") <= F.col("missing"))
+    rows = rows.withColumn("part", F.when(fits, F.col("size")).otherwise(0))
+    slices = rows.groupBy(F.col("source").alias("of"), F.col("slice").alias("at")).agg(F.sum("part").alias("slice_size"))
+    before = Window.partitionBy("of").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("start", F.coalesce(F.sum("slice_size").over(before), F.lit(0)))
     inside = Window.partitionBy("source", "slice").orderBy("row", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("end", F.sum("size").over(inside)).withColumnRenamed("source", "own").withColumnRenamed("slice", "own_slice")
-    rows = rows.join(slices, F.col("own").eqNullSafe(F.col("source")) & (F.col("own_slice") == F.col("slice"))).drop("own", "own_slice")
-    rows = rows.withColumn("end", F.col("end") + F.col("start")).select("row", "doc_id", "source", "size", "end")
-
-    plan = sources.select("source", "source_size", "target", whole.cast("int").alias("whole"), need.alias("need"))
-    plan = plan.withColumnRenamed("source", "of")
-    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    rows = rows.withColumn("extra", (F.col("size") > 0) & (F.col("end") <= F.col("need")))
-    rows = stash(rows, "fractions")
-    for _ in range(2):
-        rows = top_up(rows)
-    return rows.select("row", "doc_id", "source", "size", "source_size", "target", (F.col("whole") + F.col("extra").cast("int")).alias("copies"))
+    out = rows.withColumn("end", F.sum("part").over(inside))
+    out = out.join(slices, F.col("source").eqNullSafe(F.col("of")) & (F.col("slice") == F.col("at")))
+    taken = (F.col("part") > 0) & (F.col("start") + F.col("end") <= F.col("missing"))
+    return out.withColumn("extra", F.col("extra") | taken).select(*(c for c in rows.columns if c not in ("part", "missing")))
 
 
 def top_up(rows: DataFrame) -> DataFrame:
     """Each source also takes the row, among those left, whose size is nearest to what is missing, if that helps."""
-    had = rows.groupBy("source").agg(F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("had"))
-    had = stash(had.withColumnRenamed("source", "of"), "had")
-    missing = rows.join(had, F.col("source").eqNullSafe(F.col("of"))).withColumn("missing", F.col("need") - F.col("had"))
     off = F.abs(F.col("missing") - F.col("size"))
     usable = ~F.col("extra") & (F.col("size") > 0) & (off < F.col("missing"))
-    best = missing.filter(usable).groupBy("source").agg(F.min(F.struct(off.alias("off"), "row", "doc_id")).alias("best"))
-    best = stash(best.select(F.col("source").alias("of"), "best.row", "best.doc_id"), "top-up").toDF("of", "row_of", "id_of")
-    hit = F.col("source").eqNullSafe(F.col("of"))
-    out = rows.join(best, hit, "left")
+    best = rows.filter(usable).groupBy("source").agg(F.min(F.struct(off.alias("off"), "row", "doc_id")).alias("best"))
+    best = stash(best.select(F.col("source").alias("of"), F.col("best.row").alias("row_of"), F.col("best.doc_id").alias("id_of")), "top-up")
+    out = rows.join(best, F.col("source").eqNullSafe(F.col("of")), "left")
+    # rows that are equal in id and text can't be told apart: they are taken together
     one = F.col("row").eqNullSafe(F.col("row_of")) & F.col("doc_id").eqNullSafe(F.col("id_of")) & F.col("row_of").isNotNull()
-    # rows that are equal in id and text can't be told apart, so none of them is a single top-up
     return out.withColumn("extra", F.col("extra") | one).drop("of", "row_of", "id_of")
 
 

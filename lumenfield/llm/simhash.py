@@ -274,7 +274,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     fps = stash(fps.withColumnRenamed("doc_id", "id"), "fingerprints")
     classes = near_classes(fps, similarity_radius(similarity, bits), sampled_keys(bits, width, tables))
     drop = fps.join(classes.select("fp", "component"), "fp").filter("id != component").select("id", "text_hash").distinct()
-    kept = docs.join(stash(drop, "dropped"), (docs.doc_id == F.col("id")) & (text_hash == F.col("text_hash")), "left_anti")
+    drop = stash(drop.toDF("__id", "__hash"), "dropped")
+    kept = docs.join(drop, (F.col("doc_id") == F.col("__id")) & (text_hash == F.col("__hash")), "left_anti")
     if not fps.groupBy("id", "text_hash").count().filter("count > 1").isEmpty():
         key = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
         kept = kept.withColumns({"__key": key, "__text": text_hash}).dropDuplicates(["doc_id", "__text", "__key"])
