@@ -15,6 +15,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,7 @@ def load(content: str):
     return Tokenizer.from_str(content)
 
 
-def encoder(content: str, width: str, cached: int = 1 << 18):
+def encoder(content: str, width: str, cached: int = 1 << 19):
     """A function from a text to its ids as bytes, the same as the tokenizer gives for the whole text.
 
     A byte-level pre-tokenizer never joins characters over the border before a single blank that stands between other
@@ -54,7 +55,16 @@ def encoder(content: str, width: str, cached: int = 1 << 18):
     whole = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, width).tobytes()
     if kind != ("ByteLevel", None) or "ByteLevel(add_prefix_space=False" not in repr(tokenizer.pre_tokenizer):
         return whole
-    pieces = Memo(lambda piece: whole(" " + piece), cached)
+    tails = Memo(whole, 1 << 12)
+
+    def make(piece: str) -> bytes:
+        """Letters and the marks after them are two words of the pre-tokenizer, so marks don't multiply what the tokenizer is asked."""
+        word = piece.rstrip(punctuation)
+        if word != piece and word.isalpha():
+            return pieces[word] + tails[piece[len(word) :]]
+        return whole(" " + piece)
+
+    pieces = Memo(make, cached)
 
     def encode(text: str) -> bytes:
         parts = text.split(" ")
@@ -88,8 +98,9 @@ def id_type(tokenizer, end_id: int) -> str:
 
 def train_dictionary(docs: DataFrame, content: str, width: str) -> bytes:
     """A dictionary from the ids of a seeded, bounded sample of short documents; empty if there are too few."""
-    short = docs.filter(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", "text")
-    texts = [r["text"] for r in sample_of(short, "doc_id", SAMPLE_ROWS).collect()]
+    short = docs.filter(F.length("text").between(1, SAMPLE_CHARS) & F.col("doc_id").isNotNull())
+    chosen = F.broadcast(sample_of(short.select("doc_id"), "doc_id", SAMPLE_ROWS))  # so many ids at most
+    texts = [r["text"] for r in short.join(chosen, "doc_id", "left_semi").select("doc_id", "text").orderBy("doc_id", "text").limit(SAMPLE_ROWS).collect()]
     encode = encoder(content, width)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [encode(t) for t in texts]).as_bytes() if len(texts) > 50 else b""
