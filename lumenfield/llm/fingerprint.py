@@ -1,7 +1,7 @@
 """Document fingerprints as a homomorphic multiset hash of paragraphs.
 
-A document is the multiset of its passages: lines, cut after sentence ends, as one change should leave the rest of a long
-paragraph as it was. Each passage is hashed to a wide vector, and a fingerprint is the sum of its passages' vectors, so the
+A document is the multiset of its passages: lines, where long ones are cut after sentence ends (or, without any, after words
+picked by a hash), as one change should leave the rest of a long paragraph as it was. Each passage is hashed to a wide vector, and a fingerprint is the sum of its passages' vectors, so the
 order doesn't matter and passages can be added to or taken from a fingerprint without the others. Lanes are
 
     1 lane modulo 2**32: the number of passages
@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,23 @@ BLOCK = 1 << 15
 
 def passages(text: str) -> Iterator[str]:
     for line in text.split("\n"):
-        yield from SENTENCE_END.split(line) if len(line) > 80 else (line,)
+        if len(line) <= 80:
+            yield line
+            continue
+        for part in SENTENCE_END.split(line):
+            yield from (part,) if len(part) <= 240 else cut_at_words(part)
+
+
+def cut_at_words(part: str) -> Iterator[str]:
+    """Cuts a long passage without a sentence's end after words that a hash picks, one in eight, so cuts move with the text."""
+    held = []
+    for w in part.split(" "):
+        held.append(w)
+        if crc32(w.encode("utf-8", "surrogatepass")) & 7 == 0:
+            yield " ".join(held)
+            held = []
+    if held:
+        yield " ".join(held)
 
 
 def vector(parts: Iterable[str]) -> np.ndarray:

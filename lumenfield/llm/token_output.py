@@ -44,8 +44,9 @@ def load(content: str):
     return Tokenizer.from_str(content)
 
 
+@lru_cache(2)
 def encoder(content: str, width: str, cached: int = 1 << 19):
-    """A function from a text to its ids as bytes, the same as the tokenizer gives for the whole text.
+    """A function from a text to its ids as bytes, the same as the tokenizer gives for the whole text. It stays for the worker's next tasks.
 
     A byte-level pre-tokenizer never joins characters over the border before a single blank that stands between other
     characters than white space, so the pieces between such blanks can be encoded, and remembered, alone.
