@@ -32,7 +32,7 @@ SEED = 42
 BLOCK = 1 << 15
 
 
-def shingle_hashes(text: str, shingle: int, start: int, words: list[bytes]) -> np.ndarray:
+def shingle_hashes(shingle: int, start: int, words: list[bytes]) -> np.ndarray:
     """XXH64 (seed 42) of shingles ``start`` to ``start + BLOCK`` of ``words``."""
     own = words[start : start + BLOCK + shingle - 1]
     joined = map(b" ".join, zip(*(own[i:] for i in range(shingle)))) if len(own) >= shingle else [b" ".join(own)]
@@ -63,24 +63,28 @@ def set_bits(h: np.ndarray) -> np.ndarray:
     return total
 
 
-def fingerprint(text: str | None, shingle: int, bits: int) -> bytes:
+def fingerprint(text: str | None, shingle: int, bits: int, distinct: bool = False) -> bytes:
+    """The bits that are set in over half of the hashes of the text's shingles, or of its distinct shingles."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
         return bytes(bits // 8)
     total, n = np.zeros(bits, np.int64), 0
-    for start in range(0, max(1, len(words) - shingle + 1), BLOCK):
-        h = shingle_hashes(text, shingle, start, words)
+    blocks = (shingle_hashes(shingle, start, words) for start in range(0, max(1, len(words) - shingle + 1), BLOCK))
+    if distinct:
+        every = np.unique(np.concatenate(list(blocks)))
+        blocks = (every[i : i + BLOCK] for i in range(0, len(every), BLOCK))
+    for h in blocks:
         total += set_bits(widen(h, bits))
         n += len(h)
     return np.packbits(2 * total > n).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, bits: int = 64, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 3, bits: int = 64, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = (), distinct: bool = False) -> DataFrame:
     """``(id_col, *keep, fp)``; ``fp`` is binary of ``bits`` bits. A null or blank text has the fingerprint zero."""
 
     @F.pandas_udf("binary")
     def fp(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle, bits) for t in texts], dtype=object)
+        return pd.Series([fingerprint(t, shingle, bits, distinct) for t in texts], dtype=object)
 
     return docs.select(F.col(id_col), *keep, fp(F.col(text_col)).alias("fp"))
 
@@ -263,14 +267,14 @@ def similarity_radius(similarity: float, bits: int) -> int:
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 512, width: int = 20, tables: int = 64) -> DataFrame:
     """``docs`` with one row (the smallest ``doc_id``) of each class of near-duplicates.
 
-    Texts are near-duplicates if wide SimHash fingerprints of their ``shingle``-word shingles differ in no more
+    Texts are near-duplicates if wide SimHash fingerprints of their distinct ``shingle``-word shingles differ in no more
     bits than a Jaccard similarity of ``similarity`` gives on average. Rows without a ``doc_id`` and texts
     without a word are no copies of anything and stay. Rows equal in ``doc_id`` and text count as one row;
     different texts under one ``doc_id`` are not compared with each other.
     """
     text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
     worded = docs.filter(F.regexp_like(F.coalesce("text", F.lit("")), F.lit(WORD)) & F.col("doc_id").isNotNull())
-    fps = fingerprints(worded.select("doc_id", "text", text_hash.alias("text_hash")), shingle, bits, keep=["text_hash"])
+    fps = fingerprints(worded.select("doc_id", "text", text_hash.alias("text_hash")), shingle, bits, keep=["text_hash"], distinct=True)
     fps = stash(fps.withColumnRenamed("doc_id", "id"), "fingerprints")
     classes = near_classes(fps, similarity_radius(similarity, bits), sampled_keys(bits, width, tables))
     drop = fps.join(classes.select("fp", "component"), "fp").filter("id != component").select("id", "text_hash").distinct()
