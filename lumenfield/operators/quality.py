@@ -123,3 +123,11 @@ def missing_parts(provinces: DataFrame, annual: DataFrame, day: DataFrame, econo
         seen = part.select("province_code").distinct().withColumn(f"has_{name}", F.lit(True))
         out = out.join(seen, "province_code", "left")
     return out.select("province_code", *(F.col(f"has_{n}").isNull().alias(f"missing_{n}") for n in ("light", "day", "economy")))
+
+
+def economy_warnings(economy: DataFrame) -> DataFrame:
+    """One row: what a view of these economy rows has to say about simulated figures and prices."""
+    fake, state = simulated_labels(economy), price_basis_state(economy)
+    prices = F.when(F.col("constant_prices").isNull(), "It is not known whether GRDP is in constant or current prices.").when(~F.col("constant_prices"), "GRDP is in current prices, so the elasticity holds inflation too.")
+    said = F.array_compact(F.array(F.when(F.size("simulated_labels") > 0, SIMULATED_WARNING), prices))
+    return fake.crossJoin(F.broadcast(state)).select(said.alias("warnings"), "simulated_labels", "constant_prices")  # one row each

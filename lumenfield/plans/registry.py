@@ -381,3 +381,56 @@ def grdp_change(spark, d):
     from lumenfield.functions.columns import at_offset
 
     return A.economy(spark, d).select("province_code", "year", pct("grdp", at_offset("grdp", ["province_code"], "year", -1)).alias("grdp_change_pct"))
+
+
+def squares(spark, d, size):
+    """A square ring for each nation, on a 64 x 64 grid of unit cells whose upper left corner is at (0, 64)."""
+    x, y = F.col("n_nationkey") % 5 * 12 + 0.3, F.floor(F.col("n_nationkey") / 5) * 12 + 0.3
+    point = lambda a, b: F.struct(a.cast("double").alias("x"), b.cast("double").alias("y"))
+    ring = F.array(point(x, y), point(x + size, y), point(x + size, y + size), point(x, y + size))
+    return A.table(spark, d, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("province_code"), ring.alias("ring"))
+
+
+def grid(spark, d, size):
+    return raster.assign_province(raster.edges(squares(spark, d, size)), 0.0, 64.0, 1.0, 64, 64)
+
+
+SQUARES = """cells AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, r AS "row", c AS col FROM nation CROSS JOIN range(64) a(r) CROSS JOIN range(64) b(c)
+    WHERE c + 0.5 >= n_nationkey % 5 * 12 + 0.3 AND c + 0.5 < n_nationkey % 5 * 12 + 0.3 + {size} AND 64 - (r + 0.5) >= n_nationkey // 5 * 12 + 0.3 AND 64 - (r + 0.5) < n_nationkey // 5 * 12 + 0.3 + {size})"""
+
+
+@query(f"""{S.PIXELS}, {SQUARES.format(size=10)} SELECT code AS province_code, year, count(*) AS pixels, sum(radiation) FILTER (mask) AS sol_raw
+    FROM pixel JOIN cells ON cells."row" = pixel."row" AND cells.col = pixel.col WHERE source = 'VIIRS' GROUP BY ALL""")
+def clip_pixels(spark, d):
+    """Light of the cells inside each square, whatever province the pixels came with."""
+    from lumenfield.functions.columns import is_valid
+
+    rows = raster.clip(A.pixels(spark, d).filter("source = 'VIIRS'").drop("province_code"), grid(spark, d, 10))
+    return rows.groupBy("province_code", "year").agg(F.count("*").alias("pixels"), F.sum(F.when(is_valid(), F.col("radiation"))).alias("sol_raw"))
+
+
+@query(f"""WITH {SQUARES.format(size=13.2)} SELECT a.code AS code_a, b.code AS code_b, count(*) AS cells, CAST(count(*) AS DOUBLE) AS area_km2
+    FROM cells a JOIN cells b ON a."row" = b."row" AND a.col = b.col AND a.code < b.code GROUP BY ALL""")
+def overlap_audit(spark, d):
+    cells = grid(spark, d, 13.2)
+    return raster.overlap_audit(cells, cells.select("row", "col").distinct().withColumn("pixel_area_km2", F.lit(1.0)))
+
+
+@query("""SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS province_code, n_nationkey % 5 * 12 + 0.3::DOUBLE AS west, n_nationkey // 5 * 12 + 0.3::DOUBLE AS south,
+    n_nationkey % 5 * 12 + 0.3::DOUBLE + 10 AS east, n_nationkey // 5 * 12 + 0.3::DOUBLE + 10 AS north, 1 AS rings, 4 AS vertices FROM nation""")
+def boundary_stats(spark, d):
+    rings = squares(spark, d, 10)
+    return raster.province_bbox(rings).join(raster.boundary_stats(rings), "province_code")
+
+
+@query(f"""{S.ANNUAL_AND_ECONOMY} SELECT e.province_code, e.year, round(ln(ac.sol), 6) AS ln_x, round(ln(e.grdp), 6) AS ln_y FROM econ e JOIN ac USING (province_code, year) WHERE ac.sol > 0 AND e.grdp > 0""")
+def scatter_points(spark, d):
+    rows = A.economy(spark, d).select("province_code", "year", "grdp").join(A.annual(spark, d).select("province_code", "year", "sol"), ["province_code", "year"])
+    return S.rounded(shaping.scatter_points(rows).select("province_code", "year", "ln_x", "ln_y"), 6, "ln_x", "ln_y")
+
+
+@query(f"""{S.JOINED}, g AS (SELECT count(*) AS n FROM j WHERE year >= 2014 AND sol_cal > 0 AND gdp > 0), o AS ({S.OVERLAP}), c AS (SELECT count(*) AS n FROM o WHERE sol_dmsp > 0 AND sol_viirs > 0)
+    SELECT 'dmsp_to_viirs' AS model, n, '' AS price_basis, '2013' AS training_period FROM c UNION ALL SELECT 'gdp_log_regression', n, 'so_sanh', '2014-2025' FROM g""")
+def calculation_models(spark, d):
+    calibration = models.fit_log_model(models.overlap_pairs(A.stats(spark, d)), "sol_dmsp", "sol_viirs", 5)
+    return models.calculation_models(calibration, models.gdp_model(joined(spark, d))).select("model", "n", "price_basis", "training_period")

@@ -51,9 +51,13 @@ def pixels(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame
 
 
 def stats(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
-    """Zonal statistics with areas, names and flags."""
+    """Zonal statistics with areas, names and flags.
+
+    The statistics are one row for each image, and series, models and panels read them several times, so they are kept; the
+    pixels are then read once.
+    """
     own = provinces(spark, sf_dir).select("province_code", "province_name", "area_km2")
-    out = zonal_stats(pixels(spark, sf_dir, monthly)).join(own, "province_code")
+    out = zonal_stats(pixels(spark, sf_dir, monthly)).persist().join(own, "province_code")
     return note(obs_status(with_area(out)))
 
 

@@ -73,6 +73,7 @@ def test_warnings(spark):
     assert quality.price_basis_state(money).first().constant_prices is True
     assert quality.price_basis_state(money.withColumn("grdp_price_basis", F.lit("hien_hanh"))).first().constant_prices is False
     assert quality.price_basis_state(money.filter("false")).first().constant_prices is None
+    assert len(quality.economy_warnings(money.withColumn("grdp_price_basis", F.lit("hien_hanh"))).first().warnings) == 2
     assert quality.simulated_labels(money).first()[0] == ["gia_lap b=1"]
 
 
