@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenfield.llm import bpe, chat_format, fingerprint, html_extract, language_id, mixing, quality, simhash, token_output, toxicity
-from lumenfield.llm.common import shared_path, stash
+from lumenfield.llm.common import shared_path, ship_package, stash
 
 END_ID = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
