@@ -103,7 +103,7 @@ class WordBPE:
     """
 
     content: str
-    cached: int = 1 << 18
+    cached: int = 1 << 17
     vocab: dict[str, int] = field(init=False)
 
     def __post_init__(self):
@@ -127,7 +127,7 @@ class WordBPE:
         self.added_heads = {x[0] for x in self.added}
         self.type = "H" if max(self.names) < 1 << 16 else "I"
         # bytes, as lists of numbers take several times the memory
-        self.of_word = Memo(self.encode_word, self.cached * 3 // 2)
+        self.of_word = Memo(self.encode_word, self.cached * 2)
         self.of_piece = Memo(self.encode_piece, self.cached)
 
     def encode_word(self, word: str) -> bytes:

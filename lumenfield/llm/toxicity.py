@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +20,8 @@ MAX_TRAIN_ROWS = 12000
 #: Terms kept for each category.
 TERMS = 128
 FOLDS = 5
+#: A term with a lower log-likelihood ratio is left out.
+LEAST_RATIO = 3.0
 
 
 def terms_of(text: str | None) -> set[str]:
@@ -42,12 +44,17 @@ class Chain:
             out = np.column_stack([out, sigmoid(design(x, out) @ w)])
         return out
 
-    def matrix(self, found: list[set[str]]) -> np.ndarray:
-        x = np.zeros((len(found), len(self.terms)), np.float32)
-        for i, own in enumerate(found):
+    def matrix(self, texts: Iterable[str | None], rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which terms each text has with the logarithm of how many distinct ones there are, and whether there are any; texts are read
+        one at a time. The last lets a model expect chance hits in long texts."""
+        x, some = np.zeros((rows, len(self.terms) + 1), np.float32), np.zeros(rows, bool)
+        for i, text in enumerate(texts):
+            own = terms_of(text)
+            some[i] = bool(own)
+            x[i, -1] = np.log1p(len(own)) / 5
             for t in own & self.terms.keys():
                 x[i, self.terms[t]] = 1
-        return x
+        return x, some
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -109,7 +116,10 @@ def term_counts(categories: Sequence[str]):
 
 
 def choose_terms(rows: DataFrame, categories: Sequence[str], per_category: int) -> dict[str, int]:
-    """The terms with the highest log-likelihood ratio for each category, counted over all of ``rows``."""
+    """The terms with the highest log-likelihood ratio for each category, counted over all of ``rows``.
+
+    Only terms that are at least twice as common in the category's texts count: others tell a language or a length, not a category.
+    """
     total = rows.agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in categories)).first()
     schema = "term string, n long, " + ", ".join(f"n_{c} long" for c in categories)
     counts = rows.mapInPandas(term_counts(categories), schema).groupBy("term").agg(F.sum("n").alias("n"), *(F.sum(f"n_{c}").alias(f"n_{c}") for c in categories))
@@ -122,7 +132,8 @@ def choose_terms(rows: DataFrame, categories: Sequence[str], per_category: int)
         rate = F.lit(total[c] / total["n"])
         part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
         ratio = part(k, n * rate) + part(n - k, n * (1 - rate))
-        for row in counts.orderBy(ratio.desc(), "term").limit(per_category).collect():
+        marks = counts.filter((k >= 2 * n * rate) & (ratio >= LEAST_RATIO))
+        for row in marks.orderBy(ratio.desc(), "term").limit(per_category).collect():
             chosen.setdefault(row["term"], len(chosen))
     counts.unpersist()
     return chosen
@@ -136,16 +147,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: Sequence[str],
 
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            x = chain.matrix([terms_of(t) for t in pdf.text])
-            yield pdf.drop(columns="text").assign(terms=[np.flatnonzero(r).tolist() for r in x])
+            x, _ = chain.matrix(pdf.text, len(pdf))
+            yield pdf.drop(columns="text").assign(terms=[np.flatnonzero(r[:-1]).tolist() for r in x], size=x[:, -1].astype(float))
 
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)).cast("int")
-    schema = ", ".join(["doc_id string", *(f"{c} int" for c in categories), "terms array<int>"])
+    schema = ", ".join(["doc_id string", *(f"{c} int" for c in categories), "terms array<int>", "size double"])
     small = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(present, schema)
-    small = small.orderBy(F.xxhash64("doc_id"), F.hash("terms")).limit(max_rows).withColumn("fold", fold).toPandas()
+    small = small.orderBy(F.xxhash64("doc_id"), F.hash("terms", "size")).limit(max_rows).withColumn("fold", fold).toPandas()
     if not len(small):
-        return Chain(list(categories), {}, [np.array([-30.0] + [0.0] * k) for k in range(len(categories))])
-    x = np.zeros((len(small), len(terms)), np.float32)
+        return Chain(list(categories), {}, [np.array([-30.0] + [0.0] * (k + 1)) for k in range(len(categories))])
+    x = np.zeros((len(small), len(terms) + 1), np.float32)
+    x[:, -1] = small["size"]
     for i, own in enumerate(small.terms):
         x[i, list(own)] = 1
     return fit_chain(x, small[list(categories)].to_numpy(float), small.fold.to_numpy(), categories, terms)
@@ -163,9 +175,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("l
 
     @F.pandas_udf("struct<" + ", ".join(f"{n}: double" for n in [*names, "empty"]) + ">")
     def scored(texts: pd.Series) -> pd.DataFrame:
-        found = [terms_of(t) for t in texts]
-        out = pd.DataFrame(chain.probabilities(chain.matrix(found)), columns=names)
-        return out.assign(empty=[float(not f) for f in found])
+        x, some = chain.matrix(texts, len(texts))
+        return pd.DataFrame(chain.probabilities(x), columns=names).assign(empty=1.0 - some)
 
     out = docs.withColumn("__toxicity", scored(F.col("text")))
     out = out.withColumns({n: F.col(f"__toxicity.{n}") for n in names})

@@ -82,14 +82,14 @@ def test_toxicity_held_out(spark):
 
 def test_chain_feeds_earlier_probabilities():
     rng = np.random.default_rng(1)
-    x = (rng.random((2000, 4)) < 0.5).astype(np.float32)
+    x = (rng.random((2000, 5)) < 0.5).astype(np.float32)
     first = x[:, 0]
     second = first * x[:, 1]
     chain = toxicity.fit_chain(x, np.stack([first, second], 1), np.arange(2000) % 5, ["a", "b"], {c: i for i, c in enumerate("wxyz")})
-    assert [len(w) for w in chain.weights] == [5, 6]
-    p = chain.probabilities(chain.matrix([{"w", "x"}, {"w"}, {"x"}, set()]))
+    assert [len(w) for w in chain.weights] == [6, 7]
+    p = chain.probabilities(chain.matrix(["w x", "w", "X!", None], 4)[0])
     assert p[0, 0] > 0.9 > 0.1 > p[2, 0] and p[0, 1] > 0.9 and p[3, 1] < 0.1
-    assert abs(p[0, 1] - toxicity.sigmoid(np.array([1, p[0, 0], 1, 1, 0, 0]) @ chain.weights[1])) < 1e-9
+    assert abs(p[0, 1] - toxicity.sigmoid(np.array([1, p[0, 0], 1, 1, 0, 0, np.log1p(2) / 5]) @ chain.weights[1])) < 1e-9
 
 
 def test_toxicity_awkward(spark):
