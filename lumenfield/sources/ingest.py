@@ -118,9 +118,13 @@ def load_report(df: DataFrame, schema: T.StructType, usable: DataFrame) -> dict:
 
 
 def dedupe_last(df: DataFrame, keys: Sequence[str], order: str = "_seq") -> DataFrame:
-    """The last row of each key by an explicit order."""
-    newest = Window.partitionBy(*keys).orderBy(F.desc(order))
-    return df.withColumn("__n", F.row_number().over(newest)).filter("__n = 1").drop("__n")
+    """The last row of each key by an explicit order (a null one is first; ties go by the other columns, in their order).
+
+    A maximum is taken before the shuffle already, so a key with many rows is no large group.
+    """
+    rest = [c for c in df.columns if c not in keys and c != order]
+    last = df.groupBy(*keys).agg(F.max(F.struct(order, *rest)).alias("__last"))
+    return last.select(*(F.col(c) if c in keys else F.col("__last")[c].alias(c) for c in df.columns))
 
 
 MANIFEST_COLUMNS = ("province_code", "province_name", "year", "month", "source", "path", "area_km2")
