@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -43,7 +44,7 @@ DROP_TAGS = frozenset(
 )
 DROP_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search tablist toolbar".split())
 DROP_NAMES = frozenset(
-    "ad ads adsense advert adverts advertisement advertising banner banners breadcrumb breadcrumbs byline-share comment comments commentlist "
+    "ad ads adsense advert adverts advertisement advertising banner banners breadcrumb breadcrumbs comment comments commentlist "
     "consent cookie cookies discussion disqus footer gdpr masthead menu menus modal nav navbar navigation newsletter notice notices "
     "pager pagination paywall popup promo promos promotion promoted recommended recommendations related replies reply respond share sharing "
     "sidebar sidebars sidenav signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
@@ -58,8 +59,12 @@ TOKEN = re.compile(
 ATTR = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))|([^\s=/>\"']+)")
 CONTENT_NAME = re.compile(r"article|content|story|post|entry|main|body|text", re.I)
 NAME_PART = re.compile(r"[-_\s]+|(?<=[a-z])(?=[A-Z])")
-#: Names of which only a whole class counts, as parts of others they are common in articles.
-WHOLE_ONLY = frozenset(["ad", "banner", "notice", "share", "skip", "social", "text"])
+#: Names that count as a whole or as the first part, as in the middle of others they are common in articles.
+WHOLE_ONLY = frozenset(["ad", "banner", "notice", "share", "skip", "social"])
+#: Last parts of names of clutter; first and last parts of names of what lies around clutter and content.
+ENDS_NAME = frozenset(["ad", "ads", "banner", "notice"])
+AROUND_FIRST = frozenset(["has", "with", "no", "without"])
+AROUND_LAST = frozenset(["wrap", "wrapper", "container", "layout"])
 
 
 class Element:
@@ -82,17 +87,22 @@ def is_clutter(tag: str, attrs: dict[str, str], inside: bool) -> bool:
         return False
     if "hidden" in attrs or attrs.get("role", "").lower() in DROP_ROLES or attrs.get("aria-hidden") == "true":
         return True
-    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
-        parts = [p.lower() for p in NAME_PART.split(name) if p]
-        if name.lower() in DROP_NAMES or len(parts) == 1 and parts[0] == "header" and not inside:
-            return True
-        if any(p in DROP_NAMES and p not in WHOLE_ONLY for p in parts) and not CONTENT_NAME.search(name.split("-")[-1]):
-            return True
-        if parts and parts[0] in WHOLE_ONLY - {"text"} and not CONTENT_NAME.search(name):
-            return True
-        if parts[:1] in (["site"], ["page"], ["global"], ["top"]) and parts[-1] == "header":
-            return True
-    return False
+    return any(names_clutter(name, inside) for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split())
+
+
+@lru_cache(1 << 14)
+def names_clutter(name: str, inside: bool) -> bool:
+    """Whether a class or id is a name for clutter. ``content-sidebar-wrap`` and ``has-sidebar`` name what lies around both."""
+    parts = [p for p in (x.lower().rstrip("0123456789") for x in NAME_PART.split(name)) if p]
+    if not parts:
+        return False
+    if parts[0] in AROUND_FIRST or parts[-1] in AROUND_LAST and CONTENT_NAME.fullmatch(parts[0]):
+        return False
+    if any(p in DROP_NAMES and p not in WHOLE_ONLY for p in parts) or "".join(parts) in DROP_NAMES:
+        return True
+    if parts[0] in WHOLE_ONLY and not any(CONTENT_NAME.fullmatch(p) for p in parts) or parts[-1] in ENDS_NAME:
+        return True
+    return parts[-1] == "header" and (len(parts) == 1 and not inside or parts[0] in ("site", "page", "global", "top"))
 
 
 def path_part(tag: str, attrs: dict[str, str]) -> str:

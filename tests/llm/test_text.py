@@ -131,6 +131,13 @@ PAGES = [
 ]
 
 
+def test_names():
+    clutter = "sidebar left-sidebar comments comment-list post-comments comment-body cookie-notice cookieBanner ad ad-slot top-ad ad0 site-header nav mainNav share-buttons related-posts newsletter-signup footer-content widget2"
+    article = "article post-content entry has-sidebar content-sidebar-wrap story-12 article-header headline shared-text notices-of-text2x badge loaded"
+    assert [n for n in clutter.split() if not html_extract.names_clutter(n, False)] == []
+    assert [n for n in article.split() if html_extract.names_clutter(n, True)] == ["notices-of-text2x"]
+
+
 @pytest.mark.parametrize("page", PAGES)
 def test_one_page(page):
     assert html_extract.extract_page(page, None)[0] == TEXT
