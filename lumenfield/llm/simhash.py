@@ -264,7 +264,7 @@ def similarity_radius(similarity: float, bits: int) -> int:
     return int(round(np.arccos(cosine) / np.pi * bits))
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 512, width: int = 20, tables: int = 64) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 512, width: int = 24, tables: int = 96) -> DataFrame:
     """``docs`` with one row (the smallest ``doc_id``) of each class of near-duplicates.
 
     Texts are near-duplicates if wide SimHash fingerprints of their distinct ``shingle``-word shingles differ in no more
