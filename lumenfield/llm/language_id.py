@@ -68,6 +68,23 @@ def ranked(found: np.ndarray, n: np.ndarray) -> np.ndarray:
     return found[np.argsort(-n, kind="stable")[:TOP]]
 
 
+def weighted(words: list[str], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of words of letters, each n-gram counted as often as its word."""
+    c = codes(" ".join(words))
+    word = np.cumsum(c == BLANK) - 1  # a blank belongs to the word after it
+    at = np.concatenate((word[c != BLANK], word[:-1], word[:-2][c[1:-1] != BLANK])) if words else np.zeros(0, np.int64)
+    found, back = np.unique(grams(c), return_inverse=True) if words else (np.zeros(0, np.int64), at)
+    return found, np.bincount(back.ravel(), np.array(counts, float)[at], len(found)).astype(np.int64)
+
+
+def merged(parts: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+    total: Counter = Counter()
+    for found, n in parts:
+        for g in found.tolist():
+            total[g] += n
+    return np.array(list(total), np.int64), np.array(list(total.values()), np.int64)
+
+
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -78,11 +95,10 @@ def gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def flush() -> pd.DataFrame:
         parts = []
         for lang, own in words.items():
-            total: Counter = Counter()
-            for w, n in own.items():
-                for g in grams(codes(w)).tolist():
-                    total[g] += n
-            parts.append(pd.DataFrame({"lang": lang, "gram": list(total), "n": list(total.values())}))
+            for some in (True, False):  # what is no letter would split a word
+                part = {w: n for w, n in own.items() if w.isalpha() == some}
+                found, n = weighted(list(part), list(part.values())) if some else merged([(grams(codes(w)), n) for w, n in part.items()])
+                parts.append(pd.DataFrame({"lang": lang, "gram": found, "n": n}))
         words.clear()
         return pd.concat(parts) if parts else pd.DataFrame({"lang": [], "gram": [], "n": []})
 
