@@ -6,16 +6,17 @@ order doesn't matter and passages can be added to or taken from a fingerprint wi
 
     1 lane modulo 2**32: the number of passages
     8 lanes modulo 2**32: sums over all passages (256 bits, for equality)
-    3 x 96 lanes modulo 2**8: each passage adds to one of 96 lanes on level 0, one of eight passages also on level 1,
-    one of 64 on level 2 (for likeness)
+    288 lanes modulo 2**32: sums of hashed draws from a Cauchy distribution (for likeness)
 
-The difference of two fingerprints is the fingerprint of what the documents don't share. The share of zero lanes of the first
-level that isn't full gives the number of such passages (linear counting), and so a Jaccard similarity of multisets.
+The difference of two fingerprints is the fingerprint of what the documents don't share. Its Cauchy lanes are draws from a Cauchy
+distribution whose scale is the sum of the differences in how often each passage occurs, as that distribution is 1-stable. So repeats count,
+no size of the difference fills the lanes, and the scale (within 8 % or so) gives a Jaccard similarity of multisets.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterable, Iterator
 from zlib import crc32
@@ -27,13 +28,17 @@ from pyspark.sql import functions as F
 
 from lumenfield.llm.common import shuffle_partitions
 
-DENSE, LANES, LEVELS = 8, 96, 3
-SPARSE = LANES * LEVELS
-SIZE = 4 * (1 + DENSE) + SPARSE
+DENSE, CAUCHY = 8, 288
+SIZE = 4 * (1 + DENSE + CAUCHY)
 SENTENCE_END = re.compile(r"(?<=[.!?] )")
 DIGEST = 40
 #: Passages hashed at once; bounds the memory that one very long text takes.
-BLOCK = 1 << 15
+BLOCK = 1 << 12
+#: Cauchy draws for 16 random bits, in steps of 1 / UNIT. The first and last stand for tails, which ``draws`` spreads further.
+UNIT = 16
+TABLE = np.array([round(UNIT * math.tan(math.pi * ((i + 0.5) / 65536 - 0.5))) for i in range(65536)], np.int32)
+TAIL = UNIT * 65536 / math.pi
+STEPS = np.arange(1, CAUCHY // 4 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def passages(text: str) -> Iterator[str]:
@@ -57,24 +62,36 @@ def cut_at_words(part: str) -> Iterator[str]:
         yield " ".join(held)
 
 
+def mix(z: np.ndarray) -> np.ndarray:
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def draws(seeds: np.ndarray) -> np.ndarray:
+    """A row of Cauchy draws for each 64-bit seed, as whole numbers of 1 / UNIT."""
+    words = mix(seeds[:, None] + STEPS)
+    at = words.astype("<u8", copy=False).view("<u2")
+    out = TABLE[at]
+    row, lane = np.nonzero(at + np.uint16(1) < 2)
+    if len(row):
+        share = ((mix(words[row, lane // 4] + np.uint64(1) + lane.astype(np.uint64)) >> np.uint64(40)).astype(float) + 1) / (1 << 24)
+        far = np.minimum(TAIL / share, 2.0**31 - 1).astype(np.int32)
+        out[row, lane] = np.where(at[row, lane] == 0, -far, far)
+    return out
+
+
 def vector(parts: Iterable[str]) -> np.ndarray:
     """The fingerprint of a multiset of passages, as bytes."""
-    wide, sparse = np.zeros(1 + DENSE, np.uint32), np.zeros(SPARSE, np.int64)
+    wide = np.zeros(1 + DENSE + CAUCHY, np.uint32)
     blake = hashlib.blake2b
     held: list[bytes] = []
 
     def add() -> None:
         raw = np.frombuffer(b"".join(held), np.uint8).reshape(-1, DIGEST)
-        words = raw.view("<u4")
         wide[0] += np.uint32(len(raw))
-        wide[1:] += words[:, :DENSE].sum(axis=0, dtype=np.uint32)
-        pick = words[:, DENSE]
-        value = (raw[:, DIGEST - 4] % 255 + 1).astype(float)
-        rare = words[:, DENSE + 1] >> 8
-        for level in range(LEVELS):
-            on = rare % (1 << 3 * level) == 0
-            lane = pick[on] % LANES + LANES * level
-            sparse[:] += np.bincount(lane, value[on], SPARSE).astype(np.int64)
+        wide[1 : 1 + DENSE] += raw.view("<u4")[:, :DENSE].sum(axis=0, dtype=np.uint32)
+        wide[1 + DENSE :] += draws(raw.view("<u8")[:, DENSE // 2]).view(np.uint32).sum(axis=0, dtype=np.uint32)
         held.clear()
 
     with np.errstate(over="ignore"):
@@ -84,16 +101,14 @@ def vector(parts: Iterable[str]) -> np.ndarray:
                 add()
         if held:
             add()
-    return np.concatenate((wide.view(np.uint8), (sparse % 256).astype(np.uint8)))
+    return wide.view(np.uint8)
 
 
 def combine(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
     """The fingerprint of the union (or difference) of two multisets."""
-    n = 4 * (1 + DENSE)
     with np.errstate(over="ignore"):
-        wide = a[:n].view(np.uint32) + b[:n].view(np.uint32) if sign > 0 else a[:n].view(np.uint32) - b[:n].view(np.uint32)
-        rest = a[n:] + b[n:] if sign > 0 else a[n:] - b[n:]
-    return np.concatenate((wide.view(np.uint8), rest))
+        wide = a.view(np.uint32) + b.view(np.uint32) if sign > 0 else a.view(np.uint32) - b.view(np.uint32)
+    return wide.view(np.uint8)
 
 
 def insert(fp: np.ndarray, passage: str) -> np.ndarray:
@@ -104,18 +119,31 @@ def delete(fp: np.ndarray, passage: str) -> np.ndarray:
     return combine(fp, vector([passage]), -1)
 
 
+def cauchy_scale(x: np.ndarray) -> float:
+    """The likeliest scale of Cauchy draws around 0, by Newton's method on its logarithm."""
+    square = x * x
+    scale = max(float(np.median(np.abs(x))), 0.5)
+    for _ in range(20):
+        part = square / (square + scale * scale)
+        slope = 2 * float((part * (1 - part)).mean())
+        step = (float(part.mean()) - 0.5) / max(slope, 0.05)
+        scale *= math.exp(min(1.0, max(-1.0, step)))
+        if abs(step) < 1e-4:
+            break
+    return scale
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """The estimated Jaccard similarity of two multisets of passages; 1 if their fingerprints are equal, 0 if nothing seems shared."""
     if np.array_equal(a, b):
         return 1.0
-    total = int(a[:4].view(np.uint32)[0]) + int(b[:4].view(np.uint32)[0])
-    rest = combine(a, b, -1)[4 * (1 + DENSE) :].reshape(LEVELS, LANES)
-    for level in range(LEVELS):
-        zero = ((rest[level] == 0).mean() - 1 / 256) / (1 - 1 / 256)  # a changed lane is 0 by chance
-        if zero >= 0.2 or level == LEVELS - 1:
-            differ = -LANES * np.log(min(1.0, max(zero, 0.5 / LANES))) * (1 << 3 * level)
-            break
-    return float(max(0.0, (total - differ) / (total + differ))) if total + differ > 0 else 1.0
+    n, m = int(a[:4].view(np.uint32)[0]), int(b[:4].view(np.uint32)[0])
+    lanes = combine(a, b, -1).view(np.int32)[1 + DENSE :].astype(float)
+    # passages that aren't shared: at least as many as the sizes differ by, and two if they are equal; all others come in pairs
+    least = abs(n - m) or 2
+    shared = round((n + m - cauchy_scale(lanes) / UNIT) / 2)
+    shared = max(0, min(shared, (n + m - least) // 2))
+    return shared / (n + m - shared) if n + m > shared else 1.0
 
 
 def fingerprint(text: str | None) -> np.ndarray:

@@ -107,6 +107,36 @@ def test_multiset_hash():
         assert fingerprint.likeness(fp("\n".join(lines)), fp("\n".join(x.upper() for x in lines))) < 0.1
 
 
+def test_likeness_counts_repeats_and_large_texts():
+    fp = fingerprint.fingerprint
+
+    def exact(a, b):
+        a, b = Counter(fingerprint.passages(a)), Counter(fingerprint.passages(b))
+        return (a & b).total() / (a | b).total()
+
+    def close(a, b):
+        return abs(fingerprint.likeness(fp(a), fp(b)) - exact(a, b)) < 0.15
+
+    many = "\n".join(["again and again"] * 300)
+    assert close(many, "something\nelse") and close(many, "\n".join(["another"] * 300)) and close(many, "\n".join(["again and again"] * 100))
+    assert fingerprint.likeness(fp("\n".join(["a"] * 256)), fp("\n".join(["b"] * 256))) == 0
+    mixed = "\n".join(f"line {i % 7}" for i in range(500))
+    assert close(mixed, "\n".join(f"line {i % 5}" for i in range(500))) and close(mixed, "\n".join(f"row {i % 7}" for i in range(90)))
+    large = "\n".join(f"line {i}" for i in range(120_000))
+    assert close(large, large.replace("line", "row")) and close(large, "\n".join(f"line {i}" for i in range(60_000, 180_000)))
+    assert (fingerprint.insert(fp(many), "again and again") == fp(many + "\nagain and again")).all()
+
+
+def test_op8_near_next_against_exact_multisets(spark, sf_dir):
+    docs = sorted(((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()), reverse=True)
+    rows = {r.doc_id: r.near_next for r in queries.op8_fingerprint(spark, sf_dir).collect()}
+    off = []
+    for (i, text), (_, following) in zip(docs, docs[1:] + docs[:1]):
+        a, b = Counter(fingerprint.passages(text)), Counter(fingerprint.passages(following))
+        off.append(abs(rows[i] - (a & b).total() / (a | b).total()))
+    assert max(off) < 0.3 and np.mean(np.array(off) > 0.1) < 0.03
+
+
 def test_op8_awkward(spark):
     order = sorted(AWKWARD, key=lambda x: (x[0] is None, -(x[0] or 0), x[1] or ""))
     rows = fingerprint.compare_next(awkward(spark)).collect()
