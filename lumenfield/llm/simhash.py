@@ -11,6 +11,8 @@
    the radius are followed) finds links. A union-find keeps only links that join two classes, so a
    unit returns fewer links than it has members, whatever the size of a group of copies.
 5. Spark joins the links into connected components (``components``).
+
+``drop_near_duplicates`` decides by the exact Jaccard similarity of shingle sets instead, over candidates from MinHash keys.
 """
 
 from __future__ import annotations
@@ -63,28 +65,25 @@ def set_bits(h: np.ndarray) -> np.ndarray:
     return total
 
 
-def fingerprint(text: str | None, shingle: int, bits: int, distinct: bool = False) -> bytes:
-    """The bits that are set in over half of the hashes of the text's shingles, or of its distinct shingles."""
+def fingerprint(text: str | None, shingle: int, bits: int) -> bytes:
+    """The bits that are set in over half of the hashes of the text's shingles."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
         return bytes(bits // 8)
     total, n = np.zeros(bits, np.int64), 0
     blocks = (shingle_hashes(shingle, start, words) for start in range(0, max(1, len(words) - shingle + 1), BLOCK))
-    if distinct:
-        every = np.unique(np.concatenate(list(blocks)))
-        blocks = (every[i : i + BLOCK] for i in range(0, len(every), BLOCK))
     for h in blocks:
         total += set_bits(widen(h, bits))
         n += len(h)
     return np.packbits(2 * total > n).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, bits: int = 64, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = (), distinct: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 3, bits: int = 64, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """``(id_col, *keep, fp)``; ``fp`` is binary of ``bits`` bits. A null or blank text has the fingerprint zero."""
 
     @F.pandas_udf("binary")
     def fp(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle, bits, distinct) for t in texts], dtype=object)
+        return pd.Series([fingerprint(t, shingle, bits) for t in texts], dtype=object)
 
     return docs.select(F.col(id_col), *keep, fp(F.col(text_col)).alias("fp"))
 
@@ -95,12 +94,6 @@ def exact_keys(bits: int, radius: int, agree: int = 2) -> list[list[int]]:
     return [[int(i) for b in some for i in b] for some in combinations(blocks, agree)]
 
 
-def sampled_keys(bits: int, width: int, tables: int, seed: int = 11) -> list[list[int]]:
-    """``tables`` seeded draws of ``width`` bit positions, for radii too large for pigeonhole keys."""
-    rng = np.random.default_rng(seed)
-    return [sorted(int(i) for i in rng.choice(bits, width, replace=False)) for _ in range(tables)]
-
-
 def bucket_rows(keys: list[list[int]]):
     """mapInPandas function: ``(rep, fp)`` to a row ``(bucket, rep)`` for each key."""
     base = len(keys).bit_length()
@@ -258,29 +251,129 @@ def simhash_components(docs: DataFrame, shingle: int = 3, bits: int = 64, radius
     )
 
 
-def similarity_radius(similarity: float, bits: int) -> int:
-    """The expected number of differing bits of two shingle sets of the same size with that Jaccard similarity."""
-    cosine = 2 * similarity / (1 + similarity)
-    return int(round(np.arccos(cosine) / np.pi * bits))
+#: MinHash keys: two texts share one of TABLES keys of WIDTH minima with probability 1 - (1 - s**WIDTH)**TABLES: 0.99 at a similarity s of 0.8.
+WIDTH, TABLES = 8, 28
+_rng = np.random.default_rng(11)
+MASKS, FACTORS = _rng.integers(0, (1 << 64) - 1, (2, WIDTH * TABLES), np.uint64)
+FACTORS |= np.uint64(1)
+
+
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    """The hashes of a text's distinct shingles, in order."""
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    return np.unique(np.concatenate([shingle_hashes(shingle, start, words) for start in range(0, max(1, len(words) - shingle + 1), BLOCK)]))
+
+
+def min_keys(h: np.ndarray) -> list[int]:
+    """The TABLES keys of a set of hashes."""
+    least = np.full(WIDTH * TABLES, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(h), 256):
+        np.minimum(least, ((h[at : at + 256, None] ^ MASKS) * FACTORS).min(axis=0), out=least)
+    raw = least.tobytes()
+    return [signed(xxhash.xxh64_intdigest(raw[8 * WIDTH * k : 8 * WIDTH * (k + 1)], k)) for k in range(TABLES)]
+
+
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def set_links(similarity: float):
+    """mapInPandas function: sorted rows of units to links of classes (``label``) that hold two sets of that Jaccard similarity."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parent: dict[int, int] = {}
+        held: list[tuple[int, frozenset]] = []
+        unit = None
+
+        def find(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            return x
+
+        for pdf in batches:
+            found = []
+            for bucket, a, b, own, label, hashes in zip(pdf.bucket, pdf.a, pdf.b, pdf.own, pdf.label, pdf.hashes):
+                if unit != (bucket, a, b):
+                    unit = (bucket, a, b)
+                    parent.clear()
+                    held.clear()
+                mine, n = frozenset(hashes.tolist()), len(hashes)
+                if a == b or own == b:
+                    for other, its in held:
+                        m = len(its)
+                        if min(n, m) < similarity * max(n, m) - 1e-6 or (x := find(label)) == (y := find(other)):
+                            continue
+                        both = len(mine & its)
+                        if both / (n + m - both) >= similarity:
+                            parent[max(x, y)] = min(x, y)
+                            found.append((label, other))
+                if a == b or own == a:
+                    held.append((label, mine))
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return rows
+
+
+def similar_sets(sketches: DataFrame, texts: DataFrame, shingle: int, similarity: float, shard_rows: int = 1024) -> DataFrame:
+    """``(node, component)`` of the distinct shingle sets of ``sketches`` (``id``, ``text_hash``, ``node``, ``keys``) that are like another one.
+
+    Sets that share a key are candidates. The exact Jaccard similarity decides, so the only loss is what shares no key.
+    First each set is held against the least of its bucket, which settles pairs and large groups with one row a member. Buckets that
+    still hold several classes are cut into shards, and a unit for each pair of shards compares all sets of different classes.
+    """
+    nodes = stash(sketches.groupBy("node").agg(F.min(F.struct("id", "text_hash")).alias("row"), F.first("keys").alias("keys")), "nodes")
+    rows = nodes.select("node", F.explode("keys").alias("bucket"))
+    many = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
+    members = stash(rows.join(many, "bucket"), "buckets")
+    own = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "row.*")
+    found = texts.join(own, ["id", "text_hash"]).select("node", "text").dropDuplicates(["node"])
+
+    @F.pandas_udf("array<long>")
+    def hashes(column: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(t, shingle).view(np.int64) for t in column], dtype=object)
+
+    sets = stash(found.select("node", hashes("text").alias("hashes")), "sets")
+    pairs = members.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = pairs.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
+    both = F.size(F.array_intersect("left", "right"))
+    first = stash(pairs.filter(both / (F.size("left") + F.size("right") - both) >= similarity).select("a", "b"), "first")
+    labels = connected_components(first).select("node", F.col("component").alias("label"))
+    open_rows = members.filter("n > 2").join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("label", "node").alias("label"))
+    mixed = open_rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
+    shards = F.ceil(F.col("n") / shard_rows).cast("int")
+    units = open_rows.join(mixed, "bucket").withColumn("shards", shards).withColumn("own", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int"))
+    units = units.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).join(sets, "node")
+    units = units.select("bucket", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "label", "hashes")
+    units = units.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b", "own", "node")
+    links = first.union(units.drop("node").mapInPandas(set_links(similarity), "a long, b long").distinct())
+    return connected_components(links)
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bits: int = 512, width: int = 24, tables: int = 96) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row (the smallest ``doc_id``) of each class of near-duplicates.
 
-    Texts are near-duplicates if wide SimHash fingerprints of their distinct ``shingle``-word shingles differ in no more
-    bits than a Jaccard similarity of ``similarity`` gives on average. Rows without a ``doc_id`` and texts
+    Texts are near-duplicates if their sets of distinct ``shingle``-word shingles have a Jaccard similarity of ``similarity`` or more,
+    and classes are what such links connect. Rows without a ``doc_id`` and texts
     without a word are no copies of anything and stay. Rows equal in ``doc_id`` and text count as one row;
     different texts under one ``doc_id`` are not compared with each other.
     """
     text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
     worded = docs.filter(F.regexp_like(F.coalesce("text", F.lit("")), F.lit(WORD)) & F.col("doc_id").isNotNull())
-    fps = fingerprints(worded.select("doc_id", "text", text_hash.alias("text_hash")), shingle, bits, keep=["text_hash"], distinct=True)
-    fps = stash(fps.withColumnRenamed("doc_id", "id"), "fingerprints")
-    classes = near_classes(fps, similarity_radius(similarity, bits), sampled_keys(bits, width, tables))
-    drop = fps.join(classes.select("fp", "component"), "fp").filter("id != component").select("id", "text_hash").distinct()
-    drop = stash(drop.toDF("__id", "__hash"), "dropped")
+    texts = worded.select(F.col("doc_id").alias("id"), text_hash.alias("text_hash"), "text")
+
+    @F.pandas_udf("node long, keys array<long>")
+    def sketch(column: pd.Series) -> pd.DataFrame:
+        sets = [shingle_set(t, shingle) for t in column]
+        return pd.DataFrame({"node": [signed(xxhash.xxh64_intdigest(h.tobytes(), SEED)) for h in sets], "keys": [min_keys(h) for h in sets]})
+
+    sketches = stash(texts.select("id", "text_hash", sketch("text").alias("s")).select("id", "text_hash", "s.*"), "sketches")
+    classes = similar_sets(sketches, texts, shingle, similarity)
+    rows = sketches.drop("keys").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = rows.groupBy("component").agg(F.min("id").alias("least"))
+    drop = stash(rows.join(least, "component").filter("id != least").select("id", "text_hash").distinct().toDF("__id", "__hash"), "dropped")
     kept = docs.join(drop, (F.col("doc_id") == F.col("__id")) & (text_hash == F.col("__hash")), "left_anti")
-    if not fps.groupBy("id", "text_hash").count().filter("count > 1").isEmpty():
+    if not sketches.groupBy("id", "text_hash").count().filter("count > 1").isEmpty():
         key = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
         kept = kept.withColumns({"__key": key, "__text": text_hash}).dropDuplicates(["doc_id", "__text", "__key"])
     return kept.select(docs.columns)

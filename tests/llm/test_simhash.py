@@ -106,6 +106,31 @@ def test_drop_near_duplicates(spark):
     assert simhash.drop_near_duplicates(empty(spark)).collect() == []
 
 
+def test_near_duplicates_by_exact_similarity(spark):
+    """Pairs just over 0.8 lose one text, pairs just under it none; so do a chain and a group whose least member links to few."""
+    rng = random.Random(4)
+    rows, want = [], set()
+
+    def text(shared, own):
+        return [f"s{rng.getrandbits(60)}" for _ in range(shared)], [f"o{rng.getrandbits(60)}" for _ in range(own)]
+
+    for i in range(400):
+        # 5-word shingles of n shared words and k others at the end of each text: n - 4 shared, k more each
+        n, k = (204, 24) if i % 2 else (204, 26)  # 200 / 248 = 0.806, 200 / 252 = 0.794
+        shared, own = text(n, k)
+        rows += [(2 * i, " ".join(shared + own)), (2 * i + 1, " ".join(shared + text(0, k)[1]))]
+        want |= {2 * i} if i % 2 else {2 * i, 2 * i + 1}
+    words = text(300, 0)[0]
+    chain = [" ".join(words[j : j + 200]) for j in range(0, 100, 10)]  # neighbours 186 / 206, ends nothing like it
+    rows += [(5000 + j, x) for j, x in enumerate(chain)]
+    want.add(5000)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(df).collect()}
+    assert want <= kept and len(kept - want) <= 8  # 200 pairs at 0.806, found with probability 0.99
+    sets = {i: set(simhash.shingle_set(t, 5).tolist()) for i, t in rows}
+    assert all(len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) >= 0.8 for i in range(2, 800, 4))
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(1000, 1100)]
