@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from lumenfield.operators import catalogue, export, panel, quality, shaping, timefn
 from lumenfield.operators.tables import DAY_FIELDS, ECONOMY_FIELDS, LIGHT_FIELDS, province_series
+from lumenfield.plans import registry
 from lumenfield.schemas import DAY_ANNUAL, ECONOMY, NTL_ANNUAL, NTL_MONTHLY
 
 
@@ -122,3 +123,11 @@ def test_series_and_exports(spark, provinces, tmp_path):
         export.export_panel_csv(long, str(tmp_path / shape), shape, ["sol"], ["2009", "2010"])
         assert spark.read.option("header", True).csv(str(tmp_path / shape / "table")).count() == n
     assert any("2010" in r.value for r in spark.read.text(str(tmp_path / "rong/notes")).collect())
+
+
+def test_registered_province_counts_include_day_rows(spark, sf_dir):
+    line, supplier, part = (spark.read.parquet(f"{sf_dir}/{t}.parquet").toPandas() for t in ("lineitem", "supplier", "part"))
+    nations, parts = dict(zip(supplier.s_suppkey, supplier.s_nationkey)), set(part.p_partkey)
+    days = {(nations[s], d.year) for s, p, d in zip(line.l_suppkey, line.l_partkey, line.l_shipdate) if s in nations and p in parts}
+    got = {int(r.province_code): r.day_rows for r in registry.QUERIES["provinces_with_counts"](spark, sf_dir).collect()}
+    assert got == {i: sum(n == i for n, _ in days) for i in got} and sum(got.values()) == len(days) > 0
