@@ -3,8 +3,10 @@ import random
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lumenfield.llm import bpe, queries, token_output
@@ -51,10 +53,19 @@ def test_merge_against_the_plain_loop():
         assert bpe.merge(list(ids), ranks) == plain
 
 
-def test_pieces_equal_the_whole_text(libraries):
-    encode = token_output.encoder(open(BYTE, encoding="utf-8").read(), "<u2", cached=50)
-    for text in odd_texts():
-        assert np.frombuffer(encode(text), "<u2").tolist() == libraries[1].encode(text, add_special_tokens=False).ids, repr(text)
+def test_pieces_equal_the_whole_text(libraries, monkeypatch):
+    encoder = token_output.Encoder(open(BYTE, encoding="utf-8").read(), "<u2", cached=50)
+    texts = odd_texts()
+    rng = random.Random(8)
+    ends = ["", ".", ",\n", "\n\n", "é.", "÷!", " a", "x.com", "\nOf"]
+    texts += [" ".join(rng.choice(odd) + rng.choice(ends) + rng.choice(odd) for _ in range(rng.randrange(9))) for odd in [[t for t in texts if t.strip()]] for _ in range(400)]
+    want = [libraries[1].encode(text, add_special_tokens=False).ids for text in texts]
+    for chunk in (1 << 22, 100):
+        monkeypatch.setattr(token_output, "CHUNK", chunk)
+        for text, ids, raw in zip(texts, want, encoder.encode(pa.array(texts)), strict=True):
+            assert np.frombuffer(raw, "<u2").tolist() == ids, repr(text)
+        assert [len(x) for x in encoder.encode(pa.array([None, ""], pa.string()))] == [0, 0]
+    assert list(encoder.encode(pa.array([], pa.string()))) == []
 
 
 def test_op9_on_the_whole_table(spark, sf_dir, libraries):
@@ -97,6 +108,27 @@ def test_awkward_and_short_document_access(spark, libraries, tmp_path, monkeypat
     assert token_output.read_token_ids(spark, str(tmp_path / "b")).collect() == []
 
 
+def test_rows_of_one_id_go_to_several_parts(spark, libraries, tmp_path):
+    texts = [f"text {i % 5000} of no id" for i in range(10_000)]
+    df = spark.createDataFrame([(None, t) for t in texts] + [(3, "the same")] * 10_000, "doc_id long, text string")
+    token_output.write_token_ids(df, str(tmp_path / "a"), BYTE, 2)
+    parts = spark.read.parquet(str(tmp_path / "a" / "segments")).groupBy("part").agg(F.sum("n_docs").alias("n")).collect()
+    assert len(parts) == 4 and max(r.n for r in parts) < 8_000
+    rows = sorted(token_output.read_token_ids(spark, str(tmp_path / "a")).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None] * 10_000 + [3] * 10_000
+    assert [r.start for r in rows] == np.cumsum([0] + [r.n_tokens for r in rows])[:-1].tolist()
+    crc = lambda t: crc32(np.array([*libraries[1].encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes())
+    assert sorted(r.ids_crc32 for r in rows) == sorted([crc(t) for t in texts] + [crc("the same")] * 10_000)
+
+
+def test_every_table_gets_a_dictionary(spark, tmp_path):
+    for i, texts in enumerate([[], ["a"], ["word " * 2000], ["some words"] * 30]):
+        df = spark.createDataFrame([(j, t) for j, t in enumerate(texts)], "doc_id long, text string")
+        token_output.write_token_ids(df, str(tmp_path / str(i)), BYTE, 2)
+        assert len(spark.read.parquet(str(tmp_path / str(i) / "dictionary")).first()["dictionary"]) >= 8
+        assert token_output.read_token_ids(spark, str(tmp_path / str(i))).count() == len(texts)
+
+
 def test_bpe_awkward(spark, libraries):
     rows = bpe.bpe_encode_decode(awkward(spark), WORD).collect()
     assert len(rows) == len(AWKWARD)
