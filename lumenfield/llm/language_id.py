@@ -50,16 +50,12 @@ def grams(c: np.ndarray) -> np.ndarray:
 def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of the whole text and their counts, block by block."""
     found, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    start = 0
-    while start < len(text):
-        end = start + BLOCK
-        while end < len(text) and text[end - 1].isalpha():  # don't cut a word
-            end += 1
-        g, k = np.unique(grams(codes(text[start:end])), return_counts=True)
+    for block in blocks(text):
+        g, k = np.unique(grams(codes(block)), return_counts=True)
         if len(found):
             g, back = np.unique(np.concatenate((found, g)), return_inverse=True)
             k = np.bincount(back.ravel(), np.concatenate((n, k))).astype(np.int64)
-        found, n, start = g, k, end
+        found, n = g, k
     return found, n
 
 
@@ -88,32 +84,46 @@ def merged(parts: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]
 WORD = re.compile(r"[^\W\d_]+")
 
 
+def blocks(text: str) -> Iterator[str]:
+    """A text in blocks of about ``BLOCK`` characters that cut no word."""
+    start = 0
+    while start < len(text):
+        end = start + BLOCK
+        while end < len(text) and text[end - 1].isalpha():
+            end += 1
+        yield text[start:end]
+        start = end
+
+
 def gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows ``(lang, gram, n)``: the n-grams of each word once, times how often the word occurs."""
+    """Rows ``(lang, gram, n)``: the n-grams of each word once, times how often the word occurs. No row where there is no word."""
     words: dict[str, Counter] = {}
 
-    def flush() -> pd.DataFrame:
-        parts = []
+    def flush() -> Iterator[pd.DataFrame]:
         for lang, own in words.items():
             for some in (True, False):  # what is no letter would split a word
                 part = {w: n for w, n in own.items() if w.isalpha() == some}
-                found, n = weighted(list(part), list(part.values())) if some else merged([(grams(codes(w)), n) for w, n in part.items()])
-                parts.append(pd.DataFrame({"lang": lang, "gram": found, "n": n}))
+                if part:
+                    found, n = weighted(list(part), list(part.values())) if some else merged([(grams(codes(w)), n) for w, n in part.items()])
+                    yield pd.DataFrame({"lang": lang, "gram": found, "n": n})
         words.clear()
-        return pd.concat(parts) if parts else pd.DataFrame({"lang": [], "gram": [], "n": []})
 
     for pdf in batches:
         for lang, text in zip(pdf.lang, pdf.text):
-            words.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
-            if sum(map(len, words.values())) > WORDS:
-                yield flush()
-    yield flush()
+            own = words.setdefault(lang, Counter())
+            for block in blocks(text):
+                own.update(WORD.findall(block.lower()))
+                if sum(map(len, words.values())) > WORDS:
+                    yield from flush()
+                    own = words.setdefault(lang, Counter())
+    yield from flush()
 
 
 def fit_profiles(labelled: DataFrame, top: int = TOP) -> dict[str, np.ndarray]:
     """For each language its ``top`` n-grams by frequency over all of ``labelled`` (``lang``, ``text``); nulls are left out.
 
-    What comes to the driver is ``top`` numbers a language.
+    What comes to the driver, and goes with the tasks, is ``top`` numbers a language, so ``lang`` has to be a label of
+    languages (at most some thousands of values), not free text. An empty table gives no profile.
     """
     rows = labelled.select("lang", "text").dropna().mapInPandas(gram_counts, "lang string, gram long, n long")
     total = rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from lumenfield.llm import fingerprint, html_extract, language_id, queries
-from tests.llm.data import AWKWARD, awkward, empty
+from tests.llm.data import AWKWARD, awkward, empty, sparse, written
 
 
 def plain_grams(text):
@@ -77,6 +77,10 @@ def test_language_awkward(spark):
     assert {r.lang_pred for r in rows if r.doc_id in (3, 4, 5)} == {"und"}
     assert all(r.lang_pred == "und" for r in language_id.predict(awkward(spark), {}).collect())
     assert language_id.predict(empty(spark), language_id.fit_profiles(empty(spark))).collect() == []
+    spread = language_id.predict(sparse(spark), language_id.fit_profiles(sparse(spark))).collect()
+    assert sorted((str(r.doc_id), r.lang_pred, r.score) for r in spread) == sorted((str(r.doc_id), r.lang_pred, r.score) for r in rows)
+    only = language_id.fit_profiles(spark.createDataFrame([("en", "12 34"), ("fr", "un")], "lang string, text string"))
+    assert set(only) == {"fr"}
 
 
 def test_op8_against_plain_successors(spark, sf_dir):
@@ -147,6 +151,7 @@ def test_op8_awkward(spark):
         want.append((str(x[0]), hashlib.sha256(fingerprint.edited(x[1] or "", y[1] or "").encode()).hexdigest()))
     assert got == sorted(want)
     assert fingerprint.compare_next(empty(spark)).collect() == []
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in fingerprint.compare_next(sparse(spark)).collect()) == sorted(want)
     one = fingerprint.compare_next(awkward(spark).filter("doc_id = 8")).collect()
     assert len(one) == 1 and one[0].near_next == 1.0
 
@@ -197,4 +202,5 @@ def test_pages_awkward(spark):
     assert len(out) == 6
     by = {r.page_id: r.text for r in out}
     assert by[1] == by[2] == "" and by[4] == "plain words" and by[None].startswith("a b a b")
-    assert html_extract.extract(df.filter("false")).collect() == []
+    assert html_extract.extract(written(df.filter("false"), 3)).collect() == []
+    assert sorted((str(r.page_id), r.text) for r in html_extract.extract(written(df, 30)).collect()) == sorted((str(r.page_id), r.text) for r in out)
