@@ -200,9 +200,11 @@ def train_dictionary(docs: DataFrame, content: str, width: str) -> bytes:
     Where there are too few samples to train on, or they are too uniform, the ids of the samples are the dictionary themselves; where
     there is none, the first 256 ids are.
     """
-    short = docs.filter(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", "text")
-    chosen = short.orderBy(F.xxhash64(F.lit(7), "doc_id", "text"), "doc_id", "text").limit(SAMPLE_ROWS)
-    texts = [r["text"] for r in chosen.collect()]
+    key = F.xxhash64(F.lit(7), "doc_id", "text").alias("key")
+    short = docs.filter(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", "text", key)
+    # the least keys first, as each task sends its own least rows to the driver
+    chosen = F.broadcast(short.select("key").orderBy("key").limit(SAMPLE_ROWS))
+    texts = [r["text"] for r in short.join(chosen, "key", "left_semi").orderBy("key", "doc_id", "text").limit(SAMPLE_ROWS).collect()]
     samples = list(encoder(content, width).encode(pa.array(texts, pa.string())))
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
