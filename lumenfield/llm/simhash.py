@@ -5,18 +5,22 @@
 2. Equal fingerprints collapse to one representative (the smallest id), by a partial aggregation.
 3. Each distinct fingerprint is dealt to buckets, one for each entry of ``keys`` (lists of bit positions
    whose bits must be equal). ``exact_keys`` are pigeonhole keys: whatever is within the radius shares
-   one bucket at least. Buckets with one member are dropped, large ones are cut into shards, and each
-   pair of shards of a bucket is a unit of work of its own, so no bucket has to fit one task.
-4. In each unit a BK-tree (children keyed by integer Hamming distance to the parent; only edges within
+   one bucket at least. Buckets with one member are dropped, large ones are cut into shards.
+4. In each shard a BK-tree (children keyed by integer Hamming distance to the parent; only edges within
    the radius are followed) finds links. A union-find keeps only links that join two classes, so a
-   unit returns fewer links than it has members, whatever the size of a group of copies.
-5. Spark joins the links into connected components (``components``).
-
-``drop_near_duplicates`` decides by the exact Jaccard similarity of shingle sets instead, over candidates from MinHash keys.
+   shard returns fewer links than it has members, whatever the size of a group of copies. Each shard of a large bucket
+   also holds the bucket's least member, which joins what the shards find.
+5. Only large buckets that still hold several classes are compared across shards: what isn't of a bucket's main class is searched
+   in the trees of all its shards.
+6. Spark joins the links into connected components (``components``). A node is a fingerprint, not an id, so rows that share an id stay apart.
+
+``drop_near_duplicates`` takes the same way with wide fingerprints in buckets of MinHash keys, and lets the exact Jaccard similarity of shingle
+sets decide on what the trees find.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from itertools import combinations
 
@@ -95,7 +99,7 @@ def exact_keys(bits: int, radius: int, agree: int = 2) -> list[list[int]]:
 
 
 def bucket_rows(keys: list[list[int]]):
-    """mapInPandas function: ``(rep, fp)`` to a row ``(bucket, rep)`` for each key."""
+    """mapInPandas function: ``(node, fp)`` to a row ``(bucket, node)`` for each key."""
     base = len(keys).bit_length()
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -105,7 +109,7 @@ def bucket_rows(keys: list[list[int]]):
                 raw = np.unpackbits(np.frombuffer(b"".join(part.fp), np.uint8).reshape(len(part), -1), axis=1)
                 for k, positions in enumerate(keys):
                     value = raw[:, positions].astype(np.int64) @ (np.int64(1) << np.arange(len(positions), dtype=np.int64))
-                    yield pd.DataFrame({"bucket": (value << base) | k, "rep": part.rep.to_numpy()})
+                    yield pd.DataFrame({"bucket": (value << base) | k, "node": part.node.to_numpy()})
 
     return rows
 
@@ -162,79 +166,174 @@ class BKTree:
             node = node[2][d]
 
 
+class Classes(dict):
+    """A union-find of integers; ``join`` says whether it joined two classes."""
+
+    def find(self, x: int) -> int:
+        top = x
+        while (up := self.get(top, top)) != top:
+            top = up
+        while x != top:
+            self[x], x = top, self.get(x, x)
+        return top
+
+    def join(self, a: int, b: int) -> bool:
+        x, y = self.find(a), self.find(b)
+        if x != y:
+            self[max(x, y)] = min(x, y)
+        return x != y
+
+
 def forest_links(radius: int):
-    """mapInPandas function: sorted rows of units to the links that join their classes."""
+    """mapInPandas function: sorted rows of shards to the links that join their classes."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parent: dict[int, int] = {}
-        found: list[tuple[int, int]] = []
+        classes, found = Classes(), []
         unit, tree = None, None
 
-        def find(x: int) -> int:
-            top = x
-            while (up := parent.get(top, top)) != top:
-                top = up
-            while x != top:
-                parent[x], x = top, parent.get(x, x)
-            return top
-
         def link(a: int, b: int) -> None:
-            x, y = find(a), find(b)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
+            if classes.join(a, b):
                 found.append((a, b))
 
         for pdf in batches:
-            for bucket, a, b, own, rep, fp in zip(pdf.bucket, pdf.a, pdf.b, pdf.own, pdf.rep, pdf.fp):
-                if unit != (bucket, a, b):
-                    unit, tree = (bucket, a, b), BKTree(radius, find, link)
-                    parent.clear()
+            for bucket, shard, node, fp in zip(pdf.bucket, pdf.shard, pdf.node, pdf.fp):
+                if unit != (bucket, shard):
+                    classes.clear()
+                    unit, tree = (bucket, shard), BKTree(radius, classes.find, link)
                 value = int.from_bytes(fp, "big")
-                if a == b or own == b:
-                    near = tree.search(value, rep)
-                elif a != b:
-                    near = tree_home(tree, value, link, rep)
-                if a == b or own == a:
-                    tree.insert(value, rep, near)
+                tree.insert(value, node, tree.search(value, node))
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
             found.clear()
 
     return rows
 
 
-def tree_home(tree: BKTree, fp: int, link, rep: int) -> list | None:
-    """A node whose ball can hold ``fp``, on the way that ``insert`` takes; joins them (their shard has this link too)."""
-    node = tree.root
-    while node is not None:
-        d = (node[0] ^ fp).bit_count()
-        if d <= tree.slack:
-            link(rep, node[1])
-            return node
-        node = node[2].get(d)
-    return None
+class SearchTree:
+    """A BK-tree that gives all items within the radius of a fingerprint. Items with equal fingerprints share a node."""
+
+    def __init__(self):
+        self.root = None
+
+    def insert(self, fp: int, item) -> None:
+        node = self.root
+        if node is None:
+            self.root = (fp, [item], {})
+        while node is not None:
+            d = (node[0] ^ fp).bit_count()
+            if d == 0:
+                node[1].append(item)
+                return
+            if d not in node[2]:
+                node[2][d] = (fp, [item], {})
+                return
+            node = node[2][d]
+
+    def within(self, fp: int, radius: int) -> Iterator:
+        todo = [self.root] if self.root else []
+        while todo:
+            own, items, children = todo.pop()
+            d = (own ^ fp).bit_count()
+            if d <= radius:
+                yield from items
+            todo += (child for edge, child in children.items() if -radius <= edge - d <= radius)
+
+
+def cross_links(radius: int, similarity: float | None = None):
+    """mapInPandas function: sorted rows of units, members (``side`` 0) before what is searched among them (1), to links of classes (``label``).
+
+    With ``similarity`` what is within the radius is linked only if its ``hashes`` have that Jaccard similarity.
+    """
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        classes, unit, tree = Classes(), None, None
+        for pdf in batches:
+            found = []
+            sets = pdf.hashes if similarity is not None else pdf.label
+            for bucket, a, b, side, label, fp, own in zip(pdf.bucket, pdf.a, pdf.b, pdf.side, pdf.label, pdf.fp, sets):
+                if unit != (bucket, a, b):
+                    classes.clear()
+                    unit, tree = (bucket, a, b), SearchTree()
+                value = int.from_bytes(fp, "big")
+                if side == 0:
+                    tree.insert(value, (label, own))
+                    continue
+                for other, its in tree.within(value, radius):
+                    if classes.find(label) != classes.find(other) and (similarity is None or alike(own, its, similarity)):
+                        classes.join(label, other)
+                        found.append((label, other))
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return rows
+
+
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sorted sets have that Jaccard similarity."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) < similarity * len(b) - 1e-6:
+        return False
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = int(np.count_nonzero(b[at] == a))
+    return both / (len(a) + len(b) - both) >= similarity
+
+
+def counted_members(rows: DataFrame) -> DataFrame:
+    """``(bucket, node, n, leader)`` of buckets with several members: their number and the least of them."""
+    many = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
+    return stash(rows.join(many, "bucket"), "buckets")
+
+
+def shards_of(members: DataFrame, shard_rows: int) -> DataFrame:
+    """``(bucket, shard, node)``: each member in a shard of its bucket, and the least one in all of them."""
+    shards = F.ceil(F.col("n") / shard_rows).cast("int")
+    own = F.array(F.pmod(F.xxhash64("node"), shards).cast("int"))
+    return members.select("bucket", F.explode(F.when(F.col("node") == F.col("leader"), F.sequence(F.lit(0), shards - 1)).otherwise(own)).alias("shard"), "node")
+
+
+def cross_units(rows: DataFrame, shard_rows: int, shard_weight: int) -> DataFrame:
+    """``(bucket, a, b, side, node, label)`` of buckets of ``rows`` (``bucket, node, label, weight``) that hold several classes.
+
+    What isn't of a bucket's main class (side 1) is searched among all its members (side 0), shard by shard. A shard has
+    about ``shard_rows`` rows and ``shard_weight`` of weight at most.
+    """
+    sizes = rows.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum("weight").alias("weight"))
+    sizes = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("weight").alias("all_weight"), F.max(F.struct("n", "weight", "label")).alias("main"), F.count("*").alias("classes"))
+    parts = lambda n, weight: F.greatest(F.ceil(n / shard_rows), F.ceil(weight / shard_weight), F.lit(1)).cast("int")
+    mixed = sizes.filter("classes > 1").select(
+        "bucket", F.col("main.label").alias("main"), parts(F.col("n"), F.col("all_weight")).alias("all_parts"),
+        parts(F.col("n") - F.col("main.n"), F.col("all_weight") - F.col("main.weight")).alias("other_parts"),
+    )
+    joined = rows.join(mixed, "bucket")
+    own = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    base = joined.select("bucket", every("other_parts").alias("a"), own("all_parts").alias("b"), F.lit(0).alias("side"), "node", "label")
+    asked = joined.filter("label != main").select("bucket", own("other_parts").alias("a"), every("all_parts").alias("b"), F.lit(1).alias("side"), "node", "label")
+    return base.unionByName(asked)
 
 
 def near_classes(fps: DataFrame, radius: int, keys: list[list[int]], shard_rows: int = 4096) -> DataFrame:
     """``(fp, rep, component)`` for each distinct fingerprint of ``fps`` (``id``, ``fp``).
 
     ``rep`` is the smallest id with that fingerprint, ``component`` the smallest id reachable by links of at
-    most ``radius`` differing bits. Rows whose ids are all null keep a null ``rep`` and ``component``.
+    most ``radius`` differing bits; both are null where there is none.
     """
-    reps = stash(fps.groupBy("fp").agg(F.min("id").alias("rep")), "reps")
-    known = reps.filter(F.col("rep").isNotNull())
+    known = stash(fps.groupBy("fp").agg(F.min("id").alias("rep")).withColumn("node", F.xxhash64("fp")), "reps")
     # shuffled first, as a few small files hold what becomes many rows
-    rows = known.repartition("rep").mapInPandas(bucket_rows(keys), "bucket long, rep long")
-    rows = stash(rows, "buckets")
-    many = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    members = rows.join(many, "bucket").join(known, "rep")
-    shards = F.ceil(F.col("n") / shard_rows).cast("int")
-    members = members.withColumn("shards", shards).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("shards")).cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-    units = members.select("bucket", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "rep", "fp")
-    units = units.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b", "own", "rep")
-    links = units.mapInPandas(forest_links(radius), "a long, b long").distinct()
+    rows = known.select("node", "fp").repartition("node").mapInPandas(bucket_rows(keys), "bucket long, node long")
+    members = counted_members(stash(rows, "buckets"))
+    own = known.select("node", "fp")
+    units = shards_of(members, shard_rows).join(own, "node")
+    units = units.repartition("bucket", "shard").sortWithinPartitions("bucket", "shard", "node")
+    links = stash(units.mapInPandas(forest_links(radius), "a long, b long").distinct(), "links")
     roots = connected_components(links)
-    return reps.join(roots, reps.rep == roots.node, "left").select("fp", "rep", F.coalesce("component", "rep").alias("component"))
+    large = members.filter(F.col("n") > shard_rows)
+    if not large.isEmpty():
+        labelled = large.join(roots, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label"), F.lit(1).alias("weight"))
+        crossed = cross_units(labelled, shard_rows, shard_rows).join(own, "node").repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b", "side", "node")
+        roots = connected_components(links.union(crossed.mapInPandas(cross_links(radius), "a long, b long").distinct()))
+    labelled = known.join(roots, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    least = labelled.groupBy("label").agg(F.min("rep").alias("component"))
+    return labelled.join(least, "label").select("fp", "rep", "component")
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, bits: int = 64, radius: int = 3, keys: list[list[int]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -253,11 +352,22 @@ def simhash_components(docs: DataFrame, shingle: int = 3, bits: int = 64, radius
 
 #: MinHash keys: two texts share one of TABLES keys of WIDTH minima with probability 1 - (1 - s**WIDTH)**TABLES: 0.99 at a similarity s of 0.8.
 WIDTH, TABLES = 8, 28
+#: Bits of the fingerprints of shingle sets.
+SET_BITS = 256
 _rng = np.random.default_rng(11)
 MASKS, FACTORS = _rng.integers(0, (1 << 64) - 1, (2, WIDTH * TABLES), np.uint64)
 FACTORS |= np.uint64(1)
 
 
+def set_radius(similarity: float, bits: int = SET_BITS) -> int:
+    """Bits in which the fingerprints of two sets of that Jaccard similarity differ, four standard deviations above the mean.
+
+    A bit differs with the angle between the sets as its probability, and up to a quarter more in sets of a few shingles.
+    """
+    p = 1.25 * math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(bits * p + 4 * math.sqrt(bits * p * (1 - p)))
+
+
 def shingle_set(text: str, shingle: int) -> np.ndarray:
     """The hashes of a text's distinct shingles, in order."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
@@ -273,107 +383,79 @@ def min_keys(h: np.ndarray) -> list[int]:
     return [signed(xxhash.xxh64_intdigest(raw[8 * WIDTH * k : 8 * WIDTH * (k + 1)], k)) for k in range(TABLES)]
 
 
-def signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
-def set_links(similarity: float):
-    """mapInPandas function: sorted rows of units to links of classes (``label``) that hold two sets of that Jaccard similarity."""
+def set_fingerprint(h: np.ndarray, bits: int = SET_BITS) -> bytes:
+    """The SimHash of a set of hashes, block by block."""
+    total = np.zeros(bits, np.int64)
+    for at in range(0, len(h), BLOCK):
+        total += set_bits(widen(h[at : at + BLOCK], bits))
+    return np.packbits(2 * total > len(h)).tobytes()
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parent: dict[int, int] = {}
-        held: list[tuple[int, frozenset]] = []
-        unit = None
-
-        def find(x: int) -> int:
-            while (up := parent.get(x, x)) != x:
-                parent[x] = parent.get(up, up)
-                x = up
-            return x
-
-        for pdf in batches:
-            found = []
-            for bucket, a, b, own, label, hashes in zip(pdf.bucket, pdf.a, pdf.b, pdf.own, pdf.label, pdf.hashes):
-                if unit != (bucket, a, b):
-                    unit = (bucket, a, b)
-                    parent.clear()
-                    held.clear()
-                mine, n = frozenset(hashes.tolist()), len(hashes)
-                if a == b or own == b:
-                    for other, its in held:
-                        m = len(its)
-                        if min(n, m) < similarity * max(n, m) - 1e-6 or (x := find(label)) == (y := find(other)):
-                            continue
-                        both = len(mine & its)
-                        if both / (n + m - both) >= similarity:
-                            parent[max(x, y)] = min(x, y)
-                            found.append((label, other))
-                if a == b or own == a:
-                    held.append((label, mine))
-            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return rows
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def similar_sets(sketches: DataFrame, texts: DataFrame, shingle: int, similarity: float, shard_rows: int = 1024) -> DataFrame:
-    """``(node, component)`` of the distinct shingle sets of ``sketches`` (``id``, ``text_hash``, ``node``, ``keys``) that are like another one.
+    """``(node, component)`` of the distinct shingle sets of ``sketches`` (``id, text_hash, node, keys, fp, size``) that are like another one.
 
-    Sets that share a key are candidates. The exact Jaccard similarity decides, so the only loss is what shares no key.
-    First each set is held against the least of its bucket, which settles pairs and large groups with one row a member. Buckets that
-    still hold several classes are cut into shards, and a unit for each pair of shards compares all sets of different classes.
+    Sets that share a key meet in a bucket. BK-trees over the fingerprints of its shards find links within ``set_radius``, and the exact
+    Jaccard similarity decides on them, so what is lost is what shares no key. A link that fails may have
+    stood for others, so buckets that then still hold several classes are searched again, with the exact similarity in the search.
     """
-    nodes = stash(sketches.groupBy("node").agg(F.min(F.struct("id", "text_hash")).alias("row"), F.first("keys").alias("keys")), "nodes")
-    rows = nodes.select("node", F.explode("keys").alias("bucket"))
-    many = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
-    members = stash(rows.join(many, "bucket"), "buckets")
+    radius = set_radius(similarity)
+    least = F.min(F.struct("id", "text_hash")).alias("row")
+    nodes = stash(sketches.groupBy("node").agg(least, *(F.first(c).alias(c) for c in ("keys", "fp", "size"))), "nodes")
+    members = counted_members(nodes.select("node", F.explode("keys").alias("bucket")))
     own = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "row.*")
     found = texts.join(own, ["id", "text_hash"]).select("node", "text").dropDuplicates(["node"])
 
     @F.pandas_udf("array<long>")
     def hashes(column: pd.Series) -> pd.Series:
-        return pd.Series([shingle_set(t, shingle).view(np.int64) for t in column], dtype=object)
+        return pd.Series([np.sort(shingle_set(t, shingle).view(np.int64)) for t in column], dtype=object)
 
     sets = stash(found.select("node", hashes("text").alias("hashes")), "sets")
-    pairs = members.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    units = shards_of(members, 4 * shard_rows).join(nodes.select("node", "fp"), "node")
+    units = units.repartition("bucket", "shard").sortWithinPartitions("bucket", "shard", "node")
+    pairs = stash(units.mapInPandas(forest_links(radius), "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     pairs = pairs.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
     both = F.size(F.array_intersect("left", "right"))
     first = stash(pairs.filter(both / (F.size("left") + F.size("right") - both) >= similarity).select("a", "b"), "first")
     labels = connected_components(first).select("node", F.col("component").alias("label"))
-    open_rows = members.filter("n > 2").join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("label", "node").alias("label"))
-    mixed = open_rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
-    shards = F.ceil(F.col("n") / shard_rows).cast("int")
-    units = open_rows.join(mixed, "bucket").withColumn("shards", shards).withColumn("own", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int"))
-    units = units.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).join(sets, "node")
-    units = units.select("bucket", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "node", "label", "hashes")
-    units = units.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b", "own", "node")
-    links = first.union(units.drop("node").mapInPandas(set_links(similarity), "a long, b long").distinct())
+    rows = members.filter("n > 2").select("bucket", "node").join(labels, "node", "left").join(nodes.select("node", F.col("size").alias("weight")), "node")
+    rows = stash(rows.select("bucket", "node", F.coalesce("label", "node").alias("label"), "weight"), "open")
+    crossed = cross_units(rows, shard_rows, 1 << 22).join(nodes.select("node", "fp"), "node").join(sets, "node")
+    crossed = crossed.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b", "side", "node")
+    links = first.union(crossed.drop("node").mapInPandas(cross_links(radius, similarity), "a long, b long").distinct())
     return connected_components(links)
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one row (the smallest ``doc_id``) of each class of near-duplicates.
+    """``docs`` with one row of each class of near-duplicates: the smallest ``doc_id``, among rows of one id that with the least hash of its text.
 
     Texts are near-duplicates if their sets of distinct ``shingle``-word shingles have a Jaccard similarity of ``similarity`` or more,
-    and classes are what such links connect. Rows without a ``doc_id`` and texts
-    without a word are no copies of anything and stay. Rows equal in ``doc_id`` and text count as one row;
-    different texts under one ``doc_id`` are not compared with each other.
+    and classes are what such links connect, also among different texts under one ``doc_id``. Of rows equal in ``doc_id`` and text one
+    stays. Rows without a ``doc_id`` and texts without a word are no copies of anything, and all of them stay.
     """
     text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
     worded = docs.filter(F.regexp_like(F.coalesce("text", F.lit("")), F.lit(WORD)) & F.col("doc_id").isNotNull())
     texts = worded.select(F.col("doc_id").alias("id"), text_hash.alias("text_hash"), "text")
 
-    @F.pandas_udf("node long, keys array<long>")
+    @F.pandas_udf("node long, keys array<long>, fp binary, size long")
     def sketch(column: pd.Series) -> pd.DataFrame:
-        sets = [shingle_set(t, shingle) for t in column]
-        return pd.DataFrame({"node": [signed(xxhash.xxh64_intdigest(h.tobytes(), SEED)) for h in sets], "keys": [min_keys(h) for h in sets]})
+        sets = (shingle_set(t, shingle) for t in column)
+        rows = [(signed(xxhash.xxh64_intdigest(h.tobytes(), SEED)), min_keys(h), set_fingerprint(h), len(h)) for h in sets]
+        return pd.DataFrame(rows, columns=["node", "keys", "fp", "size"])
 
     sketches = stash(texts.select("id", "text_hash", sketch("text").alias("s")).select("id", "text_hash", "s.*"), "sketches")
     classes = similar_sets(sketches, texts, shingle, similarity)
-    rows = sketches.drop("keys").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = rows.groupBy("component").agg(F.min("id").alias("least"))
-    drop = stash(rows.join(least, "component").filter("id != least").select("id", "text_hash").distinct().toDF("__id", "__hash"), "dropped")
-    kept = docs.join(drop, (F.col("doc_id") == F.col("__id")) & (text_hash == F.col("__hash")), "left_anti")
-    if not sketches.groupBy("id", "text_hash").count().filter("count > 1").isEmpty():
-        key = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-        kept = kept.withColumns({"__key": key, "__text": text_hash}).dropDuplicates(["doc_id", "__text", "__key"])
+    rows = sketches.select("id", "text_hash", "node").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = rows.groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("least"))
+    others = rows.join(least, "component").filter(F.struct("id", "text_hash") != F.col("least"))
+    drop = stash(others.select("id", "text_hash").distinct().toDF("__id", "__hash"), "dropped")
+    same = (F.col("doc_id") == F.col("__id")) & (text_hash == F.col("__hash"))
+    kept = docs.join(drop, same, "left_anti")
+    repeated = stash(sketches.groupBy("id", "text_hash").count().filter("count > 1").select("id", "text_hash").toDF("__id", "__hash"), "repeated")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, same, "left_semi").withColumn("__text", text_hash).dropDuplicates(["doc_id", "__text"]).drop("__text")
+        kept = kept.join(repeated, same, "left_anti").unionByName(once)
     return kept.select(docs.columns)

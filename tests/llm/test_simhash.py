@@ -1,11 +1,13 @@
 import random
+from collections import Counter
 
+import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
 from lumenfield.llm import simhash
 from lumenfield.llm.components import connected_components
-from tests.llm.data import AWKWARD, awkward, empty
+from tests.llm.data import AWKWARD, awkward, empty, sparse
 
 
 def plain_fingerprint(text, shingle=3):
@@ -103,9 +105,100 @@ def test_drop_near_duplicates(spark):
     want = [0, *(i for i, _ in rows[20:50]), 300, 301, 302, None, None]
     assert sorted(kept, key=str) == sorted(want, key=str)
     assert simhash.drop_near_duplicates(awkward(spark)).columns == awkward(spark).columns
+    assert sorted(map(str, simhash.drop_near_duplicates(sparse(spark)).collect())) == sorted(map(str, simhash.drop_near_duplicates(awkward(spark)).collect()))
     assert simhash.drop_near_duplicates(empty(spark)).collect() == []
 
 
+def test_rows_that_share_an_id(spark):
+    """Different texts under one id are nodes of their own: nothing unrelated is lost, near copies go, and blank rows stay whatever else repeats."""
+    rng = random.Random(6)
+    words = [[rng.choice("abcdefgh") + str(rng.randrange(10**6)) for _ in range(200)] for _ in range(3)]
+    a, b, c = (" ".join(w) for w in words)
+    near = lambda w: " ".join([*w[:100], "other", *w[101:]])
+    keep = lambda rows: sorted(tuple(r) for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert keep([(5, a), (5, b), (3, near(words[0])), (4, near(words[1]))]) == [(3, near(words[0])), (4, near(words[1]))]
+    assert len(keep([(5, a), (5, near(words[0])), (6, c)])) == 2
+    assert keep([(7, ""), (7, "")]) == [(7, "")] * 2
+    assert keep([(7, ""), (7, ""), (1, a), (1, a)]) == [(1, a), (7, ""), (7, "")]
+    rows = simhash.simhash_components(spark.createDataFrame([(5, a), (5, b), (3, a), (4, b)], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in rows} == {(5, 3), (5, 4), (3, 3), (4, 4)}
+
+
+def test_recall_of_near_duplicates(spark):
+    """On the documents of sf0.01 against all pairs: what a similarity of 0.8 or more should remove goes, and nothing else."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sets, holders, links = {}, {}, Counter()
+    for r in docs.collect():
+        if (r.text or "").split():
+            sets[r.doc_id] = set(simhash.shingle_set(r.text, 5).tolist())
+            for h in sets[r.doc_id]:
+                holders.setdefault(h, []).append(r.doc_id)
+    for own in holders.values():
+        links.update((a, b) for i, a in enumerate(own) for b in own[i + 1 :])
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (a, b), both in links.items():
+        if both / (len(sets[a]) + len(sets[b]) - both) >= 0.8:
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    want = {i for i in sets if find(i) != i}
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
+    assert len(want) > 50 and len(want & kept) <= 0.02 * len(want)
+    assert set(sets) - want <= kept
+
+
+def test_wide_fingerprints_of_similar_sets():
+    """Sets of a similarity of 0.8 are within the radius, also those of few shingles; unlike ones are not."""
+    rng = np.random.default_rng(1)
+    radius, gone = simhash.set_radius(0.8), 0
+    for n, m, both in [(4, 5, 4), (9, 9, 8), (12, 15, 12), (45, 45, 40), (400, 500, 400)] * 40:
+        h = rng.integers(0, 1 << 63, n + m - both, np.uint64)
+        a, b = (int.from_bytes(simhash.set_fingerprint(x), "big") for x in (h[:n], h[n - both :]))
+        c = int.from_bytes(simhash.set_fingerprint(rng.integers(0, 1 << 63, n, np.uint64)), "big")
+        gone += (a ^ b).bit_count() > radius
+        assert (a ^ c).bit_count() > radius
+    assert gone <= 2
+
+
+def test_large_buckets_of_several_classes(spark):
+    """Shards, the search across them and the exact similarity give what all pairs give."""
+    rng = random.Random(9)
+    rows = []
+    for g in range(6):
+        base = [f"{g}w{rng.randrange(10**6)}" for _ in range(120)]
+        for _ in range(25):
+            w = list(base)
+            for _ in range(rng.choice([0, 1, 2, 4])):
+                w[rng.randrange(120)] = f"n{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(w)))
+    texts = spark.createDataFrame(rows, "id long, text string").withColumn("text_hash", F.xxhash64("text"))
+    sets = {i: simhash.shingle_set(t, 5) for i, t in rows}
+    node = {i: simhash.signed(simhash.xxhash.xxh64_intdigest(h.tobytes(), 42)) for i, h in sets.items()}
+    data = [(i, node[i], simhash.min_keys(h), bytearray(simhash.set_fingerprint(h)), len(h)) for i, h in sets.items()]
+    sketches = spark.createDataFrame(data, "id long, node long, keys array<long>, fp binary, size long").join(texts.drop("text"), "id")
+    parent = {x: x for x in node.values()}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in sets:
+        for j in range(i):
+            both = len(set(sets[i].tolist()) & set(sets[j].tolist()))
+            if both / (len(sets[i]) + len(sets[j]) - both) >= 0.8:
+                x, y = find(node[i]), find(node[j])
+                parent[max(x, y)] = min(x, y)
+    for shard_rows in (1024, 4):
+        got = {r.node: r.component for r in simhash.similar_sets(sketches, texts, 5, 0.8, shard_rows).collect()}
+        assert {x: got.get(x, x) for x in parent} == {x: find(x) for x in parent}
+
+
 def test_near_duplicates_by_exact_similarity(spark):
     """Pairs just over 0.8 lose one text, pairs just under it none; so do a chain and a group whose least member links to few."""
     rng = random.Random(4)
