@@ -6,6 +6,7 @@ import hashlib
 import json
 import unicodedata
 from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from string import punctuation
 
@@ -14,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenfield.llm.common import Memo
+from lumenfield.llm.common import Memo, slices
 
 NONE = 1 << 60
 
@@ -175,43 +176,47 @@ class WordBPE:
         return len(ids), " ".join(map(self.digits.__getitem__, ids)), self.decode(ids)
 
 
-_own: dict[str, WordBPE] = {}
+_own: dict[tuple[str, int], WordBPE] = {}
 
 
-def bpe_of(content: str) -> WordBPE:
+def bpe_of(content: str, cached: int) -> WordBPE:
     """The tokenizer of this process for a file's content."""
-    key = hashlib.sha256(content.encode()).hexdigest()
+    key = hashlib.sha256(content.encode()).hexdigest(), cached
     if key not in _own:
-        _own[key] = WordBPE(content)
+        _own[key] = WordBPE(content, cached)
     return _own[key]
 
 
-def bpe_encode_decode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
+def bpe_encode_decode(docs: DataFrame, tokenizer_file: str, cached: int = 1 << 17) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids`` (decimal, a blank between) and ``decoded``; null texts are empty.
 
+    ``cached`` bounds what a worker remembers of words that it has seen (about 1 kB for each): fewer take more time and less memory.
+
     The tokenizer file is read on the driver and its content, of a fixed size, goes to the executors. Columns of ``docs`` with
     these names are replaced.
     """
     shared = broadcast_file(docs, tokenizer_file)
 
     @F.pandas_udf("struct<n_tokens: bigint, ids: string, decoded: string>")
-    def coded(texts: pd.Series) -> pd.DataFrame:
-        bpe = bpe_of(shared.value)
-        return pd.DataFrame([bpe.encode_text(t or "") for t in texts], columns=["n_tokens", "ids", "decoded"])
+    def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bpe = bpe_of(shared.value, cached)
+        for texts in (some for batch in batches for some in slices(batch)):
+            yield pd.DataFrame([bpe.encode_text(t or "") for t in texts], columns=["n_tokens", "ids", "decoded"])
 
     return spread(docs, coded(F.col("text")), ["n_tokens", "ids", "decoded"])
 
 
-def bpe_digests(docs: DataFrame, tokenizer_file: str) -> DataFrame:
+def bpe_digests(docs: DataFrame, tokenizer_file: str, cached: int = 1 << 17) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``, where only digests leave the tasks."""
     shared = broadcast_file(docs, tokenizer_file)
     sha = lambda x: hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest()
 
     @F.pandas_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>")
-    def coded(texts: pd.Series) -> pd.DataFrame:
-        bpe = bpe_of(shared.value)
-        rows = (bpe.encode_text(t or "") for t in texts)
-        return pd.DataFrame([(n, sha(ids), sha(decoded)) for n, ids, decoded in rows], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+    def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bpe = bpe_of(shared.value, cached)
+        for texts in (some for batch in batches for some in slices(batch)):
+            rows = (bpe.encode_text(t or "") for t in texts)
+            yield pd.DataFrame([(n, sha(ids), sha(decoded)) for n, ids, decoded in rows], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return spread(docs, coded(F.col("text")), ["n_tokens", "ids_sha256", "decoded_sha256"])
 

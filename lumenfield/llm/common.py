@@ -6,8 +6,11 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +86,14 @@ def sample_of(df: DataFrame, by: str, rows: int, seed: int = 7) -> DataFrame:
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(by)), F.col(by)).limit(rows)
 
 
+def slices(texts: pd.Series, size: int = 1 << 21) -> Iterator[pd.Series]:
+    """A batch of texts in runs of about ``size`` characters (a longer text is alone), so what is made from them stays small."""
+    ends = texts.str.len().fillna(0).cumsum().to_numpy() // size
+    cuts = [0, *(np.flatnonzero(ends[1:] != ends[:-1]) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield texts.iloc[a:b]
+
+
 class Memo(dict):
     """A bounded cache of ``make(key)``: when full, entries not used since the last clearing go.
 

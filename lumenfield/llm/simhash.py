@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenfield.llm.common import WORD, stash
+from lumenfield.llm.common import WORD, slices, stash
 from lumenfield.llm.components import connected_components
 
 SEED = 42
@@ -278,9 +278,29 @@ def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
 
 
 def counted_members(rows: DataFrame) -> DataFrame:
-    """``(bucket, node, n, leader)`` of buckets with several members: their number and the least of them."""
-    many = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
-    return stash(rows.join(many, "bucket"), "buckets")
+    """``(bucket, node, n, leader)`` of buckets with several members: their number and the least of them.
+
+    Of buckets with the same members one is kept.
+    """
+    same = ("n", "leader", "xor", "sum")
+    sums = F.bit_xor(F.xxhash64("node")).alias("xor"), F.sum(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 31))).alias("sum")
+    many = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader"), *sums).filter("n > 1")
+    many = stash(many.groupBy(*same).agg(F.min("bucket").alias("bucket")).select("bucket", "n", "leader"), "many")
+    return stash(likely(rows, many, "bucket").join(many, "bucket"), "buckets")
+
+
+def likely(rows: DataFrame, own: DataFrame, key: str, bits: int = 24) -> DataFrame:
+    """Those of ``rows`` whose ``key``, a hash, may be one of ``own``, so that few of them are shuffled to be joined with it.
+
+    A bitmap of ``2**bits`` bits holds the hashes of ``own``: ``2**(bits - 6)`` rows of a word each at most, which are broadcast. The
+    more hashes there are, the more other rows pass.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(1 << bits))
+    bit = F.expr("shiftleft(1L, cast(__place % 64 as int))")
+    marked = lambda df: df.withColumn("__place", place).withColumn("__word", F.expr("__place div 64"))
+    words = marked(own).groupBy("__word").agg(F.bit_or(bit).alias("__bits"))
+    found = marked(rows).join(F.broadcast(words), "__word").filter(F.col("__bits").bitwiseAND(bit) != 0)
+    return found.drop("__place", "__word", "__bits")
 
 
 def shards_of(members: DataFrame, shard_rows: int) -> DataFrame:
@@ -398,6 +418,7 @@ def signed(x: int) -> int:
 def similar_sets(sketches: DataFrame, texts: DataFrame, shingle: int, similarity: float, shard_rows: int = 1024) -> DataFrame:
     """``(node, component)`` of the distinct shingle sets of ``sketches`` (``id, text_hash, node, keys, fp, size``) that are like another one.
 
+    Sets are those of the low 32 bits of the shingles' hashes, where one in 10,000 shingles at most meets another by chance in texts of up to 400,000 words.
     Sets that share a key meet in a bucket. BK-trees over the fingerprints of its shards find links within ``set_radius``, and the exact
     Jaccard similarity decides on them, so what is lost is what shares no key. A link that fails may have
     stood for others, so buckets that then still hold several classes are searched again, with the exact similarity in the search.
@@ -407,11 +428,12 @@ def similar_sets(sketches: DataFrame, texts: DataFrame, shingle: int, similarity
     nodes = stash(sketches.groupBy("node").agg(least, *(F.first(c).alias(c) for c in ("keys", "fp", "size"))), "nodes")
     members = counted_members(nodes.select("node", F.explode("keys").alias("bucket")))
     own = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "row.*")
-    found = texts.join(own, ["id", "text_hash"]).select("node", "text").dropDuplicates(["node"])
+    found = likely(texts, own, "text_hash").join(own, ["id", "text_hash"]).select("node", "text").dropDuplicates(["node"])
 
-    @F.pandas_udf("array<long>")
-    def hashes(column: pd.Series) -> pd.Series:
-        return pd.Series([np.sort(shingle_set(t, shingle).view(np.int64)) for t in column], dtype=object)
+    @F.pandas_udf("array<int>")
+    def hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for column in (some for batch in batches for some in slices(batch)):
+            yield pd.Series([np.unique(shingle_set(t, shingle).astype(np.uint32).view(np.int32)) for t in column], dtype=object)
 
     sets = stash(found.select("node", hashes("text").alias("hashes")), "sets")
     units = shards_of(members, 4 * shard_rows).join(nodes.select("node", "fp"), "node")
@@ -441,10 +463,11 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     texts = worded.select(F.col("doc_id").alias("id"), text_hash.alias("text_hash"), "text")
 
     @F.pandas_udf("node long, keys array<long>, fp binary, size long")
-    def sketch(column: pd.Series) -> pd.DataFrame:
-        sets = (shingle_set(t, shingle) for t in column)
-        rows = [(signed(xxhash.xxh64_intdigest(h.tobytes(), SEED)), min_keys(h), set_fingerprint(h), len(h)) for h in sets]
-        return pd.DataFrame(rows, columns=["node", "keys", "fp", "size"])
+    def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for column in (some for batch in batches for some in slices(batch)):
+            sets = (shingle_set(t, shingle) for t in column)
+            rows = [(signed(xxhash.xxh64_intdigest(h.tobytes(), SEED)), min_keys(h), set_fingerprint(h), len(h)) for h in sets]
+            yield pd.DataFrame(rows, columns=["node", "keys", "fp", "size"])
 
     sketches = stash(texts.select("id", "text_hash", sketch("text").alias("s")).select("id", "text_hash", "s.*"), "sketches")
     classes = similar_sets(sketches, texts, shingle, similarity)
