@@ -45,7 +45,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row of the mix with its ids and the text decoded from them."""
     ship_package(spark)
-    return bpe.bpe_encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text")
+    # workers that served the other stages have less memory left
+    return bpe.bpe_encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), cached=1 << 15).drop("text")
 
 
 STAGES = [
