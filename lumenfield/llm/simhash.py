@@ -289,18 +289,22 @@ def counted_members(rows: DataFrame) -> DataFrame:
     return stash(likely(rows, many, "bucket").join(many, "bucket"), "buckets")
 
 
-def likely(rows: DataFrame, own: DataFrame, key: str, bits: int = 24) -> DataFrame:
-    """Those of ``rows`` whose ``key``, a hash, may be one of ``own``, so that few of them are shuffled to be joined with it.
+def marked(rows: DataFrame, own: DataFrame, key: str, bits: int = 24) -> DataFrame:
+    """``rows`` with ``__maybe``: whether their ``key``, a hash, may be one of ``own`` (a column of the same name), so that few rows need be shuffled to be joined.
 
     A bitmap of ``2**bits`` bits holds the hashes of ``own``: ``2**(bits - 6)`` rows of a word each at most, which are broadcast. The
-    more hashes there are, the more other rows pass.
+    more hashes there are, the more other rows are marked.
     """
     place = F.pmod(F.xxhash64(key), F.lit(1 << bits))
     bit = F.expr("shiftleft(1L, cast(__place % 64 as int))")
-    marked = lambda df: df.withColumn("__place", place).withColumn("__word", F.expr("__place div 64"))
-    words = marked(own).groupBy("__word").agg(F.bit_or(bit).alias("__bits"))
-    found = marked(rows).join(F.broadcast(words), "__word").filter(F.col("__bits").bitwiseAND(bit) != 0)
-    return found.drop("__place", "__word", "__bits")
+    placed = lambda df: df.withColumn("__place", place).withColumn("__word", F.expr("__place div 64"))
+    words = placed(own).groupBy("__word").agg(F.bit_or(bit).alias("__bits"))
+    maybe = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))
+    return placed(rows).join(F.broadcast(words), "__word", "left").withColumn("__maybe", maybe).drop("__place", "__word", "__bits")
+
+
+def likely(rows: DataFrame, own: DataFrame, key: str) -> DataFrame:
+    return marked(rows, own, key).filter("__maybe").drop("__maybe")
 
 
 def shards_of(members: DataFrame, shard_rows: int) -> DataFrame:
@@ -475,10 +479,13 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     least = rows.groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("least"))
     others = rows.join(least, "component").filter(F.struct("id", "text_hash") != F.col("least"))
     drop = stash(others.select("id", "text_hash").distinct().toDF("__id", "__hash"), "dropped")
-    same = (F.col("doc_id") == F.col("__id")) & (text_hash == F.col("__hash"))
-    kept = docs.join(drop, same, "left_anti")
+    same = (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__hash"))
     repeated = stash(sketches.groupBy("id", "text_hash").count().filter("count > 1").select("id", "text_hash").toDF("__id", "__hash"), "repeated")
+    # rows that neither list may hold stay where they are, without a shuffle
+    lists = drop.unionByName(repeated).select(F.col("__hash").alias("__text"))
+    rows = marked(docs.withColumn("__text", text_hash), lists, "__text")
+    checked = rows.filter("__maybe").join(drop, same, "left_anti")
     if not repeated.isEmpty():
-        once = kept.join(repeated, same, "left_semi").withColumn("__text", text_hash).dropDuplicates(["doc_id", "__text"]).drop("__text")
-        kept = kept.join(repeated, same, "left_anti").unionByName(once)
-    return kept.select(docs.columns)
+        once = checked.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "__text"])
+        checked = checked.join(repeated, same, "left_anti").unionByName(once)
+    return rows.filter("NOT __maybe").unionByName(checked).select(docs.columns)
