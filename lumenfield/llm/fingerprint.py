@@ -16,6 +16,7 @@ no size of the difference fills the lanes, and the scale (within 8 % or so) give
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
 from collections.abc import Iterable, Iterator
@@ -23,7 +24,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenfield.llm.common import shuffle_partitions
@@ -150,32 +151,45 @@ def fingerprint(text: str | None) -> np.ndarray:
     return vector(passages(text or ""))
 
 
+def bucket_of(cuts: list[tuple], key: Column) -> Column:
+    """How many of the sorted ``cuts`` a key isn't below, by a coarse and a fine search of about ``sqrt(len(cuts))`` steps each."""
+    k = max(1, math.isqrt(len(cuts)))
+    array = lambda some: F.from_json(F.lit(json.dumps([{"d": d, "h": h} for d, h in some])), "array<struct<d: bigint, h: bigint>>")
+    below = lambda some: F.size(F.filter(some, lambda c: c <= key))
+    coarse = below(array(cuts[::k]))
+    fine = below(F.slice(array(cuts), F.greatest(coarse - 1, F.lit(0)) * k + 1, F.lit(k)))
+    return F.when(coarse > 0, (coarse - 1) * k + fine).otherwise(0).cast("int")
+
+
 def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """``docs`` (``doc_id``, ``text``) with ``bucket``, ``place`` and ``guest``, laid out so that each task has its rows' successors.
 
-    Rows run by descending ``doc_id`` (null last, ties by text) and the first follows the last. Buckets are ranges of ids with about as
-    many rows each. The first row of each bucket is also a guest at the end of the bucket before it. The driver only gets as
-    many ids as there are buckets.
+    Rows run by descending ``doc_id`` (null last), those of one id by a hash of their texts, and the first follows the last. Buckets are ranges of
+    id and hash with about as many rows each, so rows of one id, or of none, may fill several; rows equal in both share one. The first row of
+    each bucket is also a guest at the end of the bucket before it. The driver only gets some keys for each bucket, to cut the ranges.
     """
     spark = docs.sparkSession
     parts = parts or shuffle_partitions(spark)
-    ids = docs.select(F.col("doc_id").cast("double").alias("d"))
-    cuts = sorted({*(ids.approxQuantile("d", [i / parts for i in range(1, parts)], 0.1 / parts) if parts > 1 else [])})
-    bounds = F.lit(cuts).cast("array<double>")
-    # a null id comes last, in a bucket below all others
-    bucket = F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(bounds, lambda b: b <= F.col("doc_id").cast("double"))))
-    rows = docs.select("doc_id", "text", bucket.cast("int").alias("bucket"))
-    heads = docs.select("doc_id", bucket.cast("int").alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("head")).collect()
-    order = sorted((r["bucket"] for r in heads), reverse=True)
-    head = {r["bucket"]: r["head"] for r in heads}
-    pairs = [(head[b], order[i - 1]) for i, b in enumerate(order)]
-    to = F.try_element_at(F.create_map(*(F.lit(x) for h, t in pairs if h is not None for x in (h, t))), F.col("doc_id")) if set(head) - {-1} else F.lit(None)
-    target = F.when(F.col("doc_id").isNull(), F.lit(dict(pairs).get(None))).otherwise(to).cast("int")
+    key = F.struct(F.col("doc_id").cast("long").alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    keys = docs.select(key.alias("key"))
+    share = min(1.0, 64.0 * parts / max(1, keys.count()))
+    order = lambda k: (k[0] is not None, k[0] or 0, k[1])
+    # only where ranges are cut depends on the sample, not what comes out
+    some = sorted(((r["key"]["d"], r["key"]["h"]) for r in keys.sample(share, 7).collect()), key=order)
+    cuts = sorted({some[len(some) * i // parts] for i in range(1, parts)}, key=order) if some else []
+    bucket = bucket_of(cuts, F.col("key")) if cuts else F.lit(0)
+    rows = docs.select("doc_id", "text", key.alias("key")).withColumn("bucket", bucket)
+    heads = {r["bucket"]: (r["head"]["d"], r["head"]["h"]) for r in rows.groupBy("bucket").agg(F.max("key").alias("head")).collect()}
+    full = sorted(heads, reverse=True)
+    before = {b: full[i - 1] for i, b in enumerate(full)}
+    known = [{"d": heads[b][0], "h": heads[b][1], "to": before[b]} if b in heads else None for b in range(len(cuts) + 1)]
+    head = F.element_at(F.from_json(F.lit(json.dumps(known)), "array<struct<d: bigint, h: bigint, to: int>>"), F.col("bucket") + 1)
+    first = head["d"].eqNullSafe(F.col("key.d")) & (head["h"] == F.col("key.h"))
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guest"))
-    other = F.struct(target.alias("bucket"), F.lit(True).alias("guest"))
-    out = rows.withColumn("__at", F.explode(F.when(target.isNotNull(), F.array(own, other)).otherwise(F.array(own))))
-    out = out.select("doc_id", "text", "__at.bucket", "__at.guest")
-    return out.repartition(parts, "bucket").sortWithinPartitions(F.desc("bucket"), "guest", F.desc_nulls_last("doc_id"), "text")
+    other = F.struct(head["to"].alias("bucket"), F.lit(True).alias("guest"))
+    out = rows.withColumn("__at", F.explode(F.when(first, F.array(own, other)).otherwise(F.array(own))))
+    out = out.select("doc_id", "text", "key", "__at.bucket", "__at.guest")
+    return out.repartitionByRange(parts, "bucket").sortWithinPartitions(F.desc("bucket"), "guest", F.desc("key"), "text")
 
 
 def edited(text: str, following: str) -> str:
@@ -187,7 +201,7 @@ def edited(text: str, following: str) -> str:
 def compare_next(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)`` of each row.
 
-    Null texts are empty; rows that repeat an id run in the order of their texts; a single row is its own next; an empty
+    Null texts are empty; rows that repeat an id run by a hash of their texts; a single row is its own next; an empty
     table gives an empty result; other columns are ignored.
     """
 
@@ -210,4 +224,4 @@ def compare_next(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64", "n_chars": "int64"})
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return with_next(docs).mapInPandas(rows, schema)
+    return with_next(docs).drop("key").mapInPandas(rows, schema)

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lumenfield.llm import fingerprint, html_extract, language_id, queries
 from tests.llm.data import AWKWARD, awkward, empty, sparse, written
@@ -156,6 +157,18 @@ def test_op8_awkward(spark):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_op8_rows_of_one_id_fill_several_tasks(spark):
+    """The order of rows of one id is by a hash of the text; every row but the last is followed by the next of them, whatever task holds it."""
+    texts = [f"text number {i} of those without an id" for i in range(3000)]
+    df = spark.createDataFrame([(None, t) for t in texts] + [(4, t + "!") for t in texts] + [(9, "one"), (1, "two")], "doc_id long, text string")
+    sizes = fingerprint.with_next(df, 8).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= 6 and max(r["count"] for r in sizes) < 2400
+    hashed = df.withColumn("h", F.xxhash64("text")).collect()
+    order = sorted(hashed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h), reverse=True)
+    want = sorted((str(x.doc_id), hashlib.sha256(fingerprint.edited(x.text, y.text).encode()).hexdigest()) for x, y in zip(order, order[1:] + order[:1]))
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in fingerprint.compare_next(df).collect()) == want
+
+
 ARTICLE = "<h1>The &amp; title</h1><p>First  <b>bold</b> part<br>with a&nbsp;break<p>Second &lt;x&gt; part that is somewhat longer than the first one.</p>"
 TEXT = "The & title First bold part with a break Second <x> part that is somewhat longer than the first one."
 PAGES = [
