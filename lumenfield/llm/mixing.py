@@ -44,71 +44,92 @@ def source_table(sized: DataFrame, weights: Sequence[float]) -> DataFrame:
     return table.withColumn("weight", F.element_at(F.lit(list(weights)), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int")))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_epochs: float = 3.0, seed: int = 5, rounds: int = 3) -> DataFrame:
-    """``(row, doc_id, source, size, source_size, target, copies)`` for each row of ``docs``.
+def row_keys(docs: DataFrame, seed: int) -> dict[str, Column]:
+    """``row``: a hash of id and text, which the seeded order goes by; ``full``: one of all columns (but maps), which only equal rows share."""
+    every = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    return {"row": F.xxhash64(F.lit(seed), F.col("doc_id"), F.coalesce("text", F.lit(""))), "full": F.xxhash64(*every)}
 
-    Each source is repeated as a whole ``floor(target / source_size)`` times. Its fractional repetition takes documents in a
-    seeded order while they fit. Each further round does so among those left that fit in what is missing; then the
-    one whose size is nearest to what is still missing is taken, if that helps. ``copies`` counts all and never is
-    above ``ceil(max_epochs)``. ``row`` is a hash of id and text: rows equal in both share it. Null and empty texts have size 0 and
-    are taken with the whole repetitions only. An empty table gives an empty result. Other columns are ignored.
+
+def mix_items(docs: DataFrame, weights: Sequence[float], max_epochs: float, seed: int, rounds: int) -> DataFrame:
+    """``(row, full, doc_id, source, size, equal, source_size, target, whole, extra)`` for each group of equal rows of ``docs``.
+
+    ``equal`` rows are taken ``whole`` times each, and ``extra`` of them once more.
     """
-    text = F.coalesce("text", F.lit(""))
-    sized = docs.select("doc_id", "source", n_words("text").alias("size"), F.xxhash64(F.lit(seed), "doc_id", text).alias("row"))
-    sized = stash(sized, "sizes")
-    sources = stash(targets(source_table(sized, weights), F.col("weight"), max_epochs), "targets")
+    keys = row_keys(docs, seed)
+    sized = docs.select("doc_id", "source", n_words("text").alias("size"), keys["row"].alias("row"), keys["full"].alias("full"))
+    sized = stash(sized.groupBy("row", "full", "doc_id", "source", "size").agg(F.count("*").alias("equal")), "sizes")
+    table = sized.withColumn("size", F.col("size") * F.col("equal"))
+    sources = stash(targets(source_table(table, weights), F.col("weight"), max_epochs), "targets")
 
     rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
     # floating-point noise under a whole number of repetitions must not become a fraction
     whole = F.floor(rate + 1e-9)
     need = F.greatest(F.col("target") - whole * F.col("source_size"), F.lit(0.0))
     plan = sources.select(F.col("source").alias("of"), "source_size", "target", whole.cast("int").alias("whole"), need.alias("need"))
-    rows = sized.join(plan, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    rows = rows.withColumns({"slice": F.pmod(F.col("row"), F.lit(SLICES)).cast("int"), "extra": F.lit(False)})
+    items = sized.join(plan, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    items = items.withColumns({"slice": F.pmod(F.col("row"), F.lit(SLICES)).cast("int"), "extra": F.lit(0).cast("long")})
     for k in range(rounds):
-        rows = stash(fill(missing_of(rows)), f"round-{k}")
-    rows = top_up(missing_of(rows))
-    return rows.select("row", "doc_id", "source", "size", "source_size", "target", (F.col("whole") + F.col("extra").cast("int")).alias("copies"))
+        items = stash(fill(missing_of(items)), f"round-{k}")
+    return top_up(missing_of(items))
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_epochs: float = 3.0, seed: int = 5, rounds: int = 3) -> DataFrame:
+    """``(row, doc_id, source, size, source_size, target, copies)`` for each row of ``docs``.
+
+    Each source is repeated as a whole ``floor(target / source_size)`` times. Its fractional repetition takes documents in a
+    seeded order while they fit. Each further round does so among those left that fit in what is missing; then the
+    one whose size is nearest to what is still missing is taken, if that helps. ``copies`` counts all and never is
+    above ``ceil(max_epochs)``. ``row`` is a hash of id and text. Equal rows are taken one by one like others. Null and empty texts have size 0 and
+    are taken with the whole repetitions only. An empty table gives an empty result. Other columns only tell equal rows from others.
+    """
+    items = mix_items(docs, weights, max_epochs, seed, rounds)
+    each = items.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("equal"))))
+    return each.select("row", "doc_id", "source", "size", "source_size", "target", (F.col("whole") + (F.col("i") <= F.col("extra")).cast("int")).alias("copies"))
 
 
-def missing_of(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``missing``: what their source's fractional repetition still lacks."""
-    had = rows.groupBy(F.col("source").alias("of")).agg(F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("had"))
-    joined = rows.join(stash(had, "had"), F.col("source").eqNullSafe(F.col("of")))
+def missing_of(items: DataFrame) -> DataFrame:
+    """``items`` with ``missing``: what their source's fractional repetition still lacks."""
+    had = items.groupBy(F.col("source").alias("of")).agg(F.sum(F.col("extra") * F.col("size")).alias("had"))
+    joined = items.join(stash(had, "had"), F.col("source").eqNullSafe(F.col("of")))
     return joined.withColumn("missing", F.col("need") - F.col("had")).drop("of", "had")
 
 
-def fill(rows: DataFrame) -> DataFrame:
+def fill(items: DataFrame) -> DataFrame:
     """Each source takes rows that fit in what is missing, in the seeded order, up to the first that no longer does."""
-    fits = ~F.col("extra") & (F.col("size") > 0) & (F.col("size") <= F.col("missing"))
-    rows = rows.withColumn("part", F.when(fits, F.col("size")).otherwise(0))
-    slices = rows.groupBy(F.col("source").alias("of"), F.col("slice").alias("at")).agg(F.sum("part").alias("slice_size"))
+    fits = (F.col("size") > 0) & (F.col("size") <= F.col("missing"))
+    items = items.withColumn("part", F.when(fits, F.col("size") * (F.col("equal") - F.col("extra"))).otherwise(0))
+    slices = items.groupBy(F.col("source").alias("of"), F.col("slice").alias("at")).agg(F.sum("part").alias("slice_size"))
     before = Window.partitionBy("of").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("start", F.coalesce(F.sum("slice_size").over(before), F.lit(0)))
-    inside = Window.partitionBy("source", "slice").orderBy("row", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.withColumn("end", F.sum("part").over(inside))
+    inside = Window.partitionBy("source", "slice").orderBy("row", "doc_id", "full").rowsBetween(Window.unboundedPreceding, 0)
+    out = items.withColumn("end", F.sum("part").over(inside))
     out = out.join(slices, F.col("source").eqNullSafe(F.col("of")) & (F.col("slice") == F.col("at")))
-    taken = (F.col("part") > 0) & (F.col("start") + F.col("end") <= F.col("missing"))
-    return out.withColumn("extra", F.col("extra") | taken).select(*(c for c in rows.columns if c not in ("part", "missing")))
+    room = F.floor((F.col("missing") - (F.col("start") + F.col("end") - F.col("part"))) / F.col("size"))
+    taken = F.when(F.col("part") > 0, F.greatest(F.least(F.col("equal") - F.col("extra"), room), F.lit(0))).otherwise(0)
+    return out.withColumn("extra", (F.col("extra") + taken).cast("long")).select(*(c for c in items.columns if c not in ("part", "missing")))
 
 
-def top_up(rows: DataFrame) -> DataFrame:
+def top_up(items: DataFrame) -> DataFrame:
     """Each source also takes the row, among those left, whose size is nearest to what is missing, if that helps."""
     off = F.abs(F.col("missing") - F.col("size"))
-    usable = ~F.col("extra") & (F.col("size") > 0) & (off < F.col("missing"))
-    best = rows.filter(usable).groupBy("source").agg(F.min(F.struct(off.alias("off"), "row", "doc_id")).alias("best"))
-    best = stash(best.select(F.col("source").alias("of"), F.col("best.row").alias("row_of"), F.col("best.doc_id").alias("id_of")), "top-up")
-    out = rows.join(best, F.col("source").eqNullSafe(F.col("of")), "left")
-    # rows that are equal in id and text can't be told apart: they are taken together
-    one = F.col("row").eqNullSafe(F.col("row_of")) & F.col("doc_id").eqNullSafe(F.col("id_of")) & F.col("row_of").isNotNull()
-    return out.withColumn("extra", F.col("extra") | one).drop("of", "row_of", "id_of")
+    usable = (F.col("extra") < F.col("equal")) & (F.col("size") > 0) & (off < F.col("missing"))
+    best = items.filter(usable).groupBy("source").agg(F.min(F.struct(off.alias("off"), "row", "doc_id", "full")).alias("best"))
+    best = stash(best.select(F.col("source").alias("of"), F.col("best.row").alias("row_of"), F.col("best.doc_id").alias("id_of"), F.col("best.full").alias("full_of")), "top-up")
+    out = items.join(best, F.col("source").eqNullSafe(F.col("of")), "left")
+    one = (F.col("row") == F.col("row_of")) & (F.col("full") == F.col("full_of")) & F.col("doc_id").eqNullSafe(F.col("id_of"))
+    return out.withColumn("extra", F.col("extra") + F.coalesce(one, F.lit(False)).cast("long")).drop("of", "row_of", "id_of", "full_of")
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_epochs: float = 3.0, seed: int = 5) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it."""
-    text = F.coalesce("text", F.lit(""))
-    taken = mix(docs, weights, max_epochs, seed).filter("copies > 0")
-    copies = taken.groupBy(F.col("row").alias("__row"), F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies"))
-    keyed = docs.withColumn("__key", F.xxhash64(F.lit(seed), "doc_id", text))
-    joined = keyed.join(copies, (F.col("__key") == F.col("__row")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(docs.columns)
+    """The rows of ``docs``, each as often as the mix takes it. Of equal rows one stands for all."""
+    items = mix_items(docs, weights, max_epochs, seed, 3)
+    copies = stash(
+        items.select(F.col("full").alias("__key"), F.col("doc_id").alias("__id"), F.col("equal").alias("__equal"), (F.col("whole") * F.col("equal") + F.col("extra")).alias("__copies")).filter("__copies > 0"), "copies"
+    )
+    keyed = docs.withColumn("__full", row_keys(docs, seed)["full"])
+    same = (F.col("__full") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    joined = keyed.join(copies.filter("__equal = 1"), same)
+    several = copies.filter("__equal > 1")
+    if not several.isEmpty():
+        joined = joined.unionByName(keyed.join(several, same, "left_semi").dropDuplicates(["__full", "doc_id"]).join(several, same))
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies").cast("long")))).select(docs.columns)
