@@ -92,6 +92,12 @@ def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, categories: Sequen
     return Chain(list(categories), terms, weights)
 
 
+def labelled_rows(docs: DataFrame, labels: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """All documents with a label in each category; a repeated label counts as its greatest value."""
+    known = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*(F.max(c).cast("int").alias(c) for c in categories))
+    return docs.select("doc_id", "text").join(known.dropna(subset=list(categories)), "doc_id")
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, categories: Sequence[str], max_rows: int) -> DataFrame:
     known = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*(F.max(c).cast("int").alias(c) for c in categories))
     known = known.dropna(subset=list(categories))
@@ -99,18 +105,33 @@ def training_rows(docs: DataFrame, labels: DataFrame, categories: Sequence[str],
     return docs.select("doc_id", "text").join(chosen, "doc_id")
 
 
+#: Distinct terms that a task counts before it hands them on.
+HELD = 1 << 18
+
+
 def term_counts(categories: Sequence[str]):
+    """mapInPandas function: labelled texts to terms and how many texts, and how many of each category, have them."""
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, hits = Counter(), [Counter() for _ in categories]
+
+        def made() -> pd.DataFrame:
+            out = pd.DataFrame({"term": list(n), "n": list(n.values())} | {f"n_{c}": [h[t] for t in n] for c, h in zip(categories, hits)})
+            for x in (n, *hits):
+                x.clear()
+            return out
+
         for pdf in batches:
-            n: Counter = Counter()
-            hits = [Counter() for _ in categories]
             for text, *y in zip(pdf.text, *(pdf[c] for c in categories)):
                 own = terms_of(text)
                 n.update(own)
                 for h, v in zip(hits, y):
                     if v:
                         h.update(own)
-            yield pd.DataFrame({"term": list(n), "n": list(n.values())} | {f"n_{c}": [h[t] for t in n] for c, h in zip(categories, hits)})
+                if len(n) > HELD:
+                    yield made()
+        if n:
+            yield made()
 
     return rows
 
@@ -140,9 +161,9 @@ def choose_terms(rows: DataFrame, categories: Sequence[str], per_category: int)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: Sequence[str], max_rows: int = MAX_TRAIN_ROWS, per_category: int = TERMS) -> Chain:
-    """A chain fitted on at most ``max_rows`` labelled documents; folds are by crc32 of the id."""
+    """A chain fitted on at most ``max_rows`` labelled documents, over terms that are counted in all of them; folds are by crc32 of the id."""
+    terms = choose_terms(labelled_rows(docs, labels, categories), categories, per_category)
     rows = training_rows(docs, labels, categories, max_rows)
-    terms = choose_terms(rows, categories, per_category)
     chain = Chain(list(categories), terms, [])
 
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
