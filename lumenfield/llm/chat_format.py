@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -65,16 +65,41 @@ REGISTRY: Mapping[str, Mapping_] = {fingerprint(x.paths): x for x in LAYOUTS}
 
 
 def layout_of(df: DataFrame, id_col: str, registry: Mapping[str, Mapping_]) -> Mapping_:
-    """The mapping of ``df``'s layout: that of all its paths, or else the one with most paths among them (extra columns)."""
+    """The mapping whose fingerprint is that of ``df``'s layout, or, with extra columns, that of the paths which the mapping needs; the one with most paths of them."""
     paths = field_paths(T.StructType([f for f in df.schema.fields if f.name != id_col]))
     if (own := registry.get(fingerprint(paths))) is not None:
         return own
-    known = [m for m in registry.values() if set(m.paths) <= set(paths)]
+    known = [m for m in registry.values() if fingerprint([p for p in m.paths if p in paths]) in registry and registry[fingerprint([p for p in m.paths if p in paths])] is m]
     if not known:
         raise ValueError(f"no mapping for a layout with the paths {sorted(paths)}")
     return max(known, key=lambda m: (len(m.paths), m.paths))
 
 
+TURNS = "array<struct<turn: bigint, role: string, text: string>>"
+
+
+def turns_of(use: Mapping_, value: Callable[[str], Column]) -> Column:
+    """The turns of one row of a layout with messages or fields, from its columns (``value`` of a name)."""
+    if use.messages:
+        items, role, text = use.messages
+        return F.transform(value(items), lambda m, i: F.struct(i.cast("long").alias("turn"), m[role].alias("role"), m[text].alias("text")))
+    made = []
+    for role, *columns in use.fields:
+        parts = F.array_compact(F.array(*(F.when(value(c) != "", value(c)) for c in columns)))
+        made.append(F.struct(F.lit(role).alias("role"), F.when(F.size(parts) > 0, F.array_join(parts, "\n\n")).alias("text")))
+    return F.transform(F.filter(F.array(*made), lambda m: m["text"].isNotNull()), lambda m, i: F.struct(i.cast("long").alias("turn"), m["role"], m["text"]))
+
+
+def named(role: Column, use: Mapping_) -> Column:
+    names = F.create_map(*(F.lit(x) for pair in use.roles for x in pair))
+    return F.coalesce(names[F.coalesce(role, F.lit(""))], role, F.lit(""))
+
+
+def complete(turns: Column, use: Mapping_) -> Column:
+    """Turns with canonical roles and without nulls."""
+    return F.transform(turns, lambda t: F.struct(t["turn"].alias("turn"), named(t["role"], use).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text")))
+
+
 def canonical_turns(df: DataFrame, id_col: str = "conv_id", registry: Mapping[str, Mapping_] = REGISTRY) -> DataFrame:
     """``(conv_id, turn, role, text)`` of any registered layout; null roles and texts become empty."""
     use = layout_of(df, id_col, registry)
@@ -82,46 +107,38 @@ def canonical_turns(df: DataFrame, id_col: str = "conv_id", registry: Mapping[st
     if use.rows:
         turn, role, text = (F.col(c) for c in use.rows)
         out = df.select(conv, turn.cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    elif use.messages:
-        items, role, text = use.messages
-        out = df.select(conv, F.posexplode(items).alias("turn", "__m"))
-        out = out.select("conv_id", F.col("turn").cast("long"), F.col("__m")[role].alias("role"), F.col("__m")[text].alias("text"))
     else:
-        made = []
-        for role, *columns in use.fields:
-            parts = F.array_compact(F.array(*(F.when(F.col(c) != "", F.col(c)) for c in columns)))
-            made.append(F.struct(F.lit(role).alias("role"), F.when(F.size(parts) > 0, F.array_join(parts, "\n\n")).alias("text")))
-        out = df.select(conv, F.posexplode(F.filter(F.array(*made), lambda m: m["text"].isNotNull())).alias("turn", "__m"))
-        out = out.select("conv_id", F.col("turn").cast("long"), "__m.role", "__m.text")
-    names = F.create_map(*(F.lit(x) for pair in use.roles for x in pair))
-    role = F.coalesce("role", F.lit(""))
-    return out.select("conv_id", "turn", F.coalesce(names[role], role).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+        out = df.select(conv, F.inline(turns_of(use, F.col)))
+    return out.select("conv_id", "turn", named(F.col("role"), use).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def variant_layouts(df: DataFrame, column: str, id_col: str = "conv_id", registry: Mapping[str, Mapping_] = REGISTRY) -> DataFrame:
-    """Turns of a column of JSON texts whose layout differs from row to row.
+def variant_layouts(df: DataFrame, column: str, id_col: str = "conv_id", registry: Mapping[str, Mapping_] = REGISTRY) -> tuple[DataFrame, DataFrame]:
+    """``(turns, rejects)`` of a column of JSON texts whose layout differs from row to row; layouts of one turn a row aren't looked for.
 
-    Each row's fingerprint is made of the paths of its own value; a row that isn't JSON or whose paths no mapping
-    has gives no turn.
+    Each row's fingerprint is that of the paths of its own value, and the mapping with that fingerprint makes its turns, in one pass for all layouts.
+    A row that is null, isn't JSON or whose paths no mapping has is a reject (``conv_id, value, error``).
     """
-    value = F.try_parse_json(F.col(column))
-    shape = F.schema_of_variant(value)
-    parsed = df.select(F.col(id_col).alias("conv_id"), value.alias("__v"), F.regexp_replace(shape, r": (?:STRING|VOID|BIGINT|DOUBLE|DECIMAL\(\d+,\d+\)|BOOLEAN)", "").alias("__shape"))
-    out = None
+    text = F.col(column)
+    value = F.try_parse_json(text)
+    shape = F.regexp_replace(F.schema_of_variant(value), r": (?:STRING|VOID|BIGINT|DOUBLE|DECIMAL\(\d+,\d+\)|BOOLEAN)", "")
+    parsed = df.select(F.col(id_col).alias("conv_id"), text.alias("value"), value.alias("__v"), F.sha2(shape, 256).alias("__shape"))
+    turns = F.lit(None).cast(TURNS)
     for use in registry.values():
         if use.rows:
             continue
         if use.messages:
-            items, role, text = use.messages
-            like = f"OBJECT<{items}: ARRAY<OBJECT<{', '.join(sorted((role, text)))}>>>"
-            kind = f"struct<{items}: array<struct<{', '.join(f'`{c}`: string' for c in (role, text))}>>>"
+            items, role, text_of = use.messages
+            like = f"OBJECT<{items}: ARRAY<OBJECT<{', '.join(sorted((role, text_of)))}>>>"
+            kind = f"struct<{items}: array<struct<{', '.join(f'`{c}`: string' for c in (role, text_of))}>>>"
         else:
             like = f"OBJECT<{', '.join(sorted(use.paths))}>"
             kind = f"struct<{', '.join(f'`{c}`: string' for c in use.paths)}>"
-        own = parsed.filter(F.col("__shape") == like).select("conv_id", F.try_variant_get("__v", "$", kind).alias("__row")).select("conv_id", "__row.*")
-        turns = canonical_turns(own, "conv_id", {fingerprint(use.paths): use})
-        out = turns if out is None else out.unionByName(turns)
-    return out
+        row = F.try_variant_get("__v", "$", kind)
+        turns = F.when(F.col("__shape") == hashlib.sha256(like.encode()).hexdigest(), complete(turns_of(use, row.getField), use)).otherwise(turns)
+    out = parsed.withColumn("turns", turns)
+    error = F.when(F.col("value").isNull(), "null").when(F.col("__v").isNull(), "not JSON").otherwise("no mapping for this layout")
+    rejects = out.filter(F.col("turns").isNull()).select("conv_id", "value", error.alias("error"))
+    return out.filter(F.col("turns").isNotNull()).select("conv_id", F.inline("turns")), rejects
 
 
 def control_pattern(controls: Sequence[str] = CONTROLS) -> tuple[str, str]:
@@ -159,7 +176,7 @@ def format_chats(turns: DataFrame, trained_role: str = "assistant") -> DataFrame
 
     ``formatted`` has ``<|im_start|>role\\ntext<|im_end|>\\n`` for each turn, by turn; ties are put in the order of role and text.
     ``loss_spans`` are ``(start, length)`` in code points of the texts of ``trained_role``. Turns without a ``conv_id`` are one
-    conversation; roles and texts may be null (then empty). One conversation's turns are one row, so they meet in one task.
+    conversation; roles and texts may be null (then empty). One conversation is one row, so it has to fit in one: its turns meet in one task.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"))

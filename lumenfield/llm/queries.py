@@ -64,6 +64,19 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chat_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as JSON rows of three layouts by turns, brought back to turns: what the fingerprints of their paths select."""
+    rows = table(spark, sf_dir, "conversations").filter("conv_id IS NOT NULL")
+    message = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    whole = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(message)).alias("m"))
+    sent = lambda role, text, name: F.to_json(F.struct(F.transform("m", lambda x: F.struct(x["role"].alias(role), x["text"].alias(text))).alias(name)))
+    pair = (F.size("m") == 2) & (F.col("m")[0]["role"] == "user") & (F.col("m")[1]["role"] == "assistant") & (F.col("m")[0]["text"] != "") & (F.col("m")[1]["text"] != "")
+    prompt = F.to_json(F.struct(F.col("m")[0]["text"].alias("prompt"), F.col("m")[1]["text"].alias("response")))
+    layout = F.when(pair, prompt).when(F.col("conv_id") % 2 == 0, sent("role", "content", "messages")).otherwise(sent("from", "value", "conversations"))
+    turns, _ = chat_format.variant_layouts(whole.select("conv_id", layout.alias("raw")), "raw")
+    return turns.select("conv_id", "turn", "role", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -88,10 +101,15 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_output, op3_language, op4_html, op5_mixing, op6_chat_format, op7_simhash, op8_fingerprint, op9_bpe, op10_quality, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_output, op3_language, op4_html, op5_mixing, op6_chat_format, op7_simhash, op8_fingerprint, op9_bpe, op10_quality, pipeline, chat_layouts)}
 
 #: The others hash, fit or tokenize in ways that SQL doesn't have; tests hold them against brute force.
 ORACLE_SQL = {
+    "chat_layouts": """
+        SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, coalesce(role, ''), coalesce(text, '')) - 1 AS BIGINT) AS turn,
+            coalesce(role, '') AS role, sha256(coalesce(text, '')) AS text_sha256
+        FROM conversations WHERE conv_id IS NOT NULL
+    """,
     "op6_chat_format": r"""
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

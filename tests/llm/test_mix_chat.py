@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenfield.llm import chat_format, mixing, queries
-from tests.llm.data import AWKWARD, awkward, empty
+from tests.llm.data import AWKWARD, awkward, empty, sparse
 
 
 def plain_targets(sizes, weights, epochs):
@@ -60,6 +60,21 @@ def test_mix_awkward(spark):
     out = mixing.mixed_documents(awkward(spark))
     assert out.columns == awkward(spark).columns and out.count() > 0
     assert mixing.mix(empty(spark)).collect() == [] and mixing.mixed_documents(empty(spark)).collect() == []
+    taken = lambda df: sorted(map(str, mixing.mix(df).select('doc_id', 'source', 'copies').collect()))
+    assert taken(sparse(spark)) == taken(awkward(spark))
+
+
+def test_equal_rows_are_taken_one_by_one(spark):
+    """A source of equal rows, in several tasks, comes near its target, and none is taken more than three times."""
+    rows = [(1, "the same five words here", "a")] * 10_000 + [(i, f"word {i} of others", "b") for i in range(2, 4000)] + [(None, "no id", "c")] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    out = mixing.mix(df).toPandas()
+    assert len(out) == len(rows)
+    for source, own in out.assign(taken=out.copies * out["size"]).groupby("source"):
+        assert abs(own.taken.sum() - own.target.iloc[0]) <= 5 and own.copies.max() <= 3, source
+        assert own.copies.max() - own.copies.min() <= 1
+    taken = out.groupby("source").copies.sum().to_dict()
+    assert {r.source: r["count"] for r in mixing.mixed_documents(df).groupBy("source").count().collect()} == taken
 
 
 def test_mixed_documents_repeat_whole_rows(spark, sf_dir):
@@ -103,6 +118,14 @@ def test_op6_on_the_whole_table(spark, sf_dir):
     assert not convs
 
 
+def test_chat_layouts_equal_the_conversations(spark, sf_dir):
+    """Conversations written as rows of three layouts give the turns that the table has."""
+    got = {(r.conv_id, r.turn, r.role, r.text_sha256) for r in queries.chat_layouts(spark, sf_dir).collect()}
+    sha = lambda x: hashlib.sha256((x or "").encode()).hexdigest()
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()
+    assert got == {(r.conv_id, r.turn, r.role, sha(r.text)) for r in rows if r.conv_id is not None} and len(got) > 0
+
+
 def test_layouts(spark):
     one = [("user", "q"), ("assistant", "a")]
     frames = [
@@ -117,5 +140,7 @@ def test_layouts(spark):
         chat_format.canonical_turns(spark.sql("SELECT 1 AS conv_id, 2 AS other"))
     texts = ['{"prompt": "q", "response": "a"}', '{"response": "a", "prompt": "q"}', '{"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}',
              '{"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}', "not json", None, '{"x": 1}']
-    rows = chat_format.variant_layouts(spark.createDataFrame(list(enumerate(texts)), "conv_id long, raw string"), "raw").orderBy("conv_id", "turn").collect()
+    turns, rejects = chat_format.variant_layouts(spark.createDataFrame(list(enumerate(texts)), "conv_id long, raw string"), "raw")
+    rows = turns.orderBy("conv_id", "turn").collect()
+    assert [(r.conv_id, r.error) for r in rejects.orderBy("conv_id").collect()] == [(4, "not JSON"), (5, "null"), (6, "no mapping for this layout")]
     assert [(r.conv_id, r.role, r.text) for r in rows] == [(i, *t) for i in range(4) for t in one]
