@@ -128,7 +128,8 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0),
     )
     keyed = docs.withColumn("__full", row_keys(docs, seed)["full"])
     same = (F.col("__full") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    joined = keyed.join(copies.filter("__equal = 1"), same)
+    # shuffled at every size, as what is taken grows with the documents
+    joined = keyed.join(copies.filter("__equal = 1").hint("merge"), same)
     several = copies.filter("__equal > 1")
     if not several.isEmpty():
         joined = joined.unionByName(keyed.join(several, same, "left_semi").dropDuplicates(["__full", "doc_id"]).join(several, same))
