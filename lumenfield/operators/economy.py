@@ -20,10 +20,11 @@ def sol_per_capita(df: DataFrame) -> DataFrame:
     return df.withColumn("sol_per_capita", F.when((F.col("month") == 0) & (F.col("population") > 0), F.round(F.col("sol_cal") / F.col("population"), 6)))
 
 
-def night_economy_view(economy: DataFrame, provinces: DataFrame, annual: DataFrame, first: int = 2014, last: int = 2025) -> DataFrame:
+def night_economy_view(economy: DataFrame, provinces: DataFrame, annual: DataFrame, first: int = 2014, last: int = 2025, minimum: int = 8) -> DataFrame:
     """Economy rows of known provinces with their light, by province number and year.
 
-    ``sol_per_capita`` is unrounded here and null if either side is null or zero; ``beta_tinh`` is the slope of the province.
+    ``sol_per_capita`` is unrounded here and null if either side is null or zero; ``beta_tinh`` is the slope of the
+    province, null under ``minimum`` pairs.
     """
     money = economy.filter(F.col("year").between(first, last))
     rows = money.select("province_code", "year", "population", F.coalesce("grdp", "gdp").alias("grdp"), "grdp_price_basis", "source")
@@ -31,5 +32,5 @@ def night_economy_view(economy: DataFrame, provinces: DataFrame, annual: DataFra
     rows = rows.join(annual.select("province_code", "year", "sol"), ["province_code", "year"], "left")
     some = (F.col("sol") != 0) & (F.col("population") != 0)
     rows = rows.withColumn("sol_per_capita", F.when(some, F.col("sol") / F.when(some, F.col("population"))))
-    slopes = elasticity_by_province(rows).select("province_code", F.col("beta").alias("beta_tinh"))
+    slopes = elasticity_by_province(rows, minimum=minimum).select("province_code", F.col("beta").alias("beta_tinh"))
     return rows.join(slopes, "province_code", "left").orderBy("number", "year")

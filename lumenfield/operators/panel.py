@@ -8,8 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenfield.functions.columns import period
-from lumenfield.operators.timefn import time_functions
 from lumenfield.schemas import FIRST_YEAR, INDICATORS, LAST_YEAR, unit_of
 
 TABLES = {code: (annual, monthly) for code, annual, monthly, _ in INDICATORS}
@@ -110,15 +108,6 @@ def panel_cells(long: DataFrame) -> DataFrame:
     return long.filter("value IS NOT NULL").select("province_code", "province_name", "period", "indicator", "unit", "value", "source")
 
 
-def panel_functions(long: DataFrame, names: Sequence[str]) -> DataFrame:
-    """A row for each province and indicator with the time functions over its periods."""
-    return time_functions(long, names)
-
-
 def panel_meta(long: DataFrame) -> DataFrame:
     """How many provinces have a value, and whether a month was asked for."""
     return long.agg(F.count_distinct(F.when(F.col("value").isNotNull(), F.col("province_code"))).alias("provinces_with_data"), F.bool_or(F.length("period") > 4).alias("has_months"))
-
-
-def label_periods(df: DataFrame) -> DataFrame:
-    return df.withColumn("period", period())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import gcd
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 from lumenfield.functions.columns import is_valid
 
 
-def mosaic(pixel: DataFrame, order: str = "tile") -> DataFrame:
-    """One value for each grid cell: of the first tile, by ``order``, that has data there."""
+def mosaic(pixel: DataFrame, order: str = "tile", keys: Sequence[str] = ()) -> DataFrame:
+    """One value for each grid cell of each image set (``keys``): of the first tile, by ``order``, that has data there."""
     ok = pixel.filter(is_valid())
-    return ok.groupBy("row", "col").agg(F.min_by("radiation", order).alias("radiation"), F.min(order).alias("tile"))
+    return ok.groupBy(*keys, "row", "col").agg(F.min_by("radiation", order).alias("radiation"), F.min(order).alias("tile"))
 
 
 def edges(rings: DataFrame) -> DataFrame:
@@ -77,6 +78,16 @@ def all_bbox(rings: DataFrame) -> DataFrame:
     return province_bbox(rings).agg(F.min("west").alias("west"), F.min("south").alias("south"), F.max("east").alias("east"), F.max("north").alias("north"))
 
 
+def rings_of_cells(cells: DataFrame) -> DataFrame:
+    """``(province_code, ring)``: a closed ring around each run of neighbouring cells in a row (``province_code, row, col``), with rows going down from 0."""
+    w = Window.partitionBy("province_code", "row").orderBy("col")
+    runs = cells.select("province_code", "row", "col").distinct().withColumn("run", F.col("col") - F.row_number().over(w))
+    runs = runs.groupBy("province_code", "row", "run").agg(F.min("col").alias("first"), (F.max("col") + 1).alias("last"))
+    point = lambda x, y: F.struct(x.cast("double").alias("x"), (-y).cast("double").alias("y"))
+    top, low, left, right = F.col("row"), F.col("row") + 1, F.col("first"), F.col("last")
+    return runs.select("province_code", F.array(point(left, top), point(right, top), point(right, low), point(left, low), point(left, top)).alias("ring"))
+
+
 def boundary_stats(rings: DataFrame) -> DataFrame:
     """Rings and vertices of each province, most complex first."""
     return rings.groupBy("province_code").agg(F.count("*").alias("rings"), F.sum(F.size("ring")).alias("vertices")).orderBy(F.desc("vertices"), "province_code")
@@ -93,12 +104,19 @@ def code_mismatch(rings: DataFrame, provinces: DataFrame, n: int = 10) -> DataFr
     return extra.unionByName(known.join(file, "province_code", "left_anti").orderBy("province_code").limit(n).withColumn("problem", F.lit("not in file")))
 
 
-def overview(pixel: DataFrame, factors: Sequence[int] = (2, 4, 8, 16, 32)) -> DataFrame:
-    """Average of the valid pixels of each ``factor`` x ``factor`` block, for all factors in one pass."""
-    k = F.explode(F.array(*(F.lit(f) for f in factors))).alias("factor")
-    rows = pixel.filter(is_valid()).select("row", "col", "radiation", k)
-    block = lambda c: F.floor(F.col(c) / F.col("factor")).cast("int").alias(c)
-    return rows.groupBy("factor", block("row"), block("col")).agg(F.round(F.avg("radiation"), 6).alias("radiation"), F.count("*").alias("n"))
+def overview(pixel: DataFrame, factors: Sequence[int] = (2, 4, 8, 16, 32), keys: Sequence[str] = ()) -> DataFrame:
+    """Average of the valid pixels of each ``factor`` x ``factor`` block, for all factors and each image (``keys``).
+
+    Pixels are aggregated once, to sums and counts of the blocks that all factors are made of (their greatest common divisor);
+    what is repeated for each factor are these blocks.
+    """
+    step = gcd(*factors)
+    block = lambda c, k: F.floor(F.col(c) / k).cast("int").alias(c)
+    fine = pixel.filter(is_valid()).groupBy(*keys, block("row", step), block("col", step)).agg(F.sum("radiation").alias("sum"), F.count("*").alias("n"))
+    rows = fine.withColumn("factor", F.explode(F.array(*(F.lit(f) for f in factors))))
+    k = F.col("factor") / step
+    out = rows.groupBy(*keys, "factor", block("row", k), block("col", k)).agg(F.sum("sum").alias("sum"), F.sum("n").alias("n"))
+    return out.select(*keys, "factor", "row", "col", F.round(F.col("sum") / F.col("n"), 6).alias("radiation"), "n")
 
 
 def rgb_quicklook(pixel: DataFrame, factor: int, top: float = 3000.0) -> DataFrame:

@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenfield.functions.columns import pct
-from lumenfield.operators import catalogue, economy, models, panel, quality, raster, series, shaping, tables, timefn, zonal
+from lumenfield.operators import catalogue, economy, export, models, panel, quality, raster, series, shaping, tables, timefn, zonal
+from lumenfield.plans import inputs
 from lumenfield.plans import sql as S
+from lumenfield.plans.base import ORACLE_SQL, QUERIES, query
 from lumenfield.sources import adapter as A
 from lumenfield.sources import ingest
+from lumenfield.sources.shared import shared_path
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if oracle:
-            ORACLE_SQL[f.__name__] = oracle
-        return f
-
-    return add
-
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 def coarser(df):
     """Percentages of round areas to two digits: at the last one ties are common, and the two engines break them differently."""
@@ -125,12 +112,24 @@ def ntl_panel(spark, d):
     return tables.ntl_panel(A.annual(spark, d), A.monthly(spark, d)).select("province_code", "year", "month", "source", "sol", "sol_density", "obs_status")
 
 
-@query(f"""{S.ANNUAL}, l AS (SELECT {', '.join(tables.LIGHT_FIELDS)} FROM ac WHERE province_code = '05' AND year BETWEEN 2010 AND 2014)
+@query(f"""{S.ANNUAL}, l AS (SELECT {', '.join(tables.LIGHT_FIELDS)} FROM ac WHERE province_code = '05' AND year BETWEEN 2007 AND 2014)
     SELECT * REPLACE (round(sol_cal, 4) AS sol_cal, round(lit_area_pct, 2) AS lit_area_pct) FROM l""")
 def province_light(spark, d):
-    empty = A.economy(spark, d)
-    day = spark.createDataFrame([], "province_code string, " + ", ".join(f"{c} int" for c in tables.DAY_FIELDS))
-    return tables.province_series(A.provinces(spark, d), A.annual(spark, d, True), day, empty, "5", 2010, 2014)["light"].withColumns({"sol_cal": F.round("sol_cal", 4), "lit_area_pct": F.round("lit_area_pct", 2)})
+    return own_series(spark, d)["light"].withColumns({"sol_cal": F.round("sol_cal", 4), "lit_area_pct": F.round("lit_area_pct", 2)})
+
+
+def own_series(spark, d):
+    return tables.province_series(A.provinces(spark, d), A.annual(spark, d, True), inputs.day_rows(spark, d), A.economy(spark, d), "5", 2007, 2014)
+
+
+@query(f"{S.PIXELS}, day AS ({S.DAY_ROWS}) SELECT year, 'S2' AS source, ndvi AS NDVI_mean, 'OK' AS status FROM day WHERE province_code = '05' AND year BETWEEN 2007 AND 2014")
+def province_day(spark, d):
+    return own_series(spark, d)["day"].select("year", "source", "NDVI_mean", "status")
+
+
+@query(f"WITH {S.PROV}, {S.ECONOMY} SELECT year, population, round(grdp, 2) AS gdp, round(grdp / population, 6) AS gdp_per_capita, 'orders' AS source FROM econ WHERE province_code = '05' AND year BETWEEN 2007 AND 2014")
+def province_economy(spark, d):
+    return own_series(spark, d)["economy"].withColumns({"gdp": F.round("gdp", 2), "gdp_per_capita": F.round("gdp_per_capita", 6)})
 
 
 VIEW = f"""{S.ANNUAL_AND_ECONOMY}, v AS (SELECT e.province_code, e.year, e.population, e.grdp, p.province_name, p.number, ac.sol FROM econ e JOIN prov p USING (province_code)
@@ -147,6 +146,20 @@ def night_economy_view(spark, d):
     return view_rows(spark, d).select("province_code", "year", "population", F.round("grdp", 2).alias("grdp"), "province_name", "number", "sol", F.round("sol_per_capita", 9).alias("sol_per_capita"))
 
 
+@query(f"""{VIEW}, b AS (SELECT province_code, round(regr_slope(ln(grdp), ln(sol)), 6) AS beta FROM v WHERE sol > 0 AND grdp > 0 GROUP BY province_code HAVING count(*) >= 5 AND regr_sxx(ln(grdp), ln(sol)) > 0)
+    SELECT v.province_code, v.year, b.beta AS beta_tinh FROM v LEFT JOIN b USING (province_code)""")
+def province_slopes(spark, d):
+    """The slope of each province beside its rows, from five pairs on."""
+    rows = economy.night_economy_view(A.economy(spark, d), A.provinces(spark, d), A.annual(spark, d), 2009, 2015, minimum=5)
+    return rows.select("province_code", "year", "beta_tinh")
+
+
+@query(f"""{VIEW}, f AS (SELECT count(*) AS n, regr_r2(ln(grdp), ln(sol)) AS r2 FROM v WHERE sol > 0 AND grdp > 0)
+    SELECT n, CASE WHEN n < 10 THEN 'under 10 usable observations' WHEN r2 < 0.5 THEN 'R2 under 0.5: the relation is weak' ELSE '' END AS warnings FROM f""")
+def elasticity_warnings(spark, d):
+    return models.elasticity_pooled(view_rows(spark, d)).select("n", F.array_join("warnings", "; ").alias("warnings"))
+
+
 @query(f"{VIEW} SELECT {S.fit('sol', 'grdp', 6)} FROM v WHERE sol > 0 AND grdp > 0 HAVING count(*) >= 10")
 def elasticity_pooled(spark, d):
     return models.elasticity_pooled(view_rows(spark, d)).select("alpha", "beta", "r2", "n")
@@ -201,6 +214,14 @@ def panel_cells(spark, d):
     return panel.panel_cells(panel_rows(spark, d)).drop("unit").withColumn("value", F.round("value", 4))
 
 
+@query(f"""{PANEL} SELECT province_code, indicator, period, round(p.value, 4) AS value FROM p WHERE province_code IN ('01', '02', '17') AND indicator IN ('sol', 'gdp') AND period IN ('2012', '2014-01')""")
+def panel_of_provinces(spark, d):
+    """Only some provinces, by codes with and without a zero, and indicators with blanks around them."""
+    tables_ = A.tables(spark, d, "ntl_annual", "ntl_monthly", "economy")
+    rows = panel.panel_long(tables_, A.provinces(spark, d), [" sol ", "gdp", ""], ["2014-01", "2012"], ["1", "02", " 17 "])
+    return rows.select("province_code", "indicator", "period", F.round("value", 4).alias("value"))
+
+
 @query(f"{PANEL} SELECT count(DISTINCT province_code) FILTER (p.value IS NOT NULL) AS provinces_with_data, bool_or(length(period) > 4) AS has_months FROM p")
 def panel_meta(spark, d):
     return panel.panel_meta(panel_rows(spark, d))
@@ -224,12 +245,19 @@ def time_functions_refused(spark, d):
     return out.select("province_code", "indicator", "tong", "cagr", F.size("refused").alias("n_refused"))
 
 
-@query(f"""{S.BOTH} SELECT p.province_code, p.number, p.province_name, count(ac.year) AS light_rows, 0 AS day_rows FROM prov p LEFT JOIN ac USING (province_code) GROUP BY ALL""")
+@query(f"""{S.BOTH} SELECT p.province_code, p.number, p.province_name, count(ac.year) AS light_rows,
+    (SELECT count(*) FROM ({S.DAY}) x WHERE x.province_code = p.province_code) AS day_rows FROM prov p LEFT JOIN ac USING (province_code) GROUP BY ALL""")
 def provinces_with_counts(spark, d):
     out = catalogue.provinces_with_counts(A.provinces(spark, d), A.annual(spark, d), A.day(spark, d))
     return out.select("province_code", "number", "province_name", "light_rows", "day_rows")
 
 
+@query(f"""{S.BOTH} SELECT p.province_code, p.province_name, count(ac.year) AS light_rows FROM prov p LEFT JOIN ac USING (province_code) WHERE p.province_code = '07' GROUP BY ALL""")
+def province_row(spark, d):
+    out = catalogue.provinces_with_counts(A.provinces(spark, d), A.annual(spark, d), A.day(spark, d))
+    return catalogue.province(out, " 7 ").select("province_code", "province_name", "light_rows")
+
+
 @query(f"""{S.ANNUAL_AND_ECONOMY} SELECT 'light' AS kind, year, count(*) AS rows FROM ac GROUP BY year UNION ALL SELECT 'economy', year, count(*) FROM econ GROUP BY year
     UNION ALL SELECT 'day', year, count(*) FROM ({S.DAY}) GROUP BY year""")
 def coverage(spark, d):
@@ -238,8 +266,7 @@ def coverage(spark, d):
 
 @query(S.coverage_sql())
 def indicator_coverage(spark, d):
-    out = catalogue.indicator_coverage(A.tables(spark, d))
-    return out.filter(F.col("indicator").isin(*S.COVERED)).select("indicator", "provinces", "first_year", "last_year")
+    return catalogue.indicator_coverage(A.tables(spark, d)).select("indicator", "provinces", "first_year", "last_year")
 
 
 @query(f"""{S.ANNUAL}, c AS (SELECT province_code, rad_cv AS v FROM ac WHERE year = 2014 AND rad_cv IS NOT NULL), q AS (SELECT min(v) AS lo, max(v) AS hi, list_sort(list(v))[count(*) // 2 + 1] AS med FROM c)
@@ -254,11 +281,42 @@ def choropleth_monthly(spark, d):
     return catalogue.choropleth({"ntl_monthly": A.monthly(spark, d)}, "sol_ma3", 2014)
 
 
-@query(f"""{S.ANNUAL} SELECT province_code, CAST(min(year) <= 2009 AND max(year) >= 2010 AS INT) + 1 AS n_warnings, false AS simulated FROM ac GROUP BY province_code HAVING count(DISTINCT source) > 1""")
+@query(f"""{S.ANNUAL_AND_ECONOMY}, day AS ({S.DAY}), codes AS (SELECT DISTINCT province_code FROM ac UNION SELECT province_code FROM day UNION SELECT province_code FROM econ),
+    l AS (SELECT province_code, min(year) <= 2009 AND max(year) >= 2010 AS crosses, count(DISTINCT source) > 1 AS mixed FROM ac GROUP BY ALL), t AS (SELECT province_code, bool_or(year BETWEEN 2015 AND 2018) AS toa FROM day GROUP BY ALL)
+    SELECT province_code, concat_ws(' ', CASE WHEN toa THEN '{quality.TOA}' END, CASE WHEN crosses THEN '{quality.BREAK_2010}' END, CASE WHEN mixed THEN '{quality.USE_CALIBRATED}' END) AS warnings, false AS simulated
+    FROM codes LEFT JOIN l USING (province_code) LEFT JOIN t USING (province_code)""")
 def series_warnings(spark, d):
-    rows = A.annual(spark, d, True)
-    mixed = rows.groupBy("province_code").agg(F.count_distinct("source").alias("n")).filter("n > 1").select("province_code")
-    return quality.series_warnings(rows).join(mixed, "province_code", "left_semi").select("province_code", F.size("warnings").alias("n_warnings"), "simulated")
+    out = quality.series_warnings(A.annual(spark, d, True), A.day(spark, d), A.economy(spark, d))
+    return out.select("province_code", F.array_join("warnings", " ").alias("warnings"), "simulated")
+
+
+#: Economy rows of which some are labelled as simulated.
+MARKED = "CASE WHEN year % 3 = 0 THEN 'gia_lap b=' || year % 2 ELSE 'orders' END"
+
+
+def marked_economy(spark, d):
+    marked = F.concat(F.lit("gia_lap b="), F.col("year") % 2)
+    return A.economy(spark, d).withColumn("source", F.when(F.col("year") % 3 == 0, marked).otherwise("orders"))
+
+
+@query(f"WITH {S.PROV}, {S.ECONOMY} SELECT coalesce(string_agg(DISTINCT {MARKED}, ';' ORDER BY {MARKED}) FILTER (year % 3 = 0), '') AS labels FROM econ")
+def simulated_labels(spark, d):
+    return quality.simulated_labels(marked_economy(spark, d)).select(F.array_join("simulated_labels", ";").alias("labels"))
+
+
+@query(f"""WITH {S.PROV}, {S.ECONOMY} SELECT CASE WHEN bool_or(year % 3 = 0) THEN '{quality.SIMULATED_WARNING} ' ELSE '' END || CASE WHEN count(DISTINCT year % 2) > 1 THEN 'It is not known whether GRDP is in constant or current prices.'
+    WHEN max(year % 2) = 1 THEN 'GRDP is in current prices, so the elasticity holds inflation too.' ELSE '' END AS warnings FROM econ""")
+def economy_warnings(spark, d):
+    return quality.economy_warnings(marked_economy(spark, d)).select(F.array_join("warnings", " ").alias("warnings"))
+
+
+@query(f"""{S.ANNUAL}, y AS (SELECT min(year) AS lo, max(year) AS hi FROM ac), w(position, warning, fires) AS (SELECT 1, '{quality.BREAK_2010}', lo <= 2009 AND hi >= 2010 FROM y UNION ALL SELECT 2, '{quality.BREAK_2014}', lo <= 2013 AND hi >= 2013 FROM y
+        UNION ALL SELECT 3, '{quality.TOA}', (SELECT bool_or(year BETWEEN 2015 AND 2018) FROM ac) UNION ALL SELECT 4, '{quality.PROVIDED}', true)
+    SELECT warning FROM w WHERE fires""")
+def panel_warnings(spark, d):
+    """What a panel over all years of the annual table (at most some dozens) has to say."""
+    years = [r["year"] for r in A.annual(spark, d).select("year").distinct().collect()]
+    return spark.createDataFrame([(w,) for w in quality.panel_warnings(["sol", "NDVI_mean", "gdp"], years)] if years else [], "warning string")
 
 
 @query(f"WITH {S.PROV}, {S.ECONOMY} SELECT string_agg(DISTINCT CASE WHEN year % 2 = 0 THEN 'so_sanh' ELSE 'hien_hanh' END, ',' ORDER BY CASE WHEN year % 2 = 0 THEN 'so_sanh' ELSE 'hien_hanh' END) AS bases, CAST(NULL AS BOOLEAN) AS constant_prices FROM econ")
@@ -286,25 +344,24 @@ def sparse_series(spark, d):
     return out.select("user_id", "day", "value", F.round(F.avg("value").over(w.rangeBetween(-2, 0)), 4).alias("calendar_ma3"), "row_ma3", F.col("row_mom_growth_pct").alias("row_change_pct"))
 
 
-def tiles(spark, d):
-    return A.pixels(spark, d).filter("source = 'VIIRS' AND year = 2014")
-
-
-@query(f"""{S.PIXELS}, v AS (SELECT * FROM pixel WHERE source = 'VIIRS' AND year = 2014 AND mask), f AS (SELECT "row", col, min(province_code) AS tile FROM v GROUP BY ALL)
-    SELECT f."row", f.col, f.tile, count(*) AS n, max(radiation) AS brightest FROM f JOIN v ON v."row" = f."row" AND v.col = f.col AND v.province_code = f.tile GROUP BY ALL""")
+@query(f"""{S.PIXELS}, v AS (SELECT * FROM pixel WHERE mask), f AS (SELECT source, year, "row", col, min(province_code) AS tile FROM v GROUP BY ALL)
+    SELECT f.source, f.year, f."row", f.col, f.tile, count(*) AS n, max(radiation) AS brightest FROM f JOIN v ON v.source = f.source AND v.year = f.year AND v."row" = f."row" AND v.col = f.col AND v.province_code = f.tile GROUP BY ALL""")
 def mosaic(spark, d):
-    """Several pixels of a tile can share a cell here, so the brightest of the winning tile is shown."""
+    """A mosaic of each annual image set. Several pixels of a tile can share a cell here, so the brightest of the winning tile is shown."""
     from lumenfield.functions.columns import is_valid
 
-    rows = tiles(spark, d).groupBy("province_code", "row", "col").agg(F.max(F.when(is_valid(), F.col("radiation"))).alias("radiation"), F.count_if(is_valid()).alias("n"), F.lit(True).alias("mask"))
-    won = raster.mosaic(rows, "province_code")
-    return won.join(rows.select("row", "col", F.col("province_code").alias("tile"), "n"), ["row", "col", "tile"]).select("row", "col", "tile", "n", F.col("radiation").alias("brightest"))
+    rows = A.pixels(spark, d).groupBy("source", "year", "province_code", "row", "col").agg(F.max(F.when(is_valid(), F.col("radiation"))).alias("bright"), F.count_if(is_valid()).alias("n"))
+    # the number of pixels goes with the tile, so the tiles need not be joined again
+    tile = rows.select("source", "year", "row", "col", F.struct("province_code", "n").alias("tile"), F.col("bright").alias("radiation"), F.lit(True).alias("mask"))
+    won = raster.mosaic(tile, "tile", ["source", "year"])
+    return won.select("source", "year", "row", "col", F.col("tile.province_code").alias("tile"), F.col("tile.n").alias("n"), F.col("radiation").alias("brightest"))
 
 
-@query(f"""{S.PIXELS} SELECT k AS factor, "row" // k AS "row", col // k AS col, round(avg(radiation), 6) AS radiation, count(*) AS n
-    FROM pixel CROSS JOIN (VALUES (2), (4), (8), (16), (32)) f(k) WHERE source = 'VIIRS' AND year = 2014 AND mask GROUP BY ALL""")
+@query(f"""{S.PIXELS} SELECT source, year, k AS factor, "row" // k AS "row", col // k AS col, round(avg(radiation), 6) AS radiation, count(*) AS n
+    FROM pixel CROSS JOIN (VALUES (2), (4), (8), (16), (32)) f(k) WHERE mask GROUP BY ALL""")
 def overview(spark, d):
-    return raster.overview(tiles(spark, d))
+    """The overviews of every annual image set."""
+    return raster.overview(A.pixels(spark, d), keys=["source", "year"])
 
 
 @query(f"""{S.PIXELS} SELECT province_code, round(min(lon) - 0.002, 6) AS west, round(min(lat) - 0.002, 6) AS south, round(max(lon) + 0.002, 6) AS east, round(max(lat) + 0.002, 6) AS north
@@ -409,18 +466,93 @@ def clip_pixels(spark, d):
     return rows.groupBy("province_code", "year").agg(F.count("*").alias("pixels"), F.sum(F.when(is_valid(), F.col("radiation"))).alias("sol_raw"))
 
 
-@query(f"""WITH {SQUARES.format(size=13.2)} SELECT a.code AS code_a, b.code AS code_b, count(*) AS cells, CAST(count(*) AS DOUBLE) AS area_km2
-    FROM cells a JOIN cells b ON a."row" = b."row" AND a.col = b.col AND a.code < b.code GROUP BY ALL""")
+@query(f"""{S.PIXELS}, {inputs.CELLS}, areas AS (SELECT "row", col, max(area) AS area FROM pixel GROUP BY ALL)
+    SELECT a.province_code AS code_a, b.province_code AS code_b, count(*) AS cells, round(sum(area), 6) AS area_km2
+    FROM cells a JOIN cells b ON a."row" = b."row" AND a.col = b.col AND a.province_code < b.province_code JOIN areas ON areas."row" = a."row" AND areas.col = a.col GROUP BY ALL""")
 def overlap_audit(spark, d):
-    cells = grid(spark, d, 13.2)
-    return raster.overlap_audit(cells, cells.select("row", "col").distinct().withColumn("pixel_area_km2", F.lit(1.0)))
+    """Which provinces have pixels in the same cells, by the areas of these pixels."""
+    area = A.pixels(spark, d).groupBy("row", "col").agg(F.max("pixel_area_km2").alias("pixel_area_km2"))
+    return raster.overlap_audit(inputs.cells(spark, d), area)
+
+
+RINGS = f"""{S.PIXELS}, {inputs.CELLS}, g AS (SELECT *, col - row_number() OVER (PARTITION BY province_code, "row" ORDER BY col) AS run FROM cells),
+    runs AS (SELECT province_code, "row", min(col) AS first, max(col) + 1 AS last FROM g GROUP BY province_code, "row", run),
+    bounds AS (SELECT province_code, CAST(min(first) AS DOUBLE) AS west, -CAST(max("row") + 1 AS DOUBLE) AS south, CAST(max(last) AS DOUBLE) AS east, -CAST(min("row") AS DOUBLE) AS north, count(*) AS rings, 5 * count(*) AS vertices FROM runs GROUP BY ALL)"""
+
+
+def rings(spark, d):
+    return raster.rings_of_cells(inputs.cells(spark, d))
 
 
-@query("""SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS province_code, n_nationkey % 5 * 12 + 0.3::DOUBLE AS west, n_nationkey // 5 * 12 + 0.3::DOUBLE AS south,
-    n_nationkey % 5 * 12 + 0.3::DOUBLE + 10 AS east, n_nationkey // 5 * 12 + 0.3::DOUBLE + 10 AS north, 1 AS rings, 4 AS vertices FROM nation""")
+@query(f"{RINGS} SELECT * FROM bounds")
 def boundary_stats(spark, d):
-    rings = squares(spark, d, 10)
-    return raster.province_bbox(rings).join(raster.boundary_stats(rings), "province_code")
+    """Rings around the runs of each province's cells: their bounds, number and vertices."""
+    own = rings(spark, d)
+    return raster.province_bbox(own).join(raster.boundary_stats(own), "province_code")
+
+
+@query(f"{RINGS} SELECT min(west) AS west, min(south) AS south, max(east) AS east, max(north) AS north FROM bounds")
+def all_bbox(spark, d):
+    return raster.all_bbox(rings(spark, d))
+
+
+@query(f"{RINGS} SELECT province_code, rings, vertices FROM bounds ORDER BY vertices DESC, province_code LIMIT 5")
+def most_complex(spark, d):
+    return raster.most_complex(rings(spark, d))
+
+
+@query(f"""{RINGS}, {S.PROV}, known AS (SELECT province_code FROM prov WHERE number % 2 = 1), f AS (SELECT province_code FROM bounds WHERE rings % 3 <> 0)
+    (SELECT province_code, 'not in catalogue' AS problem FROM f WHERE province_code NOT IN (SELECT * FROM known) ORDER BY 1 LIMIT 10)
+    UNION ALL (SELECT province_code, 'not in file' FROM known WHERE province_code NOT IN (SELECT * FROM f) ORDER BY 1 LIMIT 10)""")
+def code_mismatch(spark, d):
+    """Rings of some provinces against a catalogue of others."""
+    own = rings(spark, d)
+    some = raster.boundary_stats(own).filter("rings % 3 != 0").select("province_code")
+    return raster.code_mismatch(own.join(some, "province_code", "left_semi"), A.provinces(spark, d).filter("number % 2 = 1"))
+
+
+#: Pixels by regions of different sizes, more than the calibration takes at least.
+REGIONS = "CAST(floor(sqrt(l_partkey % 4096)) AS INT)"
+
+
+@query(f"""WITH r AS (SELECT {REGIONS} AS k, l_linenumber % 2 = 1 AS dmsp, (l_quantity - 4) / 8.0 AS v FROM lineitem WHERE year(l_shipdate) IN (1998, 1999) AND l_discount <> 0.1),
+    o AS (SELECT k, round(coalesce(sum(v) FILTER (dmsp), 0), 4) AS sol_dmsp, round(coalesce(sum(v) FILTER (NOT dmsp AND v >= 0.5), 0), 4) AS sol_viirs FROM r GROUP BY k HAVING count(*) FILTER (dmsp) > 0 AND count(*) FILTER (NOT dmsp) > 0)
+    SELECT {S.fit('sol_dmsp', 'sol_viirs', 6)} FROM o WHERE sol_dmsp > 0 AND sol_viirs > 0""")
+def fitted_calibration(spark, d):
+    """The calibration with its minimum of 30 regions and a model that must rise, on regions of many sizes; both sensors from two years of shipments."""
+    rows = A.table(spark, d, "lineitem").filter(F.year("l_shipdate").isin(1998, 1999)).select(
+        F.floor(F.sqrt(F.col("l_partkey") % 4096)).cast("int").cast("string").alias("province_code"), F.lit(2013).alias("year"), F.lit(0).alias("month"),
+        F.when(F.col("l_linenumber") % 2 == 1, "DMSP").otherwise("VIIRS").alias("source"), ((F.col("l_quantity") - 4) / 8.0).alias("radiation"), (F.col("l_tax") * 100).alias("cf_cvg"),
+        (F.col("l_discount") != 0.1).alias("mask"), F.lit(1.0).alias("pixel_area_km2"),
+    )
+    pairs = models.overlap_pairs(zonal.zonal_stats(rows).filter("valid_pixels > 0").withColumn("area_km2", F.lit(1.0)))
+    return S.rounded(models.fit_calibration(pairs), 6, "alpha", "beta", "r2")
+
+
+@query(f"{PANEL} SELECT province_code, province_name, period, indicator, round(p.value, 4) AS value, coalesce(source, '') AS source FROM p WHERE p.value IS NOT NULL")
+def export_panel(spark, d):
+    """The long panel through its CSV and back."""
+    path = shared_path(spark, "panel")
+    export.export_panel_csv(panel_rows(spark, d), path, "dai", PANEL_CODES, PANEL_PERIODS)
+    lines = spark.read.text(path).filter("value != '' AND NOT startswith(ltrim('﻿', value), '#') AND NOT startswith(value, 'province_code,')")
+    row = F.from_csv("value", "province_code string, province_name string, period string, indicator string, unit string, value double, source string")
+    return lines.select(row.alias("r")).select("r.province_code", "r.province_name", "r.period", "r.indicator", F.round("r.value", 4).alias("value"), F.coalesce("r.source", F.lit("")).alias("source"))
+
+
+@query(f"""{S.ANNUAL_AND_ECONOMY}, day AS ({S.DAY}), {inputs.ENTRIES.replace('images AS', 'pictures AS')}
+    SELECT 'light' AS part, count(*) AS lines FROM ac WHERE province_code = '05' AND year BETWEEN 2007 AND 2014 UNION ALL SELECT 'day', count(*) FROM day WHERE province_code = '05' AND year BETWEEN 2007 AND 2014
+    UNION ALL SELECT 'economy', count(*) FROM econ WHERE province_code = '05' AND year BETWEEN 2007 AND 2014 UNION ALL SELECT 'images', count(*) FROM pictures WHERE month = 0 AND year BETWEEN 2007 AND 2014
+    UNION ALL SELECT 'notes', CAST(coalesce(min(year) <= 2009 AND max(year) >= 2010, false) AS INT) + CAST(count(DISTINCT source) > 1 AS INT) FROM ac WHERE province_code = '05' AND year BETWEEN 2007 AND 2014""")
+def export_bundle(spark, d):
+    """How many lines each file of a province's bundle has, without headers; of its notes those on the series."""
+    path = shared_path(spark, "bundle")
+    export.export_bundle(A.provinces(spark, d), A.annual(spark, d, True), inputs.day_rows(spark, d), A.economy(spark, d), inputs.images(spark, d), "05", path, 2007, 2014)
+    lines = None
+    for part in ("light", "day", "economy", "images", "notes"):
+        own = spark.read.text(f"{path}/{part}").filter("startswith(value, '  - ')" if part == "notes" else "NOT startswith(ltrim('﻿', value), '#') AND NOT (value LIKE '%year,%')")
+        counted = own.agg(F.count("*").alias("lines")).select(F.lit(part).alias("part"), "lines")
+        lines = counted if lines is None else lines.unionByName(counted)
+    return lines
 
 
 @query(f"""{S.ANNUAL_AND_ECONOMY} SELECT e.province_code, e.year, round(ln(ac.sol), 6) AS ln_x, round(ln(e.grdp), 6) AS ln_y FROM econ e JOIN ac USING (province_code, year) WHERE ac.sol > 0 AND e.grdp > 0""")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenfield.schemas import INDICATORS
+
 
 def names(columns: str) -> list[str]:
     return [c.strip() for c in columns.split(",")]
@@ -101,11 +103,14 @@ _MONTHLY_SIDE = _renamed(f" {_MONTHLY_PIXELS}, {_STATS.split('FROM nation),')[1]
 BOTH = f"{ANNUAL}, {_MONTHLY_SIDE}, {_MONTHLY.format(s='s_m')}"
 EVERYTHING = f"{BOTH}, {ECONOMY}"
 DAY = "SELECT DISTINCT lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS province_code, year(l_shipdate) + 14 AS year FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey"
-COVERED = ("sol", "sol_change_pct", "rad_cv", "sol_ma3", "NDVI_mean", "BSI_mean", "population", "gdp")
+DAY_ROWS = """SELECT lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS province_code, year(l_shipdate) + 14 AS year, round(avg(p_size / 50), 6) AS ndvi
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey GROUP BY ALL"""
 
 
 def coverage_sql() -> str:
+    """Every indicator over its annual table; those that the derived tables lack have no province."""
     one = lambda code, src: f"SELECT '{code}' AS indicator, count(DISTINCT province_code) AS provinces, min(year) AS first_year, max(year) AS last_year FROM {src}"
-    parts = [one(c, f"ac WHERE {c} IS NOT NULL") for c in ("sol", "sol_change_pct", "rad_cv")]
-    parts += [one("sol_ma3", "m WHERE sol_ma3 IS NOT NULL"), one("NDVI_mean", f"({DAY})"), "SELECT 'BSI_mean', 0, NULL, NULL", one("population", "econ"), one("gdp", "econ")]
+    source = {"ntl_annual": "ac WHERE {} IS NOT NULL", "ntl_monthly": "m WHERE {} IS NOT NULL", "economy": "econ", "day_annual": f"({DAY})"}
+    lacking = ("NDBI_mean", "MNDWI_mean", "BSI_mean")
+    parts = [f"SELECT '{c}', 0, NULL, NULL" if c in lacking else one(c, source[annual].format(c)) for c, annual, _, _ in INDICATORS]
     return f"{EVERYTHING} " + " UNION ALL ".join(parts)

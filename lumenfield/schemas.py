@@ -76,6 +76,39 @@ INDICATORS = (
 CALIBRATED = frozenset(("sol_cal", "sol_density_cal", "sol_change_cal_pct"))
 
 
+#: What each indicator is called in an export, and what it says.
+LABELS = {
+    "sol": ("Sum of lights", "radiance of the region's pixels above the background"),
+    "sol_density": ("Light density", "sum of lights by natural area"),
+    "sol_change_pct": ("Change of light", "against the year before, of the same source only"),
+    "sol_cal": ("Sum of lights, calibrated", "DMSP on the VIIRS scale, for comparisons across 2013"),
+    "sol_density_cal": ("Light density, calibrated", "calibrated sum of lights by natural area"),
+    "sol_change_cal_pct": ("Change of light, calibrated", "against the year before, whatever the source"),
+    "sol_raw": ("Sum of lights with background", "to see how much the background takes away"),
+    "rad_mean": ("Mean radiance", "of the valid pixels"),
+    "rad_max": ("Greatest radiance", "of the valid pixels"),
+    "rad_std": ("Spread of radiance", "standard deviation over the valid pixels"),
+    "rad_cv": ("Variation of radiance", "standard deviation by mean; high where light is concentrated"),
+    "lit_pixels": ("Lit pixels", "pixels at or above the sensor's threshold, which differ between sensors"),
+    "lit_area_km2": ("Lit area", "area of the lit pixels"),
+    "lit_area_pct": ("Lit share of the area", "lit area by natural area"),
+    "lit_sol": ("Light of the lit area", "radiance of the lit pixels only"),
+    "valid_pixels": ("Valid pixels", "pixels with data; the two sensors differ in size"),
+    "area_km2": ("Natural area", "area inside the boundary"),
+    "sol_ma3": ("Sum of lights, three months", "mean of what three calendar months have"),
+    "sol_change_mom_pct": ("Change from the month before", "null where that month has no image"),
+    "sol_change_yoy_pct": ("Change from a year before", "against the same month, so without the seasons"),
+    "lit_pixel_pct": ("Lit share of pixels", "lit pixels by valid pixels"),
+    "cloud_free_obs": ("Cloud-free observations", "a quality field: under two the value is unsure"),
+    "NDVI_mean": ("Mean NDVI", "vegetation"),
+    "NDBI_mean": ("Mean NDBI", "buildings"),
+    "MNDWI_mean": ("Mean MNDWI", "water"),
+    "BSI_mean": ("Mean BSI", "bare soil"),
+    "population": ("Population", "provided, not derived"),
+    "gdp": ("GDP", "provided, not derived"),
+}
+
+
 def unit_of(code: str) -> str:
     """The unit of an indicator, from its name."""
     if code.endswith("_pct"):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,14 +48,25 @@ def pixels(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame
     return rows.select(F.lpad(F.col("s_nationkey").cast("string"), 2, "0").alias("province_code"), "year", "month", "source", "row", "col", "lat", "radiation", "cf_cvg", "mask", area.alias("pixel_area_km2"))
 
 
+KEPT: list[DataFrame] = []
+
+
+def release() -> None:
+    """Give up the statistics that ``stats`` keeps."""
+    while KEPT:
+        KEPT.pop().unpersist()
+
+
 def stats(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
     """Zonal statistics with areas, names and flags.
 
     The statistics are one row for each image, and series, models and panels read them several times, so they are kept; the
-    pixels are then read once.
+    pixels are then read once. Spark keeps one copy for all queries on the same files until ``release``.
     """
     own = provinces(spark, sf_dir).select("province_code", "province_name", "area_km2")
-    out = zonal_stats(pixels(spark, sf_dir, monthly)).persist().join(own, "province_code")
+    kept = zonal_stats(pixels(spark, sf_dir, monthly)).persist()
+    KEPT.append(kept)
+    out = kept.join(own, "province_code")
     return note(obs_status(with_area(out)))
 
 
@@ -104,7 +113,3 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sparse daily series for each user of ``events``: ``(user_id, day, value)``."""
     e = table(spark, sf_dir, "events")
     return e.groupBy("user_id", F.dayofmonth("ts").alias("day")).agg(F.round(F.sum(F.round(F.col("value") * 8).cast("long")) / 8.0, 4).alias("value"))
-
-
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

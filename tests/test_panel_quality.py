@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from lumenfield.operators import catalogue, export, panel, quality, shaping, timefn
 from lumenfield.operators.tables import DAY_FIELDS, ECONOMY_FIELDS, LIGHT_FIELDS, province_series
 from lumenfield.plans import registry
-from lumenfield.schemas import DAY_ANNUAL, ECONOMY, NTL_ANNUAL, NTL_MONTHLY
+from lumenfield.schemas import DAY_ANNUAL, ECONOMY, INDICATORS, LABELS, NTL_ANNUAL, NTL_MONTHLY
 
 
 def frame(spark, schema, *rows):
@@ -115,14 +115,28 @@ def test_series_and_exports(spark, provinces, tmp_path):
     assert [r.year for r in parts["light"].collect()] == [2009, 2010] and parts["day"].collect() == []
     assert province_series(provinces, annual, day, money, "99") is None
     images = spark.createDataFrame([("NTL", 2010, 0, "a.tif"), ("NTL", 2030, 0, "b.tif")], "kind string, year int, month int, path string")
-    notes = export.export_bundle(provinces, annual, day, money, images, "01", str(tmp_path / "bundle"))
-    assert len(notes) == 2 and spark.read.option("header", True).csv(str(tmp_path / "bundle/day")).columns == list(DAY_FIELDS)
-    assert spark.read.option("header", True).csv(str(tmp_path / "bundle/images")).count() == 1
+    notes = export.export_bundle(provinces, annual, day, money, images, "01", str(tmp_path / "bundle"), 2009, 2025)
+    assert notes == [quality.BREAK_2010, "no day rows in 2009-2025", "no economy rows in 2009-2025"]
+    lines = lambda name: [r.value for r in spark.read.text(str(tmp_path / "bundle" / name)).collect()]
+    assert lines("day") == [",".join(DAY_FIELDS), "# no day rows in 2009-2025"]
+    assert lines("light")[0].startswith("year,source,sol,") and [x[:4] for x in lines("light")[1:]] == ["2009", "2010"]
+    assert lines("images") == ["kind,year,path", "NTL,2010,a.tif"]
+    for name in ("day", "light", "images", "notes"):  # Spark leaves the byte-order mark out
+        assert next((tmp_path / "bundle" / name).glob("part-*")).read_bytes().startswith(b"\xef\xbb\xbf")
+    said = lines("notes")
+    assert said[0] == "Bà Rịa (code 01), 2009-2025" and any("DMSP" in x for x in said) and f"  - {quality.BREAK_2010}" in said
+    assert export.export_bundle(provinces, annual, day, money, images, "99", str(tmp_path / "none")) is None
     long = panel.panel_long({"ntl_annual": annual}, provinces, ["sol"], ["2009", "2010"])
-    for shape, n in (("rong", 3), ("dai", 2)):
+    notes = ["# Sum of lights (nW/cm2/sr), code sol", "# radiance of the region's pixels above the background", f"# NOTE: {quality.BREAK_2010}", ""]
+    wide = ["province_code,province_name,indicator,unit,source,2009,2010", "01,Bà Rịa,sol,nW/cm2/sr,VIIRS,0.5,1.0", "02,Đà Nẵng,sol,nW/cm2/sr,,,", "03,Cà Mau,sol,nW/cm2/sr,,,"]
+    rows = ["province_code,province_name,period,indicator,unit,value,source", "01,Bà Rịa,2009,sol,nW/cm2/sr,0.5,VIIRS", "01,Bà Rịa,2010,sol,nW/cm2/sr,1.0,VIIRS"]
+    for shape, want in (("rong", wide), ("dai", rows)):
         export.export_panel_csv(long, str(tmp_path / shape), shape, ["sol"], ["2009", "2010"])
-        assert spark.read.option("header", True).csv(str(tmp_path / shape / "table")).count() == n
-    assert any("2010" in r.value for r in spark.read.text(str(tmp_path / "rong/notes")).collect())
+        assert [r.value for r in spark.read.text(str(tmp_path / shape)).collect()] == notes + want
+
+
+def test_every_indicator_has_a_label():
+    assert set(LABELS) == {c for c, *_ in INDICATORS} and all(a and b for a, b in LABELS.values())
 
 
 def test_registered_province_counts_include_day_rows(spark, sf_dir):

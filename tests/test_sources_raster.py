@@ -142,6 +142,39 @@ def test_mosaic(spark):
     assert view.filter("row = 0 AND col = 0").first().radiation == 10
 
 
+def test_overviews_and_mosaics_of_each_image(spark):
+    rows = [(y, r, c, "a" if c < 5 else "b", float(r * c + y), (r + c) % 3 > 0) for y in (1, 2) for r in range(9) for c in range(9)]
+    df = spark.createDataFrame(rows, "year int, row int, col int, tile string, radiation double, mask boolean")
+    got = {(x.year, x.factor, x.row, x.col): (x.radiation, x.n) for x in raster.overview(df, [2, 4, 6], ["year"]).collect()}
+    want: dict = {}
+    for y, r, c, _, v, ok in rows:
+        for k in (2, 4, 6) if ok else ():
+            want.setdefault((y, k, r // k, c // k), []).append(v)
+    assert got == {k: (round(sum(v) / len(v), 6), len(v)) for k, v in want.items()}
+    assert raster.mosaic(df, keys=["year"]).count() == 2 * sum((r + c) % 3 > 0 for r in range(9) for c in range(9))
+
+
+def test_rings_of_cells(spark):
+    cells = [("01", 0, 0), ("01", 0, 1), ("01", 0, 3), ("01", 2, 5), ("02", 1, 1)]
+    df = spark.createDataFrame(cells, "province_code string, row int, col int")
+    rings = raster.rings_of_cells(df.union(df))
+    assert [(r.province_code, r.rings, r.vertices) for r in raster.boundary_stats(rings).collect()] == [("01", 3, 15), ("02", 1, 5)]
+    assert tuple(raster.all_bbox(rings).first()) == (0.0, -3.0, 6.0, 0.0)
+    shifted = raster.assign_province(raster.edges(rings), 0.0, 0.0, 1.0, 4, 8)
+    assert {tuple(r) for r in shifted.select("province_code", "row", "col").collect()} == set(cells)
+
+
+def test_calibration_needs_thirty_regions(spark):
+    from lumenfield.operators import models
+
+    pairs = spark.createDataFrame([(float(i + 1), 2.0 * (i + 1)) for i in range(30)], "sol_dmsp double, sol_viirs double")
+    assert models.fit_calibration(pairs).first()["beta"] == pytest.approx(1)
+    with pytest.raises(ValueError):
+        models.fit_calibration(pairs.limit(29))
+    with pytest.raises(ValueError):
+        models.fit_calibration(pairs.withColumn("sol_viirs", 1 / F.col("sol_dmsp")))
+
+
 def test_inventories(spark):
     files = spark.createDataFrame([(f"/d/{f}", 1) for f in ["raw/p1_VIIRS_2020-01.tif", "filtered/p1_VIIRS_2020-01.tif", "raw/p2_VIIRS_2020-02_x.tif", "raw/p_VIIRS_2020-13.tif"]], "path string, size_bytes long")
     rows = catalogue.image_inventory(files, expected=1).collect()
