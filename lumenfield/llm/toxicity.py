@@ -93,9 +93,12 @@ def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, categories: Sequen
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """All documents with a label in each category; a repeated label counts as its greatest value."""
+    """All documents with a label in each category; a repeated label counts as its greatest value.
+
+    The labels grow with the documents, so at every size the two meet by a shuffle, in which only the few numbers of a label are held.
+    """
     known = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*(F.max(c).cast("int").alias(c) for c in categories))
-    return docs.select("doc_id", "text").join(known.dropna(subset=list(categories)), "doc_id")
+    return docs.select("doc_id", "text").join(known.dropna(subset=list(categories)).hint("shuffle_hash"), "doc_id")
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, categories: Sequence[str], max_rows: int) -> DataFrame:
