@@ -92,6 +92,16 @@ def test_chain_feeds_earlier_probabilities():
     assert abs(p[0, 1] - toxicity.sigmoid(np.array([1, p[0, 0], 1, 1, 0, 0, np.log1p(2) / 5]) @ chain.weights[1])) < 1e-9
 
 
+def test_shuffled_words_have_the_terms_of_the_text(spark):
+    texts = ["Bad bad\tBAD\x0bends... ends... ", "ΟΔΟΣ\u2003ΟΔΟΣ ΟΔΟΣ\u00a0x\x1cy  ", "", None, " \n", "a b a b, c. c.", "long " * 50_000 + "end"]
+    rows = [(i, t, 0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    labels = docs.select("doc_id", "toxic", F.lit(1).alias("low_quality"))
+    out = toxicity.labelled_rows(docs, labels, ["low_quality", "toxic"]).collect()
+    assert sorted((r.doc_id, sorted(toxicity.terms_of(r.text))) for r in out) == [(i, sorted(toxicity.terms_of(t))) for i, t, _ in rows]
+    assert max(len(r.text or "") for r in out) < 60
+
+
 def test_toxicity_awkward(spark):
     labels = spark.createDataFrame([(1, 0, 1), (6, 0, 0), (None, 1, 1), (3, None, 1)], "doc_id long, low_quality int, toxic int")
     rows = toxicity.toxicity(awkward(spark), labels).collect()
