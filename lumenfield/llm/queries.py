@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfield.llm import bpe, chat_format, fingerprint, html_extract, language_id, mixing, quality, simhash, token_output, toxicity
+from lumenfield.llm import bpe, chat_format, chat_repair, fingerprint, html_extract, language_id, mixing, quality, simhash, token_output, toxicity
 from lumenfield.llm.common import shared_path, ship_package, stash
 
 END_ID = 2
@@ -95,13 +95,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *(f"quality_stats.{c}" for c in quality.BASE), "base_failed", "kept", "quality_score")
 
 
+def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat_repair.damaged(table(spark, sf_dir, "conversations"))
+    reports = chat_repair.report(turns, "dropped")
+    return chat_repair.repaired_digests(reports, chat_repair.repair(turns.filter("NOT dropped"), reports))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_output, op3_language, op4_html, op5_mixing, op6_chat_format, op7_simhash, op8_fingerprint, op9_bpe, op10_quality, pipeline, chat_layouts)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_output, op3_language, op4_html, op5_mixing, op6_chat_format, op7_simhash, op8_fingerprint, op9_bpe, op10_quality, op13_chat_repair, pipeline, chat_layouts)}
 
 #: The others hash, fit or tokenize in ways that SQL doesn't have; tests hold them against brute force.
 ORACLE_SQL = {
@@ -127,4 +133,55 @@ ORACLE_SQL = {
             CAST(sum(12 + length(role) + 1 + length(text) + n_escapes + 11) AS BIGINT) AS formatted_chars
         FROM marked GROUP BY conv_id
     """,
+    "op13_chat_repair": r"""
+        WITH RECURSIVE hashed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: ord(x)::BIGINT)),
+                    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda v, j: xor(v >> 1, (v & 1) * 3988292384)))) % 20 AS k
+            FROM conversations
+        ), bad AS (
+            SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM (SELECT *, unnest(CASE k WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM hashed) WHERE k <> 0
+        ), convs AS (
+            SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS c FROM (SELECT DISTINCT conv_id FROM conversations)
+        ), placed AS (
+            SELECT c, turn, role, text, left(role, 1) AS i, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, md5(text)) AS p
+            FROM bad JOIN convs ON bad.conv_id IS NOT DISTINCT FROM convs.conv_id
+        ), r AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate' WHEN regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'fine' ELSE 'truncated' END AS fault
+            FROM (SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY p) > 1 AS again, lag(i) OVER (PARTITION BY c ORDER BY p) AS i0 FROM placed)
+        ), counts AS (
+            SELECT c, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (p > 1 AND i0 || i NOT IN ('su', 'ua', 'au')) AS illegal, max(p) AS n FROM r GROUP BY c
+        ), back AS (
+            SELECT c, n + 1 AS p, 0 AS b0, 4 AS b1, 2 AS b2, 0 AS b3 FROM counts
+            UNION ALL
+            SELECT c, p, least(a0, 2 + a2, 4 + a3), least(a1, 2 + a2, 4 + a3), least(a2, 2 + a3), least(a3, 2 + a2) FROM (
+                SELECT r.c, r.p,
+                    CASE WHEN f THEN 3 + b0 ELSE least(3 + b0, t + 2 + b2, CASE i WHEN 's' THEN t + b1 WHEN 'u' THEN t + b2 END) END AS a0,
+                    CASE WHEN f THEN 3 + b1 ELSE least(3 + b1, t + 2 + b2, CASE i WHEN 'u' THEN t + b2 END) END AS a1,
+                    CASE WHEN f THEN 3 + b2 ELSE least(3 + b2, t + 2 + b3, CASE i WHEN 'a' THEN t + b3 END) END AS a2,
+                    CASE WHEN f THEN 3 + b3 ELSE least(3 + b3, t + 2 + b2, CASE i WHEN 'u' THEN t + b2 END) END AS a3
+                FROM back JOIN (SELECT *, fault IN ('blank', 'duplicate') AS f, CAST(fault = 'truncated' AS INT) AS t FROM r) r ON r.c = back.c AND r.p = back.p - 1)
+        ), costs AS (
+            SELECT c, p, [b0, b1, b2, b3] AS b FROM back
+        ), walk AS (
+            SELECT c, CAST(1 AS BIGINT) AS p, 0 AS q, '' AS audit, CAST([] AS VARCHAR[]) AS said FROM counts
+            UNION ALL
+            SELECT c, CASE letter WHEN 'I' THEN p ELSE p + 1 END,
+                CASE letter WHEN 'D' THEN q WHEN 'K' THEN CASE i WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END ELSE nq END, audit || letter,
+                CASE letter WHEN 'D' THEN said WHEN 'K' THEN list_append(said, role || ':' || text) WHEN 'R' THEN list_append(said, them || ':' || text) ELSE list_append(said, them || ':') END
+            FROM (
+                SELECT w.c, w.p, w.q, w.audit, w.said, CASE WHEN w.q = 2 THEN 3 ELSE 2 END AS nq, CASE WHEN w.q = 2 THEN 'assistant' ELSE 'user' END AS them, r.i, r.role, r.text,
+                    CASE WHEN r.p IS NOT NULL AND 3 + z.b[w.q + 1] = now.b[w.q + 1] THEN 'D' WHEN 2 + now.b[CASE WHEN w.q = 2 THEN 4 ELSE 3 END] = now.b[w.q + 1] THEN 'I'
+                        WHEN r.p IS NULL THEN '' WHEN CASE w.q WHEN 0 THEN r.i IN ('s', 'u') WHEN 2 THEN r.i = 'a' ELSE r.i = 'u' END
+                            AND CAST(fault = 'truncated' AS INT) + z.b[CASE r.i WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END] = now.b[w.q + 1] THEN 'K' ELSE 'R' END AS letter
+                FROM walk w JOIN costs now ON now.c = w.c AND now.p = w.p LEFT JOIN r ON r.c = w.c AND r.p = w.p LEFT JOIN costs z ON z.c = w.c AND z.p = w.p + 1) WHERE letter <> ''
+        ), ends AS (
+            SELECT c, arg_max(audit, length(audit)) AS audit, arg_max(said, length(audit)) AS said FROM walk GROUP BY c
+        )
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+            CAST(coalesce(costs.b[1], 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+        FROM convs LEFT JOIN counts USING (c) LEFT JOIN ends USING (c) LEFT JOIN costs ON costs.c = convs.c AND costs.p = 1
+    """,
 }
