@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfield.llm import bpe, chat_format, chat_repair, fingerprint, html_extract, language_id, mixing, quality, simhash, token_output, toxicity
+from lumenfield.llm import bpe, chat_format, chat_repair, fingerprint, hard_negatives, html_extract, language_id, mixing, quality, simhash, token_output, toxicity
 from lumenfield.llm.common import shared_path, ship_package, stash
 
 END_ID = 2
@@ -95,6 +95,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *(f"quality_stats.{c}" for c in quality.BASE), "base_failed", "kept", "quality_score")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    rows = stash(hard_negatives.usable(vectors), "vectors")
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat_repair.damaged(table(spark, sf_dir, "conversations"))
     reports = chat_repair.report(turns, "dropped")
@@ -107,7 +114,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_output, op3_language, op4_html, op5_mixing, op6_chat_format, op7_simhash, op8_fingerprint, op9_bpe, op10_quality, op13_chat_repair, pipeline, chat_layouts)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_output, op3_language, op4_html, op5_mixing, op6_chat_format, op7_simhash, op8_fingerprint, op9_bpe, op10_quality, op12_hard_negatives, op13_chat_repair, pipeline, chat_layouts)}
 
 #: The others hash, fit or tokenize in ways that SQL doesn't have; tests hold them against brute force.
 ORACLE_SQL = {
@@ -133,6 +140,25 @@ ORACLE_SQL = {
             CAST(sum(12 + length(role) + 1 + length(text) + n_escapes + 11) AS BIGINT) AS formatted_chars
         FROM marked GROUP BY conv_id
     """,
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS q, row_number() OVER () AS uid
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS (
+            SELECT uid, generate_subscripts(q, 1) AS k, unnest(q) AS x FROM v
+        ), scores AS (
+            SELECT a.uid AS a, b.uid AS b, CAST(sum(a.x * b.x) AS BIGINT) AS score FROM parts a JOIN parts b ON a.k = b.k AND a.uid <> b.uid
+            WHERE a.uid IN (SELECT uid FROM v WHERE vec_id % 50 = 0) GROUP BY ALL
+        ), s AS (
+            SELECT a, b, score, va.vec_id AS anchor_id, vb.vec_id AS vec_id, va.label = vb.label AS same FROM scores JOIN v va ON va.uid = a JOIN v vb ON vb.uid = b
+        ), positives AS (
+            SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST, b) <= 5
+        ), found AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.vec_id NULLS LAST, n.b) AS rank, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+            FROM positives p JOIN s n ON n.a = p.a AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+        )
+        SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 3
+    """,
     "op13_chat_repair": r"""
         WITH RECURSIVE hashed AS (
             SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
