@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfield.llm import bpe, chat_format, chat_repair, fingerprint, hard_negatives, html_extract, language_id, mixing, quality, simhash, token_output, toxicity
+from lumenfield.llm import bpe, chat_format, chat_repair, fingerprint, hard_negatives, html_extract, language_id, mixing, packing, quality, simhash, token_output, toxicity
 from lumenfield.llm.common import shared_path, ship_package, stash
 
 END_ID = 2
@@ -95,6 +95,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *(f"quality_stats.{c}" for c in quality.BASE), "base_failed", "kept", "quality_score")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1)
+    length = F.expr("CAST(octet_length(ids) / 4 AS BIGINT)").alias("length")
+    return out.select("doc_id", "start", length, F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
@@ -114,7 +120,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_output, op3_language, op4_html, op5_mixing, op6_chat_format, op7_simhash, op8_fingerprint, op9_bpe, op10_quality, op12_hard_negatives, op13_chat_repair, pipeline, chat_layouts)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_output, op3_language, op4_html, op5_mixing, op6_chat_format, op7_simhash, op8_fingerprint, op9_bpe, op10_quality, op11_packing, op12_hard_negatives, op13_chat_repair, pipeline, chat_layouts)}
 
 #: The others hash, fit or tokenize in ways that SQL doesn't have; tests hold them against brute force.
 ORACLE_SQL = {
