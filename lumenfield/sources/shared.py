@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,3 +24,10 @@ def shared_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark)}/lumenfield-{name}-{uuid.uuid4().hex}"
+
+
+def stash(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it again: this cuts the lineage, survives lost executors and shows the planner the true size."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
