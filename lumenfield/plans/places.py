@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lumenfield.functions import geo
-from lumenfield.operators import overlap
+from lumenfield.operators import overlap, raster, spatial
+from lumenfield.plans import sql as S
 from lumenfield.plans.base import query
 from lumenfield.sources import adapter as A
 
@@ -63,3 +64,45 @@ def boundary_audit(spark, d):
     """How much area all boundaries count more than once."""
     _, audit = overlap.overlaps(overlap.projected(stars(spark, d)))
     return audit.select("valid_count", *(F.round(c, 9 if c == "overlap_fraction" else 6).alias(c) for c in ("area_km2", "overlap_excess_km2", "overlap_fraction")))
+
+
+def region_cells(spark, d):
+    """``(province_code, row, col, radiation by year)``: the grid in 64 regions of some 8 x 8 cells, whose borders the numbers of observations of the cells move up and down."""
+    rows = A.pixels(spark, d).filter("source = 'VIIRS'")
+    cells = rows.groupBy("row", "col").agg(F.count("*").alias("n"))
+    code = F.floor(F.least(F.col("row") + F.col("n") % 3, F.lit(63)) / 8) * 8 + F.floor(F.col("col") / 8)
+    return cells.select(F.lpad(code.cast("string"), 2, "0").alias("province_code"), "row", "col")
+
+
+REGIONS = f"""{S.PIXELS}, region AS (SELECT "row", col, lpad(CAST(least("row" + count(*) % 3, 63) // 8 * 8 + col // 8 AS VARCHAR), 2, '0') AS code FROM pixel WHERE source = 'VIIRS' GROUP BY "row", col),
+    sides AS (SELECT a.code AS a, b.code AS b FROM region a JOIN region b ON (b."row" = a."row" + 1 AND b.col = a.col) OR (b."row" = a."row" AND b.col = a.col + 1) WHERE a.code <> b.code),
+    pairs AS (SELECT least(a, b) AS code_a, greatest(a, b) AS code_b, CAST(count(*) AS DOUBLE) AS shared_length FROM sides GROUP BY ALL)"""
+
+
+@query(f"{REGIONS} SELECT * FROM pairs")
+def region_neighbours(spark, d):
+    """Which regions share a border and how long it is, from the rings around their cells."""
+    return spatial.neighbours(raster.rings_of_cells(region_cells(spark, d)))
+
+
+RUNS = 99
+
+
+@query(f"""{REGIONS}, x AS (SELECT year, code, sum(radiation) FILTER (mask) AS x FROM pixel JOIN region USING ("row", col) WHERE source = 'VIIRS' GROUP BY ALL),
+    v AS (SELECT year, code, CASE WHEN code NOT IN ('07', '21') OR year % 2 = 0 THEN x END AS x FROM x), both_ AS (SELECT code_a AS a, code_b AS b FROM pairs UNION ALL SELECT code_b, code_a FROM pairs),
+    links AS (SELECT p.year, a, b FROM both_ JOIN v p ON p.code = a AND p.x IS NOT NULL JOIN v q ON q.code = b AND q.year = p.year AND q.x IS NOT NULL),
+    deg AS (SELECT year, a AS code, count(*) AS degree FROM links GROUP BY ALL),
+    part AS (SELECT year, code, degree, x - avg(x) OVER (PARTITION BY year) AS z, row_number() OVER (PARTITION BY year ORDER BY code) AS place FROM v JOIN deg USING (year, code)),
+    drawn AS (SELECT year, code, degree, run, CASE WHEN run = 0 THEN place ELSE row_number() OVER (PARTITION BY year, run ORDER BY md5('11:' || run || ':' || code)) END AS place FROM part CROSS JOIN range({RUNS + 1}) r(run)),
+    dealt AS (SELECT d.year, d.run, d.code, d.degree, p.z FROM drawn d JOIN part p ON p.year = d.year AND p.place = d.place),
+    runs AS (SELECT i.year, i.run, sum(i.z * j.z / i.degree) AS c FROM dealt i JOIN links ON links.year = i.year AND links.a = i.code JOIN dealt j ON j.year = i.year AND j.run = i.run AND j.code = links.b GROUP BY ALL),
+    own AS (SELECT year, max(c) FILTER (run = 0) AS seen FROM runs GROUP BY year), sq AS (SELECT year, count(*) AS n, sum(z * z) AS s FROM part GROUP BY year)
+    SELECT year, n AS regions, (SELECT count(x) FROM v WHERE v.year = sq.year) - n AS isolated, (SELECT count(*) FROM v WHERE v.year = sq.year AND x IS NULL) AS missing, round(seen / s, 9) AS moran_i, round(-1 / (n - 1), 9) AS expected,
+        (SELECT count(*) FROM runs WHERE runs.year = sq.year AND c >= seen - 1e-12 * s) / {RUNS + 1}.0::DOUBLE AS pseudo_p FROM sq JOIN own USING (year)""")
+def morans_i(spark, d):
+    """Whether neighbouring regions are alike in light, for each year; two regions have no value in odd years."""
+    cells = region_cells(spark, d)
+    light = A.pixels(spark, d).filter("source = 'VIIRS'").drop("province_code").join(cells, ["row", "col"]).groupBy("year", "province_code").agg(F.sum(F.when(F.col("mask"), F.col("radiation"))).alias("light"))
+    known = F.when(~F.col("province_code").isin("07", "21") | (F.col("year") % 2 == 0), F.col("light"))
+    out = spatial.morans_i(light.withColumn("light", known), spatial.neighbours(raster.rings_of_cells(cells)), "light", ["year"], RUNS, 11)
+    return out.select("year", "regions", "isolated", "missing", F.round("moran_i", 9).alias("moran_i"), F.round("expected", 9).alias("expected"), "pseudo_p")
