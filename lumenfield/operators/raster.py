@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenfield.functions.columns import is_valid
+from lumenfield.schemas import NODATA
+from lumenfield.sources.shared import stash
 
 
 def mosaic(pixel: DataFrame, order: str = "tile", keys: Sequence[str] = ()) -> DataFrame:
@@ -26,8 +28,8 @@ def edges(rings: DataFrame) -> DataFrame:
     return out.select("province_code", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2")).filter("y1 != y2")
 
 
-def assign_province(edge_table: DataFrame, west: float, north: float, size: float, rows: int, cols: int) -> DataFrame:
-    """``(province_code, row, col)`` of the cells whose centre is inside, by scan lines and the even-odd rule, so holes work.
+def province_runs(edge_table: DataFrame, west: float, north: float, size: float, rows: int, cols: int) -> DataFrame:
+    """``(province_code, row, start, stop)``: runs of the cells whose centre is inside, by scan lines and the even-odd rule, so holes work.
 
     Each edge is dealt to the rows whose centre lines it crosses; crossings of a row, in order, open and close runs of cells.
     Nothing is compared with all cells. Edges are half-open in y, runs in x, so touching regions don't share cells.
@@ -44,13 +46,67 @@ def assign_province(edge_table: DataFrame, west: float, north: float, size: floa
     runs = lines.select("province_code", "row", "x", F.lead("x").over(w).alias("end"), F.row_number().over(w).alias("k")).filter("k % 2 = 1 AND end IS NOT NULL")
     start = F.greatest(F.ceil((F.col("x") - west) / size - 0.5).cast("int"), F.lit(0))
     stop = F.least(F.ceil((F.col("end") - west) / size - 0.5).cast("int") - 1, F.lit(cols - 1))
-    runs = runs.withColumns({"start": start, "stop": stop}).filter("start <= stop")
+    return runs.withColumns({"start": start, "stop": stop}).filter("start <= stop").select("province_code", "row", "start", "stop")
+
+
+def assign_province(edge_table: DataFrame, west: float, north: float, size: float, rows: int, cols: int) -> DataFrame:
+    """``(province_code, row, col)`` of the cells of ``province_runs``."""
+    runs = province_runs(edge_table, west, north, size, rows, cols)
     return runs.select("province_code", "row", F.explode(F.sequence("start", "stop")).alias("col"))
 
 
-def clip(pixel: DataFrame, grid_province: DataFrame) -> DataFrame:
-    """Pixels of the grid with their province; those outside of all are no rows, rather than zeros."""
-    return pixel.join(grid_province, ["row", "col"])
+#: Runs that go to every task, at most (some 20 bytes each), and the columns of a block where there are more.
+MOST_RUNS, BLOCK_COLS = 500_000, 256
+
+
+def clip(pixel: DataFrame, runs: DataFrame, most_runs: int = MOST_RUNS) -> DataFrame:
+    """Pixels inside the runs of ``province_runs``, with their province; those outside of all are no rows, rather than zeros.
+
+    The runs are counted: up to ``most_runs`` they go to the pixels, which then aren't shuffled; beyond, both are dealt by row and block of columns.
+    A pixel inside several provinces is a row for each.
+    """
+    runs = stash(runs.select("province_code", F.col("row").alias("__row"), "start", "stop"), "runs")
+    inside = F.col("col").between(F.col("start"), F.col("stop"))
+    if runs.count() <= most_runs:
+        return pixel.join(F.broadcast(runs), (F.col("row") == F.col("__row")) & inside).drop("__row", "start", "stop")
+    block = lambda c: F.floor(F.col(c) / BLOCK_COLS)
+    runs = runs.withColumn("__block", F.explode(F.sequence(block("start"), block("stop"))))
+    return pixel.join(runs.hint("merge"), (F.col("row") == F.col("__row")) & (block("col") == F.col("__block")) & inside).drop("__row", "__block", "start", "stop")
+
+
+def snapped_bounds(rings: DataFrame, west: float, north: float, size: float, rows: int, cols: int) -> DataFrame:
+    """``(province_code, row_first, row_last, col_first, col_last, west, south, east, north)``: the extent of each province, out to whole cells of the grid and not beyond it.
+
+    Bounds within a millionth of a cell of a grid line lie on it. A province outside of the grid is no row.
+    """
+    down = lambda v: F.floor(F.round(v, 6)).cast("int")
+    up = lambda v: (F.ceil(F.round(v, 6)) - 1).cast("int")
+    box = province_bbox(rings)
+    out = box.select(
+        "province_code", F.greatest(down((north - F.col("north")) / size), F.lit(0)).alias("row_first"), F.least(up((north - F.col("south")) / size), F.lit(rows - 1)).alias("row_last"),
+        F.greatest(down((F.col("west") - west) / size), F.lit(0)).alias("col_first"), F.least(up((F.col("east") - west) / size), F.lit(cols - 1)).alias("col_last"),
+    ).filter("row_first <= row_last AND col_first <= col_last")
+    at = lambda c, k, zero, sign: (F.lit(zero) + sign * (F.col(c) + k) * size)
+    return out.withColumns({"west": at("col_first", 0, west, 1), "south": at("row_last", 1, north, -1), "east": at("col_last", 1, west, 1), "north": at("row_first", 0, north, -1)})
+
+
+def clip_raster(pixel: DataFrame, runs: DataFrame, bounds: DataFrame, wanted: DataFrame, keys: Sequence[str], nodata: float = NODATA, most_runs: int = MOST_RUNS) -> DataFrame:
+    """Rasters of images cut to provinces, a row for each line: ``(*keys, province_code, row, col_first, values)``.
+
+    ``wanted`` names the rasters: the image (``keys``) and the province. Each has all cells of the province's extent (``snapped_bounds``), whether or not the image has any pixel there;
+    a cell that is outside of the boundary, masked or without a value is ``nodata``, and never 0 for lack of one. Of several observations of a cell the greatest counts. Pixels meet
+    the runs as in ``clip``; what is shuffled after that are the valid cells inside the provinces that are wanted.
+    """
+    wanted = wanted.select(*keys, "province_code").distinct()
+    asked = runs.join(wanted.select("province_code").distinct(), "province_code", "left_semi")
+    ok = pixel.filter(is_valid()).select(*keys, "row", "col", "radiation")
+    cells = clip(ok, asked, most_runs).groupBy(*keys, "province_code", "row", "col").agg(F.max("radiation").alias("v"))
+    lines = cells.groupBy(*keys, "province_code", "row").agg(F.map_from_entries(F.collect_list(F.struct("col", "v"))).alias("cells"))
+    frame = wanted.join(bounds.select("province_code", "row_first", "row_last", "col_first", "col_last"), "province_code")
+    frame = frame.select(*keys, "province_code", F.explode(F.sequence("row_first", "row_last")).alias("row"), "col_first", "col_last")
+    out = frame.join(lines, [*keys, "province_code", "row"], "left")
+    values = F.transform(F.sequence("col_first", "col_last"), lambda c: F.coalesce(F.try_element_at("cells", c), F.lit(float(nodata))))
+    return out.select(*keys, "province_code", "row", "col_first", values.alias("values"))
 
 
 def overlap_audit(grid_province: DataFrame, area: DataFrame) -> DataFrame:

@@ -448,8 +448,8 @@ def squares(spark, d, size):
     return A.table(spark, d, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("province_code"), ring.alias("ring"))
 
 
-def grid(spark, d, size):
-    return raster.assign_province(raster.edges(squares(spark, d, size)), 0.0, 64.0, 1.0, 64, 64)
+def runs(spark, d, size):
+    return raster.province_runs(raster.edges(squares(spark, d, size)), 0.0, 64.0, 1.0, 64, 64)
 
 
 SQUARES = """cells AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, r AS "row", c AS col FROM nation CROSS JOIN range(64) a(r) CROSS JOIN range(64) b(c)
@@ -462,10 +462,24 @@ def clip_pixels(spark, d):
     """Light of the cells inside each square, whatever province the pixels came with."""
     from lumenfield.functions.columns import is_valid
 
-    rows = raster.clip(A.pixels(spark, d).filter("source = 'VIIRS'").drop("province_code"), grid(spark, d, 10))
+    rows = raster.clip(A.pixels(spark, d).filter("source = 'VIIRS'").drop("province_code"), runs(spark, d, 10))
     return rows.groupBy("province_code", "year").agg(F.count("*").alias("pixels"), F.sum(F.when(is_valid(), F.col("radiation"))).alias("sol_raw"))
 
 
+@query(f"""{S.PIXELS}, {SQUARES.format(size=10)}, wanted AS (SELECT DISTINCT year, province_code, CAST(province_code AS INT) AS n FROM pixel WHERE source = 'VIIRS'),
+    extent AS (SELECT year, province_code, 53 - n // 5 * 12 + i AS "row", n % 5 * 12 + j AS col FROM wanted CROSS JOIN range(11) a(i) CROSS JOIN range(11) b(j)),
+    light AS (SELECT year, "row", col, max(radiation) AS v FROM pixel WHERE source = 'VIIRS' AND mask GROUP BY ALL)
+    SELECT e.year, e.province_code, e."row", e.col, CASE WHEN cells.code IS NULL THEN -9999.0 ELSE coalesce(v, -9999.0) END AS radiation FROM extent e
+    LEFT JOIN cells ON cells.code = e.province_code AND cells."row" = e."row" AND cells.col = e.col LEFT JOIN light ON light.year = e.year AND light."row" = e."row" AND light.col = e.col""")
+def clip_raster(spark, d):
+    """The images of all years cut to each square: every cell of its extent, outside of it and where nothing is seen as nodata."""
+    shapes, pixel = squares(spark, d, 10), A.pixels(spark, d).filter("source = 'VIIRS'")
+    wanted, bounds = pixel.select("year", "province_code").distinct(), raster.snapped_bounds(shapes, 0.0, 64.0, 1.0, 64, 64)
+    lines = raster.clip_raster(pixel.drop("province_code"), runs(spark, d, 10), bounds, wanted, ["year"])
+    cells = lines.select("year", "province_code", "row", "col_first", F.posexplode("values").alias("i", "radiation"))
+    return cells.select("year", "province_code", "row", (F.col("col_first") + F.col("i")).alias("col"), "radiation")
+
+
 @query(f"""{S.PIXELS}, {inputs.CELLS}, areas AS (SELECT "row", col, max(area) AS area FROM pixel GROUP BY ALL)
     SELECT a.province_code AS code_a, b.province_code AS code_b, count(*) AS cells, round(sum(area), 6) AS area_km2
     FROM cells a JOIN cells b ON a."row" = b."row" AND a.col = b.col AND a.province_code < b.province_code JOIN areas ON areas."row" = a."row" AND areas.col = a.col GROUP BY ALL""")
