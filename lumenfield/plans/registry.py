@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from lumenfield.functions.columns import pct
 from lumenfield.operators import catalogue, economy, export, models, panel, quality, raster, series, shaping, tables, timefn, zonal
-from lumenfield.plans import inputs, places
+from lumenfield.plans import inputs, light, places
 from lumenfield.plans import sql as S
 from lumenfield.plans.base import ORACLE_SQL, QUERIES, query
 from lumenfield.sources import adapter as A
 from lumenfield.sources import ingest
 from lumenfield.sources.shared import shared_path
 
-__all__ = ["ORACLE_SQL", "QUERIES", "places"]
+__all__ = ["ORACLE_SQL", "QUERIES", "light", "places"]
 
 def coarser(df):
     """Percentages of round areas to two digits: at the last one ties are common, and the two engines break them differently."""
