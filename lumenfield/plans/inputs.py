@@ -9,7 +9,7 @@ from lumenfield.plans import sql as S
 from lumenfield.plans.base import query
 from lumenfield.schemas import DAY_ANNUAL, NTL_ANNUAL, NTL_MONTHLY
 from lumenfield.sources import adapter as A
-from lumenfield.sources import catalogue, ingest
+from lumenfield.sources import catalogue, ingest, store
 from lumenfield.sources.shared import shared_path
 
 
@@ -223,6 +223,62 @@ def written_tables(spark, d):
     return annual.unionByName(money.select("province_code", F.col("year").cast("int").alias("year"), F.round(F.col("grdp").cast("double"), 2).alias("sol"), F.lit("economy").alias("name")))
 
 
+#: What a first and a second delivery have of the shipments' months: the second repeats some keys with other values, some with the same, and brings new ones.
+DELIVERIES = f"""{S.PIXELS_ALL}, months AS (SELECT province_code, year, CAST(month AS INT) AS month, count(*) AS n, sum(CAST(radiation * 8 AS BIGINT)) AS light FROM (SELECT lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS province_code,
+        year(l_shipdate) + 14 AS year, month(l_shipdate) AS month, (l_quantity - 4) / 8.0 AS radiation FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) GROUP BY ALL),
+    first AS (SELECT *, year % 2 = 0 OR month > 6 AS sent FROM months), old AS (SELECT province_code, year, month, light FROM first WHERE sent),
+    new AS (SELECT province_code, year, month, CASE WHEN n % 3 = 0 THEN light ELSE light + 1000 END AS light FROM months WHERE year >= 2011 AND n % 2 = 0)"""
+
+
+def deliveries(spark, d) -> tuple[DataFrame, DataFrame]:
+    rows = shipments(spark, d).groupBy(F.lpad(F.col("s_nationkey").cast("string"), 2, "0").alias("province_code"), (F.year("l_shipdate") + 14).alias("year"), F.month("l_shipdate").alias("month"))
+    rows = rows.agg(F.count("*").alias("n"), F.sum(((F.col("l_quantity") - 4) / 8.0 * 8).cast("long")).alias("light"))
+    old = rows.filter("year % 2 = 0 OR month > 6").select("province_code", "year", "month", "light")
+    new = rows.filter("year >= 2011 AND n % 2 = 0").select("province_code", "year", "month", F.when(F.col("n") % 3 == 0, F.col("light")).otherwise(F.col("light") + 1000).alias("light"))
+    return old, new
+
+
+def stored_twice(spark, d) -> tuple[str, DataFrame]:
+    """A store that both deliveries went into, the second one twice, each row with an outdated one before it; its path and the report of the second."""
+    old, new = deliveries(spark, d)
+    path, keys = shared_path(spark, "store"), ["province_code", "year", "month"]
+    store.upsert(old, path, keys, ["year"])
+    outdated = new.withColumns({"light": F.col("light") - 1, "seq": F.lit(0)}).unionByName(new.withColumn("seq", F.lit(1)))
+    report = store.upsert(outdated, path, keys, ["year"], "seq")
+    store.upsert(outdated, path, keys, ["year"], "seq")
+    return path, report
+
+
+@query(f"{DELIVERIES} SELECT province_code, year, month, coalesce(new.light, old.light) AS light FROM old FULL JOIN new USING (province_code, year, month)")
+def store_upsert(spark, d):
+    """A stored table after an upsert that was run twice."""
+    path, _ = stored_twice(spark, d)
+    return spark.read.parquet(path).select("province_code", F.col("year").cast("int").alias("year"), "month", "light")
+
+
+@query(f"""{DELIVERIES} SELECT year, CASE WHEN old.light IS NULL THEN 'inserted' WHEN old.light = new.light THEN 'unchanged' ELSE 'replaced' END AS action, count(*) AS keys
+    FROM new LEFT JOIN old USING (province_code, year, month) GROUP BY ALL""")
+def store_report(spark, d):
+    """How many keys of the second delivery were new, replaced or the same."""
+    _, report = stored_twice(spark, d)
+    return report.groupBy(F.col("year").cast("int").alias("year"), "action").agg(F.count("*").alias("keys"))
+
+
+@query(f"{DELIVERIES} SELECT 'light' AS part, year, count(*) AS rows, sum(light + 5) AS total FROM new GROUP BY year UNION ALL SELECT 'months', year, count(*), sum(month) FROM new GROUP BY year")
+def published_set(spark, d):
+    """A set of two tables, published three times; the third is computed from the one that it replaces."""
+    old, new = deliveries(spark, d)
+    folder, months = shared_path(spark, "set"), lambda df: df.select("province_code", "year", "month")
+    store.publish({"light": old, "months": months(old)}, folder)
+    store.publish({"light": new, "months": months(new)}, folder, overwrite=True)
+    second = store.in_use(spark, folder)
+    store.publish({"light": second["light"].withColumn("light", F.col("light") + 5), "months": second["months"]}, folder, overwrite=True)
+    now = store.in_use(spark, folder)
+    light = now["light"].groupBy("year").agg(F.count("*").alias("rows"), F.sum("light").alias("total"))
+    count = now["months"].groupBy("year").agg(F.count("*").alias("rows"), F.sum("month").alias("total"))
+    return light.withColumn("part", F.lit("light")).unionByName(count.withColumn("part", F.lit("months")))
+
+
 def day_rows(spark, d) -> DataFrame:
     """The day table with all of its columns."""
     own = A.day(spark, d)

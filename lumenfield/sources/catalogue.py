@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lumenfield.functions.columns import pad_code
 from lumenfield.sources.ingest import dedupe_last
+from lumenfield.sources.store import Folder
 
 
 def province_dim(spark: SparkSession, path: str) -> DataFrame:
@@ -130,18 +132,30 @@ def register_images(images: DataFrame, order: str = "_seq") -> DataFrame:
 
 
 def write_tables(tables: Mapping[str, DataFrame], folder: str, known: Sequence[str] = (), overwrite: bool = False, fmt: str = "parquet") -> None:
-    """Write each table below ``folder``, known columns first and the others by name. Without ``overwrite`` nothing is written if any exists."""
-    spark = next(iter(tables.values())).sparkSession
+    """Write each table below ``folder``, known columns first and the others by name. Without ``overwrite`` nothing is written if any exists.
+
+    All tables are written beside first; only when the last is whole are they renamed into place, and what they replace is deleted after that. So a table that can't be
+    computed leaves all old ones as they were, and a table may be computed from the one that it replaces. (A reader between two renames may see one new and one old table;
+    ``store.publish`` changes a set in one step.)
+    """
+    own = Folder(next(iter(tables.values())).sparkSession, folder)
     if not overwrite:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for name in tables:
-            path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
-            if path.getFileSystem(conf).exists(path):
+            if own.exists(name):
                 raise FileExistsError(f"{folder}/{name}")
-    for name, df in tables.items():
-        columns = [c for c in known if c in df.columns] + sorted(c for c in df.columns if c not in known)
-        keys = [c for c in ("province_code", "year", "month") if c in df.columns]
-        out = df.select(columns)
-        out = out.orderBy(*keys) if keys else out
-        writer = out.write.mode("overwrite" if overwrite else "errorifexists")
-        writer.option("header", True).csv(f"{folder}/{name}") if fmt == "csv" else writer.parquet(f"{folder}/{name}")
+    run = uuid.uuid4().hex
+    try:
+        for name, df in tables.items():
+            columns = [c for c in known if c in df.columns] + sorted(c for c in df.columns if c not in known)
+            keys = [c for c in ("province_code", "year", "month") if c in df.columns]
+            out = df.select(columns)
+            out = out.orderBy(*keys) if keys else out
+            path = f"{own.path}/.new-{run}/{name}"
+            out.write.option("header", True).csv(path) if fmt == "csv" else out.write.parquet(path)
+        for name in tables:
+            if own.exists(name):
+                own.rename(name, f".old-{run}/{name}")
+            own.rename(f".new-{run}/{name}", name)
+    finally:
+        own.delete(f".new-{run}")
+    own.delete(f".old-{run}")
