@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenfield.operators.models import elasticity_by_province
+from lumenfield.functions.columns import at_offset, growth_pct
+from lumenfield.operators.models import MODEL_COLUMNS, elasticity_by_province, fit_log_model
+from lumenfield.operators.quality import CONSTANT_PRICES, CURRENT_PRICES, SIMULATED
 
 
 def attach_economy(light: DataFrame, economy: DataFrame) -> DataFrame:
@@ -34,3 +36,40 @@ def night_economy_view(economy: DataFrame, provinces: DataFrame, annual: DataFra
     rows = rows.withColumn("sol_per_capita", F.when(some, F.col("sol") / F.when(some, F.col("population"))))
     slopes = elasticity_by_province(rows, minimum=minimum).select("province_code", F.col("beta").alias("beta_tinh"))
     return rows.join(slopes, "province_code", "left").orderBy("number", "year")
+
+
+def attach_both_bases(light: DataFrame, economy: DataFrame) -> DataFrame:
+    """Economy of the year on every row of light, with a column for each price basis: ``gdp_constant, gdp_current, simulated_constant, simulated_current``, and ``population``.
+
+    ``economy`` has a row for each province, year and basis (``load_economy(by_basis=True)``), so neither basis can take the other's place. Rows of another or no basis give their
+    population only; of two populations of a year the one beside constant prices counts.
+    """
+    of = lambda basis, c: F.max(F.when(F.col("price_basis") == basis, F.col(c)))
+    rows = economy.withColumn("__made", F.upper(F.coalesce("economy_source", F.lit(""))).contains(SIMULATED))
+    wide = rows.groupBy("province_code", "year").agg(
+        of(CONSTANT_PRICES, "gdp").alias("gdp_constant"), of(CURRENT_PRICES, "gdp").alias("gdp_current"), of(CONSTANT_PRICES, "__made").alias("simulated_constant"), of(CURRENT_PRICES, "__made").alias("simulated_current"),
+        F.coalesce(of(CONSTANT_PRICES, "population"), F.max("population")).alias("population"),
+    )
+    return light.join(wide, ["province_code", "year"], "left")
+
+
+def models_by_basis(joined: DataFrame, light: str = "sol_cal", first_year: int = 2014, minimum: int = 10) -> DataFrame:
+    """``(price_basis, alpha, beta, r2, n, own_n, official)``: the regression of ln GDP on ln light in each basis, on the rows that both have.
+
+    ``joined`` is of ``attach_both_bases``. Only annual rows from ``first_year`` with light and GDP above zero in both bases take part, so the models differ by the prices alone; ``own_n`` is how many rows
+    a basis would have for itself. GDP that is simulated takes no part. Constant prices are the official result. No row under ``minimum`` common rows.
+    """
+    real = lambda b: (F.col(f"gdp_{b}") > 0) & ~F.coalesce(F.col(f"simulated_{b}"), F.lit(False))
+    rows = joined.filter((F.coalesce("month", F.lit(0)) == 0) & (F.col("year") >= first_year) & (F.col(light) > 0))
+    long = rows.select(F.col(light).alias("x"), F.coalesce(real("constant") & real("current"), F.lit(False)).alias("both"), F.inline(F.array(
+        F.struct(F.lit(CONSTANT_PRICES).alias("price_basis"), F.when(real("constant"), F.col("gdp_constant")).alias("gdp")), F.struct(F.lit(CURRENT_PRICES).alias("price_basis"), F.when(real("current"), F.col("gdp_current")).alias("gdp")))))
+    fit = fit_log_model(long.filter("both"), "x", "gdp", minimum, ["price_basis"])
+    own = long.groupBy("price_basis").agg(F.count("gdp").alias("own_n"))
+    return fit.join(own, "price_basis").select("price_basis", *MODEL_COLUMNS, "own_n", (F.col("price_basis") == CONSTANT_PRICES).alias("official"))
+
+
+def growth_by_basis(joined: DataFrame) -> DataFrame:
+    """``joined`` with ``growth_constant_pct`` and ``growth_current_pct`` from the calendar year before, and ``deflator`` (current by constant prices, 100 where equal). Annual rows only."""
+    rows = joined.filter(F.coalesce("month", F.lit(0)) == 0)
+    grown = lambda b: F.round(growth_pct(f"gdp_{b}", at_offset(f"gdp_{b}", ["province_code"], "year", -1)), 4)
+    return rows.withColumns({"growth_constant_pct": grown("constant"), "growth_current_pct": grown("current"), "deflator": F.when(F.col("gdp_constant") > 0, 100 * F.col("gdp_current") / F.col("gdp_constant"))})

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenfield.functions.columns import is_valid
+from lumenfield.functions.geo import to_degrees
 from lumenfield.schemas import NODATA
 from lumenfield.sources.shared import stash
 
@@ -124,6 +125,24 @@ def image_extent(pixel: DataFrame, keys: Sequence[str], size: float) -> DataFram
     return pixel.groupBy(*keys).agg(bound(F.min, "lon", -half).alias("west"), bound(F.min, "lat", -half).alias("south"), bound(F.max, "lon", half).alias("east"), bound(F.max, "lat", half).alias("north"))
 
 
+def projected_extent(images: DataFrame, keys: Sequence[str], points: int = 21) -> DataFrame:
+    """``(*keys, west, south, east, north)`` in degrees, to six digits, of images on any supported grid.
+
+    ``images`` has ``crs_epsg``, the upper left corner ``left, top``, ``pixel_width, pixel_height`` (either sign) and ``rows, cols``. A straight edge of a projected grid is bent in degrees, so
+    each edge is taken at ``points`` places besides its beginning. Without a CRS all bounds are null, as they are if a number is missing. Across the date line bounds go on past 180.
+    """
+    right = F.col("left") + F.abs("pixel_width") * F.col("cols")
+    bottom = F.col("top") - F.abs("pixel_height") * F.col("rows")
+    steps = F.transform(F.sequence(F.lit(0), F.lit(points)), lambda i: i / F.lit(float(points)))
+    edges = F.flatten(F.transform(steps, lambda t: F.array(
+        F.struct((F.col("left") + t * (right - F.col("left"))).alias("x"), F.col("top").cast("double").alias("y")), F.struct((F.col("left") + t * (right - F.col("left"))).alias("x"), bottom.cast("double").alias("y")),
+        F.struct(F.col("left").cast("double").alias("x"), (F.col("top") + t * (bottom - F.col("top"))).alias("y")), F.struct(right.cast("double").alias("x"), (F.col("top") + t * (bottom - F.col("top"))).alias("y")))))
+    known = F.col("left").isNotNull() & F.col("top").isNotNull() & right.isNotNull() & bottom.isNotNull()
+    placed = images.select(*keys, F.transform(F.when(known, edges), lambda p: to_degrees(p["x"], p["y"], F.col("crs_epsg"))).alias("p"))
+    bound = lambda f, c: F.round(f(f"p.{c}"), 6)
+    return placed.select(*keys, bound(F.array_min, "lon").alias("west"), bound(F.array_min, "lat").alias("south"), bound(F.array_max, "lon").alias("east"), bound(F.array_max, "lat").alias("north"))
+
+
 def province_bbox(rings: DataFrame) -> DataFrame:
     """Bounds of each province's vertices."""
     p = rings.select("province_code", F.explode("ring").alias("p"))

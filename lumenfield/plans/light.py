@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumenfield.operators import centroid, classes
+from lumenfield.operators import centroid, classes, economy
 from lumenfield.plans import sql as S
 from lumenfield.plans.base import query
 from lumenfield.sources import adapter as A
+from lumenfield.sources import ingest
 
 IMAGE = ["province_code", "year", "source"]
 _NUMBER = "CASE source WHEN 'VIIRS' THEN 1 + (v >= 0.5)::INT + (v >= 1.5)::INT + (v >= 3)::INT + (v >= 5)::INT ELSE 1 + (v >= 2.5)::INT + (v >= 5)::INT + (v >= 15)::INT + (v >= 40)::INT END"
@@ -90,3 +91,32 @@ def light_shift(spark, d):
     own = centres(spark, d).filter("lon IS NOT NULL")
     out = centroid.shifts(own.filter("year = 2013"), own.filter("year = 2015")).filter("from_lon IS NOT NULL")
     return out.select("province_code", "source", F.round("distance_km", 5).alias("distance_km"), F.round("bearing_deg", 5).alias("bearing_deg"))
+
+
+#: GRDP in constant prices for all but every fourth nation and year, in current ones for all but every third, of which one nation's are simulated.
+_BASES = f"""{S.ANNUAL_AND_ECONOMY}, g AS (SELECT *, CAST(province_code AS INT) AS n FROM econ), c AS (SELECT province_code, year, grdp AS gdp FROM g WHERE (n + year) % 4 <> 0),
+    h AS (SELECT province_code, year, n = 5 AS made, grdp * (1.2::DOUBLE + 0.05::DOUBLE * (year - 2010)) AS gdp FROM g WHERE (n + year) % 3 <> 0),
+    j AS (SELECT ac.province_code, ac.year, sol_cal, c.gdp AS gc, h.gdp AS gh, coalesce(made, false) AS made FROM ac LEFT JOIN c USING (province_code, year) LEFT JOIN h USING (province_code, year)),
+    u AS (SELECT *, ln(sol_cal) AS x, gc IS NOT NULL AS okc, gh IS NOT NULL AND NOT made AS okh FROM j WHERE year >= 2014 AND sol_cal > 0)"""
+
+
+def both_bases(spark, d):
+    rows = A.economy(spark, d).select("province_code", "year", "population", "grdp", F.col("province_code").cast("int").alias("n"))
+    current = F.col("grdp") * (F.lit(1.2) + F.lit(0.05) * (F.col("year") - 2010))
+    constant = rows.filter("(n + year) % 4 != 0").select("province_code", "year", "population", "grdp", F.lit("so_sanh").alias("grdp_price_basis"), F.lit("orders").alias("source"))
+    inflated = rows.filter("(n + year) % 3 != 0").select("province_code", "year", "population", current.alias("grdp"), F.lit("hien_hanh").alias("grdp_price_basis"), F.when(F.col("n") == 5, "gia_lap v1").otherwise("orders").alias("source"))
+    money = ingest.load_economy(constant.unionByName(inflated), by_basis=True)
+    return economy.attach_both_bases(A.annual(spark, d, True), money)
+
+
+@query(f"""{_BASES} SELECT 'so_sanh' AS price_basis, round(regr_intercept(ln(gc), x), 6) AS alpha, round(regr_slope(ln(gc), x), 6) AS beta, round(regr_r2(ln(gc), x), 6) AS r2, count(*) AS n, (SELECT count(*) FROM u WHERE okc) AS own_n, true AS official FROM u WHERE okc AND okh HAVING count(*) >= 10
+    UNION ALL SELECT 'hien_hanh', round(regr_intercept(ln(gh), x), 6), round(regr_slope(ln(gh), x), 6), round(regr_r2(ln(gh), x), 6), count(*), (SELECT count(*) FROM u WHERE okh), false FROM u WHERE okc AND okh HAVING count(*) >= 10""")
+def models_by_basis(spark, d):
+    """Models of GDP on light in constant and in current prices, on the rows that have both."""
+    return S.rounded(economy.models_by_basis(both_bases(spark, d)), 6, "alpha", "beta", "r2")
+
+
+@query(f"""{_BASES} SELECT province_code, year, round(gc, 2) AS gdp_constant, round(gh, 2) AS gdp_current, {S.pct('gc', S.PREVIOUS.format(c='gc'))} AS growth_constant_pct, {S.pct('gh', S.PREVIOUS.format(c='gh'))} AS growth_current_pct, round(100 * gh / gc, 6) AS deflator FROM j""")
+def growth_by_basis(spark, d):
+    out = economy.growth_by_basis(both_bases(spark, d))
+    return out.select("province_code", "year", F.round("gdp_constant", 2).alias("gdp_constant"), F.round("gdp_current", 2).alias("gdp_current"), "growth_constant_pct", "growth_current_pct", F.round("deflator", 6).alias("deflator"))

@@ -106,3 +106,39 @@ def morans_i(spark, d):
     known = F.when(~F.col("province_code").isin("07", "21") | (F.col("year") % 2 == 0), F.col("light"))
     out = spatial.morans_i(light.withColumn("light", known), spatial.neighbours(raster.rings_of_cells(cells)), "light", ["year"], RUNS, 11)
     return out.select("year", "regions", "isolated", "missing", F.round("moran_i", 9).alias("moran_i"), F.round("expected", 9).alias("expected"), "pseudo_p")
+
+
+def footprints(spark, d):
+    """An image a nation and year of shipments, as large as their number says: in UTM of the north or south, in degrees, or without a CRS."""
+    line, supplier = A.table(spark, d, "lineitem"), A.table(spark, d, "supplier")
+    rows = line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy(F.col("s_nationkey").alias("n"), F.year("l_shipdate").alias("y")).agg(F.count("*").alias("k"))
+    kind = F.col("n") % 4
+    by = lambda a, b: F.when(kind == 2, a).otherwise(b)
+    return rows.select(
+        F.lpad(F.col("n").cast("string"), 2, "0").alias("province_code"), F.col("y").alias("year"), F.when(kind == 0, 32648).when(kind == 1, 32749).when(kind == 2, 4326).alias("crs_epsg"),
+        by(F.lit(102.0) + F.col("k") % 5, 250000.0 + F.col("k") * 137 % 300000).alias("left"), by(F.lit(23.0), 1000000.0 + F.col("k") * 911 % 1500000).alias("top"),
+        by(F.lit(0.004), F.lit(463.83)).alias("pixel_width"), by(F.lit(-0.004), F.lit(-463.83)).alias("pixel_height"), (F.col("k") % 200 + 300).alias("cols"), F.lit(400).alias("rows"),
+    )
+
+
+def _series(name: str, coefficients: tuple[float, ...], a: str, b: str | None, one: str, two: str) -> str:
+    return " + ".join(f"{c!r}::DOUBLE * {one}({2 * (j + 1)} * {a})" + (f" * {two}({2 * (j + 1)} * {b})" if b else "") for j, c in enumerate(coefficients))
+
+
+_SCALE = repr(geo.UTM_SCALE * geo.RECTIFYING)
+
+
+@query(f"""WITH k AS (SELECT s_nationkey AS n, year(l_shipdate) AS y, count(*) AS k FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL),
+    images AS (SELECT lpad(CAST(n AS VARCHAR), 2, '0') AS province_code, y AS year, CASE n % 4 WHEN 0 THEN 32648 WHEN 1 THEN 32749 WHEN 2 THEN 4326 END AS epsg,
+        (CASE n % 4 WHEN 2 THEN 102 + k % 5 ELSE 250000 + k * 137 % 300000 END)::DOUBLE AS l, (CASE n % 4 WHEN 2 THEN 23 ELSE 1000000 + k * 911 % 1500000 END)::DOUBLE AS t,
+        (CASE n % 4 WHEN 2 THEN 0.004 ELSE 463.83 END)::DOUBLE * (k % 200 + 300) AS w, (CASE n % 4 WHEN 2 THEN 0.004 ELSE 463.83 END)::DOUBLE * 400 AS h FROM k),
+    edges AS (SELECT province_code, year, epsg, l + w * u AS x, t - h * v AS y FROM images CROSS JOIN (SELECT i / 21.0::DOUBLE AS u, j AS v FROM range(22) a(i) CROSS JOIN range(2) b(j) UNION ALL SELECT j, i / 21.0::DOUBLE FROM range(22) a(i) CROSS JOIN range(2) b(j))),
+    ab AS (SELECT *, (y - CASE WHEN epsg > 32700 THEN 10000000 ELSE 0 END) / {_SCALE} AS a, (x - 500000) / {_SCALE} AS b FROM edges),
+    uv AS (SELECT *, a - ({_series('u', geo.BETA, 'a', 'b', 'sin', 'cosh')}) AS u, b - ({_series('v', geo.BETA, 'a', 'b', 'cos', 'sinh')}) AS v FROM ab WHERE epsg > 30000),
+    sphere AS (SELECT *, asin(sin(u) / cosh(v)) AS s FROM uv),
+    points AS (SELECT province_code, year, epsg % 100 * 6 - 183 + degrees(atan2(sinh(v), cos(u))) AS lon, degrees(s + {_series('s', geo.DELTA, 's', None, 'sin', '')}) AS lat FROM sphere
+        UNION ALL SELECT province_code, year, x, y FROM edges WHERE epsg = 4326 UNION ALL SELECT province_code, year, NULL, NULL FROM images WHERE epsg IS NULL)
+    SELECT province_code, CAST(year AS INT) AS year, round(min(lon), 6) AS west, round(min(lat), 6) AS south, round(max(lon), 6) AS east, round(max(lat), 6) AS north FROM points GROUP BY ALL""")
+def projected_extent(spark, d):
+    """Bounds in degrees of images on projected grids."""
+    return raster.projected_extent(footprints(spark, d), ["province_code", "year"])

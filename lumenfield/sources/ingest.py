@@ -180,8 +180,11 @@ def validate_manifest(df: DataFrame, existing: DataFrame | None = None, strict:
     return valid, rejects
 
 
-def load_economy(df: DataFrame) -> DataFrame:
-    """``province_code, year, population, gdp, price_basis, economy_source``; a repeated key or a number that isn't finite raises."""
+def load_economy(df: DataFrame, by_basis: bool = False) -> DataFrame:
+    """``province_code, year, population, gdp, price_basis, economy_source``; a repeated key or a number that isn't finite raises.
+
+    The key is province and year; ``by_basis`` adds the price basis, so that GDP in current and in constant prices stand side by side.
+    """
     has = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) if c in df.columns else F.lit(None).cast("string")
 
     def number(c: str) -> Column:
@@ -197,7 +200,8 @@ def load_economy(df: DataFrame) -> DataFrame:
         F.coalesce(has("grdp_price_basis"), F.lit("")).alias("price_basis"),
         F.coalesce(F.col("source") if "source" in df.columns else F.lit(""), F.lit("")).alias("economy_source"),
     )
-    again = out.groupBy("province_code", "year").count().filter("count > 1").first()
+    key = ["province_code", "year", *(["price_basis"] if by_basis else [])]
+    again = out.groupBy(*key).count().filter("count > 1").first()
     if again:
-        raise ValueError(f"repeated economy key {again['province_code']}, {again['year']}")
+        raise ValueError("repeated economy key " + ", ".join(str(again[c]) for c in key))
     return out
