@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumenfield.llm.common import n_words, stash
 
@@ -44,10 +45,31 @@ def source_table(sized: DataFrame, weights: Sequence[float]) -> DataFrame:
     return table.withColumn("weight", F.element_at(F.lit(list(weights)), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int")))
 
 
+def ordered_maps(value: Column, kind: T.DataType) -> Column:
+    """A value with its maps, wherever they are nested, as their entries by key."""
+    if isinstance(kind, T.MapType):
+        entry = lambda e: F.struct(ordered_maps(e["key"], kind.keyType).alias("key"), ordered_maps(e["value"], kind.valueType).alias("value"))
+        return F.sort_array(F.transform(F.map_entries(value), lambda e: F.struct(F.to_json(F.struct(entry(e)["key"])).alias("by"), entry(e).alias("entry"))))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: ordered_maps(x, kind.elementType))
+    if isinstance(kind, T.StructType) and kind.fields:
+        return F.when(value.isNotNull(), F.struct(*(ordered_maps(value[f.name], f.dataType).alias(f.name) for f in kind.fields)))
+    return F.to_json(value) if isinstance(kind, T.VariantType) else value
+
+
+def comparable(name: str, kind: T.DataType) -> Column:
+    """A column as something whose hash tells different values apart: nested ones as JSON with their nulls, since a hash passes over nulls and has none for maps."""
+    value = F.col(f"`{name}`")
+    if not isinstance(kind, (T.MapType, T.ArrayType, T.StructType, T.VariantType)):
+        return value
+    return F.to_json(F.struct(ordered_maps(value, kind).alias("v")), {"ignoreNullFields": "false"})
+
+
 def row_keys(docs: DataFrame, seed: int) -> dict[str, Column]:
-    """``row``: a hash of id and text, which the seeded order goes by; ``full``: one of all columns (but maps), which only equal rows share."""
-    every = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
-    return {"row": F.xxhash64(F.lit(seed), F.col("doc_id"), F.coalesce("text", F.lit(""))), "full": F.xxhash64(*every)}
+    """``row``: a hash of id and text, which the seeded order goes by; ``full``: one of all columns, and of which of them are null, which only equal rows share."""
+    fields = docs.schema.fields
+    nulls = F.concat(*(F.col(f"`{f.name}`").isNull().cast("int").cast("string") for f in fields))
+    return {"row": F.xxhash64(F.lit(seed), F.col("doc_id"), F.coalesce("text", F.lit(""))), "full": F.xxhash64(nulls, *(comparable(f.name, f.dataType) for f in fields))}
 
 
 def mix_items(docs: DataFrame, weights: Sequence[float], max_epochs: float, seed: int, rounds: int) -> DataFrame:
