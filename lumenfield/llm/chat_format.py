@@ -7,6 +7,7 @@ turns and reversible escapes then makes one text a conversation, with the spans
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Callable, Mapping, Sequence
@@ -64,15 +65,40 @@ LAYOUTS = (
 REGISTRY: Mapping[str, Mapping_] = {fingerprint(x.paths): x for x in LAYOUTS}
 
 
+#: Mappings of one registry, at most, as each set of them has a fingerprint.
+MOST_LAYOUTS = 12
+
+
+def known_paths(registry: Mapping[str, Mapping_]) -> list[str]:
+    return sorted({p for m in registry.values() for p in m.paths})
+
+
+def resolved(registry: Mapping[str, Mapping_]) -> dict[str, Mapping_]:
+    """The mapping for every fingerprint that a row can have: of the paths of the mappings that it satisfies, and no others.
+
+    A row may satisfy several; the one with most paths is meant, ties by its paths.
+    """
+    if len(registry) > MOST_LAYOUTS:
+        raise ValueError(f"a registry has {MOST_LAYOUTS} layouts at most")
+    found: dict[frozenset[str], Mapping_] = {}
+    for m in sorted(registry.values(), key=lambda m: (len(m.paths), m.paths)):
+        # sets with m, which is the largest of them so far
+        found |= {paths | frozenset(m.paths): m for paths in [frozenset(), *found]}
+    best = {}
+    for paths in found:
+        fits = [m for m in registry.values() if set(m.paths) <= paths]
+        best[fingerprint(sorted(paths))] = max(fits, key=lambda m: (len(m.paths), m.paths))
+    return best
+
+
 def layout_of(df: DataFrame, id_col: str, registry: Mapping[str, Mapping_]) -> Mapping_:
-    """The mapping whose fingerprint is that of ``df``'s layout, or, with extra columns, that of the paths which the mapping needs; the one with most paths of them."""
-    paths = field_paths(T.StructType([f for f in df.schema.fields if f.name != id_col]))
-    if (own := registry.get(fingerprint(paths))) is not None:
-        return own
-    known = [m for m in registry.values() if fingerprint([p for p in m.paths if p in paths]) in registry and registry[fingerprint([p for p in m.paths if p in paths])] is m]
-    if not known:
+    """The mapping of ``df``'s layout, by the fingerprint of those of its paths that some mapping needs and finds whole; other columns and fields don't count."""
+    paths = set(field_paths(T.StructType([f for f in df.schema.fields if f.name != id_col])))
+    own = {p for m in registry.values() if set(m.paths) <= paths for p in m.paths}
+    use = resolved(registry).get(fingerprint(sorted(own)))
+    if use is None:
         raise ValueError(f"no mapping for a layout with the paths {sorted(paths)}")
-    return max(known, key=lambda m: (len(m.paths), m.paths))
+    return use
 
 
 TURNS = "array<struct<turn: bigint, role: string, text: string>>"
@@ -112,33 +138,51 @@ def canonical_turns(df: DataFrame, id_col: str = "conv_id", registry: Mapping[st
     return out.select("conv_id", "turn", named(F.col("role"), use).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def step(name: str) -> str:
+    """A field in a path of ``variant_get``."""
+    return f"""$['{name}']"""
+
+
+def has_path(value: Column, path: str) -> Column:
+    """Whether a JSON value has a path of fields, or of the fields of an array's elements: of any of them, or of none where the array is empty or null."""
+    if "[]" not in path:
+        return F.try_variant_get(value, step(path), "variant").isNotNull()
+    items, field = path.split("[].")
+    some = F.exists(F.try_variant_get(value, step(items), "array<variant>"), lambda x: F.try_variant_get(x, step(field), "variant").isNotNull())
+    empty = F.size(F.try_variant_get(value, step(items), "array<variant>")) == 0
+    return F.coalesce(some | empty, F.is_variant_null(F.try_variant_get(value, step(items), "variant")), F.lit(False))
+
+
 def variant_layouts(df: DataFrame, column: str, id_col: str = "conv_id", registry: Mapping[str, Mapping_] = REGISTRY) -> tuple[DataFrame, DataFrame]:
     """``(turns, rejects)`` of a column of JSON texts whose layout differs from row to row; layouts of one turn a row aren't looked for.
 
-    Each row's fingerprint is that of the paths of its own value, and the mapping with that fingerprint makes its turns, in one pass for all layouts.
-    A row that is null, isn't JSON or whose paths no mapping has is a reject (``conv_id, value, error``).
+    Each row's fingerprint is that of its paths that some mapping needs and finds whole, as in ``canonical_turns``, and the mapping under that fingerprint makes its turns, in one pass for all
+    layouts. Other fields don't count, wherever they are; an empty or null array of messages is a conversation without turns, and a message without role or text has an empty one. A row that is null,
+    isn't JSON or satisfies no mapping is a reject (``conv_id, value, error``).
     """
+    registry = {k: m for k, m in registry.items() if not m.rows}
+    table, order = resolved(registry), list(registry.values())
     text = F.col(column)
-    value = F.try_parse_json(text)
-    shape = F.regexp_replace(F.schema_of_variant(value), r": (?:STRING|VOID|BIGINT|DOUBLE|DECIMAL\(\d+,\d+\)|BOOLEAN)", "")
-    parsed = df.select(F.col(id_col).alias("conv_id"), text.alias("value"), value.alias("__v"), F.sha2(shape, 256).alias("__shape"))
+    parsed = df.select(F.col(id_col).alias("conv_id"), text.alias("value"), F.try_parse_json(text).alias("__v"))
+    has = {p: F.col("__has")[i] for i, p in enumerate(known_paths(registry))}
+    parsed = parsed.withColumn("__has", F.array(*(has_path(F.col("__v"), p) for p in has)))
+    whole = [(m, functools.reduce(lambda a, b: a & b, (has[p] for p in m.paths))) for m in order]
+    kept = [F.when(functools.reduce(lambda a, b: a | b, (ok for m, ok in whole if p in m.paths)), F.lit(p)) for p in has]
+    parsed = parsed.withColumn("__layout", F.substring(F.sha2(F.array_join(F.array_compact(F.array(*kept)), "\n"), 256), 1, 16))
+    which = F.create_map(*(F.lit(x) for k, m in table.items() for x in (k, order.index(m))))
+    parsed = parsed.withColumn("__use", F.try_element_at(which, F.col("__layout")))
     turns = F.lit(None).cast(TURNS)
-    for use in registry.values():
-        if use.rows:
-            continue
+    for i, use in enumerate(order):
         if use.messages:
-            items, role, text_of = use.messages
-            like = f"OBJECT<{items}: ARRAY<OBJECT<{', '.join(sorted((role, text_of)))}>>>"
-            kind = f"struct<{items}: array<struct<{', '.join(f'`{c}`: string' for c in (role, text_of))}>>>"
+            items, role, said = use.messages
+            get = lambda m, c: F.try_variant_get(m, step(c), "string")
+            own = F.transform(F.try_variant_get("__v", step(items), "array<variant>"), lambda m, k: F.struct(k.cast("long").alias("turn"), get(m, role).alias("role"), get(m, said).alias("text")))
+            own = F.coalesce(own, F.array().cast(TURNS))
         else:
-            like = f"OBJECT<{', '.join(sorted(use.paths))}>"
-            kind = f"struct<{', '.join(f'`{c}`: string' for c in use.paths)}>"
-        row = F.try_variant_get("__v", "$", kind)
-        turns = F.when(F.col("__shape") == hashlib.sha256(like.encode()).hexdigest(), complete(turns_of(use, row.getField), use)).otherwise(turns)
-    out = parsed.withColumn("turns", turns)
-    error = F.when(F.col("value").isNull(), "null").when(F.col("__v").isNull(), "not JSON").otherwise("no mapping for this layout")
-    rejects = out.filter(F.col("turns").isNull()).select("conv_id", "value", error.alias("error"))
-    return out.filter(F.col("turns").isNotNull()).select("conv_id", F.inline("turns")), rejects
+            own = turns_of(use, lambda c: F.try_variant_get("__v", step(c), "string"))
+        turns = F.when(F.col("__use") == i, complete(own, use)).otherwise(turns)
+    out = parsed.select("conv_id", "value", F.when(F.col("value").isNull(), "null").when(F.col("__v").isNull(), "not JSON").when(F.col("__use").isNull(), "no mapping for this layout").alias("error"), turns.alias("turns"))
+    return out.filter("error IS NULL").select("conv_id", F.inline("turns")), out.filter("error IS NOT NULL").select("conv_id", "value", "error")
 
 
 def control_pattern(controls: Sequence[str] = CONTROLS) -> tuple[str, str]:

@@ -64,17 +64,28 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def chat_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conversations as JSON rows of three layouts by turns, brought back to turns: what the fingerprints of their paths select."""
-    rows = table(spark, sf_dir, "conversations").filter("conv_id IS NOT NULL")
+def sent_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(conv_id, raw)``: the conversations as JSON in the layouts of several senders, by id, all with fields of their own; some without turns, and some in no known layout."""
+    rows = table(spark, sf_dir, "conversations")
     message = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     whole = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(message)).alias("m"))
-    sent = lambda role, text, name: F.to_json(F.struct(F.transform("m", lambda x: F.struct(x["role"].alias(role), x["text"].alias(text))).alias(name)))
-    pair = (F.size("m") == 2) & (F.col("m")[0]["role"] == "user") & (F.col("m")[1]["role"] == "assistant") & (F.col("m")[0]["text"] != "") & (F.col("m")[1]["text"] != "")
-    prompt = F.to_json(F.struct(F.col("m")[0]["text"].alias("prompt"), F.col("m")[1]["text"].alias("response")))
-    layout = F.when(pair, prompt).when(F.col("conv_id") % 2 == 0, sent("role", "content", "messages")).otherwise(sent("from", "value", "conversations"))
-    turns, _ = chat_format.variant_layouts(whole.select("conv_id", layout.alias("raw")), "raw")
-    return turns.select("conv_id", "turn", "role", F.sha2("text", 256).alias("text_sha256"))
+    own = F.struct(F.col("conv_id").alias("id"), F.array(F.lit("x")).alias("tags"))
+    sent = lambda role, text, name: F.to_json(F.struct(F.transform("m", lambda x: F.struct(x["role"].alias(role), x["text"].alias(text), x["turn"].alias("name"), own.alias("more"))).alias(name), own.alias("meta"), F.lit(1).alias("version")))
+    fields = lambda *names: F.to_json(F.struct(*(F.col("m")[i]["text"].alias(c) for i, c in enumerate(names)), F.lit("").alias("input"), own.alias("meta")))
+    pair = (F.size("m") >= 2) & F.forall(F.slice("m", 1, 2), lambda x: x["text"] != "")
+    by = F.pmod(F.coalesce("conv_id", F.lit(0)), F.lit(9))
+    raw = (
+        F.when(by == 0, sent("role", "content", "messages")).when(by == 1, sent("from", "value", "conversations")).when(pair & (by == 2), fields("prompt", "response")).when(pair & (by == 3), fields("question", "answer"))
+        .when(pair & (by == 4), fields("instruction", "output")).when(by == 5, '{"messages": [], "id": 7}').when(by == 6, '{"turns": 3, "meta": {"prompt": "p", "response": "r"}}').when(by == 7, "{broken")
+    ).otherwise(sent("role", "content", "messages"))
+    return whole.select("conv_id", raw.alias("raw"))
+
+
+def chat_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the fingerprints of their paths make of JSON rows of many senders: turns, and the rejects with why."""
+    turns, rejects = chat_format.variant_layouts(sent_chats(spark, sf_dir), "raw")
+    turns = turns.select("conv_id", "turn", "role", F.sha2("text", 256).alias("text_sha256"), F.lit(None).cast("string").alias("error"))
+    return turns.unionByName(rejects.select("conv_id", "error"), allowMissingColumns=True)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,9 +136,16 @@ QUERIES = {f.__name__: f for f in (op1_toxicity, op2_token_output, op3_language,
 #: The others hash, fit or tokenize in ways that SQL doesn't have; tests hold them against brute force.
 ORACLE_SQL = {
     "chat_layouts": """
-        SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, coalesce(role, ''), coalesce(text, '')) - 1 AS BIGINT) AS turn,
-            coalesce(role, '') AS role, sha256(coalesce(text, '')) AS text_sha256
-        FROM conversations WHERE conv_id IS NOT NULL
+        WITH placed AS (
+            SELECT conv_id, coalesce(conv_id, 0) % 9 AS by_, row_number() OVER (PARTITION BY conv_id ORDER BY turn, coalesce(role, ''), coalesce(text, '')) - 1 AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        ), pairs AS (
+            SELECT conv_id, count(*) >= 2 AND count(*) FILTER (turn < 2 AND text = '') = 0 AS pair FROM placed GROUP BY conv_id
+        ), p AS (
+            SELECT placed.*, pair AND by_ IN (2, 3, 4) AS fields FROM placed JOIN pairs ON placed.conv_id IS NOT DISTINCT FROM pairs.conv_id
+        )
+        SELECT conv_id, turn, CASE WHEN NOT fields THEN CASE role WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' WHEN 'bot' THEN 'assistant' ELSE role END WHEN turn = 0 THEN 'user' ELSE 'assistant' END AS role, sha256(text) AS text_sha256, NULL AS error
+        FROM p WHERE by_ NOT IN (5, 6, 7) AND (NOT fields OR turn < 2)
+        UNION ALL SELECT DISTINCT conv_id, CAST(NULL AS BIGINT), NULL, NULL, CASE by_ WHEN 6 THEN 'no mapping for this layout' ELSE 'not JSON' END FROM p WHERE by_ IN (6, 7)
     """,
     "op6_chat_format": r"""
         WITH rows AS (

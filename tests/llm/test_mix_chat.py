@@ -139,12 +139,54 @@ def test_op6_on_the_whole_table(spark, sf_dir):
     assert not convs
 
 
-def test_chat_layouts_equal_the_conversations(spark, sf_dir):
-    """Conversations written as rows of three layouts give the turns that the table has."""
-    got = {(r.conv_id, r.turn, r.role, r.text_sha256) for r in queries.chat_layouts(spark, sf_dir).collect()}
+def test_chat_layouts_on_the_whole_table(spark, sf_dir):
+    got = {(r.conv_id, r.turn, r.role, r.text_sha256, r.error) for r in queries.chat_layouts(spark, sf_dir).collect()}
     sha = lambda x: hashlib.sha256((x or "").encode()).hexdigest()
-    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()
-    assert got == {(r.conv_id, r.turn, r.role, sha(r.text)) for r in rows if r.conv_id is not None} and len(got) > 0
+    convs = {}
+    for r in sorted(spark.read.parquet(f"{sf_dir}/conversations.parquet").collect(), key=lambda r: (r.conv_id, r.turn)):
+        convs.setdefault(r.conv_id, []).append((r.role, r.text or ""))
+    want = set()
+    for c, m in convs.items():
+        by = c % 9
+        if by in (6, 7):
+            want.add((c, None, None, None, "no mapping for this layout" if by == 6 else "not JSON"))
+        elif by in (2, 3, 4) and len(m) >= 2 and m[0][1] and m[1][1]:
+            want |= {(c, i, role, sha(m[i][1]), None) for i, role in enumerate(("user", "assistant"))}
+        elif by != 5:
+            want |= {(c, i, role, sha(text), None) for i, (role, text) in enumerate(m)}
+    assert got == want and len(got) > 0
+
+
+def test_extra_fields_and_empty_arrays(spark):
+    """Both ways choose the same mapping, whatever else a row has."""
+    texts = [
+        '{"messages":[{"role":"user","content":"q","name":"n","parts":[{"role":"x"}]},{"role":"assistant","content":"a"}],"id":"7","meta":{"messages":1}}',
+        '{"messages":[]}', '{"conversations":null,"id":1}', '{"messages":[{"role":"user"},{"content":"b"},{}]}', '{"messages":["text"]}', '{"prompt":"q","response":null}',
+        '{"system":"s","prompt":"q","response":"a","question":"?"}', '{"instruction":"i","input":"j","output":"o","prompt":"p"}', '{"prompt":"p"}', '{"prompt":"p","response":"r","messages":[{"role":"user","content":"m"}]}',
+        '[1]', '3', 'null', '{"prompt":5,"response":[1, 2]}', '{}',
+    ]
+    turns, rejects = chat_format.variant_layouts(spark.createDataFrame(list(enumerate(texts)), "conv_id long, raw string"), "raw")
+    got = {}
+    for r in turns.orderBy("conv_id", "turn").collect():
+        got.setdefault(r.conv_id, []).append((r.role, r.text))
+    assert got == {
+        0: [("user", "q"), ("assistant", "a")], 3: [("user", ""), ("", "b"), ("", "")], 5: [("user", "q")], 6: [("system", "s"), ("user", "q"), ("assistant", "a")], 7: [("user", "i\n\nj"), ("assistant", "o")],
+        9: [("user", "p"), ("assistant", "r")], 13: [("user", "5"), ("assistant", "[1,2]")],
+    }
+    assert {r.conv_id: r.error for r in rejects.collect()} == dict.fromkeys((4, 8, 10, 11, 12, 14), "no mapping for this layout")
+    same = spark.sql("SELECT 9L AS conv_id, 'p' AS prompt, 'r' AS response, array(named_struct('role', 'user', 'content', 'm')) AS messages, map('a', 1) AS extra")
+    assert [(r.role, r.text) for r in chat_format.canonical_turns(same).orderBy("turn").collect()] == got[9]
+
+
+def test_every_set_of_mappings_has_its_fingerprint():
+    table = chat_format.resolved(chat_format.REGISTRY)
+    for a in chat_format.LAYOUTS:
+        assert table[chat_format.fingerprint(a.paths)] is a
+        for b in chat_format.LAYOUTS:
+            both = table[chat_format.fingerprint(sorted({*a.paths, *b.paths}))]
+            assert len(both.paths) >= max(len(a.paths), len(b.paths))
+    with pytest.raises(ValueError):
+        chat_format.resolved({str(i): chat_format.Mapping_((str(i),), fields=()) for i in range(13)})
 
 
 def test_layouts(spark):
