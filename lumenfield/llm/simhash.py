@@ -460,11 +460,14 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
 
     Texts are near-duplicates if their sets of distinct ``shingle``-word shingles have a Jaccard similarity of ``similarity`` or more,
     and classes are what such links connect, also among different texts under one ``doc_id``. Of rows equal in ``doc_id`` and text one
-    stays. Rows without a ``doc_id`` and texts without a word are no copies of anything, and all of them stay.
+    stays. Rows without a ``doc_id`` are compared like others and come after all that have one. Texts without a word are no copies of
+    anything, and all of them stay.
     """
     text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
-    worded = docs.filter(F.regexp_like(F.coalesce("text", F.lit("")), F.lit(WORD)) & F.col("doc_id").isNotNull())
-    texts = worded.select(F.col("doc_id").alias("id"), text_hash.alias("text_hash"), "text")
+    # the greatest id stands for none; with the hash of the text it names a row
+    own_id = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    worded = docs.filter(F.regexp_like(F.coalesce("text", F.lit("")), F.lit(WORD)))
+    texts = worded.select(own_id.alias("id"), text_hash.alias("text_hash"), "text")
 
     @F.pandas_udf("node long, keys array<long>, fp binary, size long")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -479,7 +482,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float =
     least = rows.groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("least"))
     others = rows.join(least, "component").filter(F.struct("id", "text_hash") != F.col("least"))
     drop = stash(others.select("id", "text_hash").distinct().toDF("__id", "__hash"), "dropped")
-    same = (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__hash"))
+    same = (own_id == F.col("__id")) & (F.col("__text") == F.col("__hash"))
     repeated = stash(sketches.groupBy("id", "text_hash").count().filter("count > 1").select("id", "text_hash").toDF("__id", "__hash"), "repeated")
     # rows that neither list may hold stay where they are, without a shuffle
     lists = drop.unionByName(repeated).select(F.col("__hash").alias("__text"))
