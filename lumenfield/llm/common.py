@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -14,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumenfield.sources.shared import shared_dir as shared_dir, shared_path as shared_path, stash as stash  # for all operators
+
 #: A word is a maximal run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: The ASCII white space that separates words.
@@ -37,41 +37,6 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    It is ``spark.checkpoint.dir`` of the session. Only a local session (one machine, as in tests)
-    may leave it unset; it then gets a temporary folder of its own, once.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    own = spark.sparkContext.getCheckpointDir()
-    if own is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-lumenfield-", dir=os.environ.get("TMPDIR")))
-        own = spark.sparkContext.getCheckpointDir()
-    return own.rstrip("/")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/lumenfield-{name}-{uuid.uuid4().hex}"
-
-
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it again.
-
-    This cuts the lineage, survives lost executors, and gives the planner the true size of the
-    table, so that it broadcasts the table only if that size is under its threshold.
-    """
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
