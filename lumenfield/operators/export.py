@@ -20,6 +20,8 @@ BYTE_ORDER_MARK = "\ufeff"
 #: Nights and days come from these images.
 IMAGES = ("night: DMSP-OLS 2004-2013 (1 km), VIIRS DNB 2014-2025 (500 m)", "day: Landsat 2004-2014 (30 m), Sentinel-2 2015-2025 (10 m)")
 
+BUNDLE_FILES = ("light: yearly indicators of the night images", "day: yearly indices of the day images", "economy: population and GDP, as provided", "images: the night and day images of these years")
+
 
 def write_lines(spark: SparkSession, before: Sequence[str], rows: DataFrame | None, path: str, order: Sequence[str] = ()) -> None:
     """One text file: the lines of ``before``, of which the first gets a byte-order mark, and those of ``rows`` (``value``) by ``order``."""
@@ -70,8 +72,8 @@ def export_panel_csv(long: DataFrame, path: str, shape: str, indicators: Sequenc
 def export_bundle(provinces: DataFrame, annual: DataFrame, day: DataFrame, economy: DataFrame, images: DataFrame, code: str, path: str, first: int = 2004, last: int = 2025, made: str = "") -> list[str] | None:
     """Files of one province below ``path``: ``light``, ``day``, ``economy``, ``images`` and ``notes``; None for an unknown code.
 
-    A part without rows still has its header, and says so. The notes name the province, the years, the parts and images, what has to be known about
-    the series (their warnings) and what is missing. Returns the warnings and what is missing.
+    A part without rows still has its header, and says so. ``notes`` is a table of ``topic, detail``: the province, the years, the files and sensors, a ``caution`` for each warning about the
+    series and a ``gap`` for each part that is missing. Returns the warnings and what is missing.
     """
     parts = province_series(provinces, annual, day, economy, code, first, last)
     if parts is None:
@@ -84,7 +86,7 @@ def export_bundle(provinces: DataFrame, annual: DataFrame, day: DataFrame, econo
     whole = [df.filter((F.col("province_code") == own["province_code"]) & F.col("year").between(first, last)) for df in (annual, day, economy)]
     found = series_warnings(*whole).first()
     warnings = list(found["warnings"]) if found else []
-    notes = [f"{own['province_name']} (code {own['province_code']}), {first}-{last}", f"made: {made}", "", "light: annual night light", "day: annual day indices", "economy: population and GDP, provided", "images: night and day images of these years", ""]
-    notes += [f"images, {x}" for x in IMAGES] + ["", "To be read before any analysis:", *([f"  - {w}" for w in warnings] or ["  (nothing)"]), *(f"  ! {m}" for m in missing)]
-    write_lines(provinces.sparkSession, notes, None, f"{path}/notes")
+    said = {"province": [f"{own['province_code']} {own['province_name']}"], "years": [f"{first}-{last}"], "created": [made] if made else [], "file": list(BUNDLE_FILES), "sensor": list(IMAGES), "caution": warnings, "gap": missing}
+    quoted = lambda x: '"' + x.replace('"', '""') + '"'
+    write_lines(provinces.sparkSession, ["topic,detail", *(f"{topic},{quoted(x)}" for topic, details in said.items() for x in details)], None, f"{path}/notes")
     return warnings + missing

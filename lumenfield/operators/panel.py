@@ -37,6 +37,13 @@ def check_indicators(codes: Sequence[str]) -> list[str] | None:
     return codes if codes and all(c in TABLES for c in codes) else None
 
 
+def checked_requests(requests: DataFrame, column: str = "indicators") -> DataFrame:
+    """``requests`` with ``accepted``: the trimmed codes of a comma-separated list, as ``check_indicators`` has them; null for a request without any or with an unknown one."""
+    codes = F.filter(F.transform(F.split(F.coalesce(column, F.lit("")), ","), lambda c: F.trim(c)), lambda c: c != "")
+    known = F.array(*(F.lit(c) for c in TABLES))
+    return requests.withColumn("accepted", F.when((F.size(codes) > 0) & (F.size(F.array_except(codes, known)) == 0), codes))
+
+
 def melt(tables: dict[str, DataFrame], indicators: Sequence[str]) -> DataFrame:
     """``(province_code, year, month, source, flag, indicator, value)`` of the tables that the indicators live in, one pass a table.
 

@@ -40,6 +40,11 @@ def obs_status(df: DataFrame) -> DataFrame:
     return df.withColumn("obs_status", flag)
 
 
+def explained(df: DataFrame, flag: str = "obs_status") -> DataFrame:
+    """``df`` with ``flag_text``: what each flag means; null for normal rows and unknown flags."""
+    return df.withColumn("flag_text", F.try_element_at(F.create_map(*(F.lit(x) for pair in FLAGS.items() for x in pair)), F.col(flag)))
+
+
 def note(df: DataFrame) -> DataFrame:
     """The note of the first VIIRS year of the annual table."""
     return df.withColumn("note", F.when((F.col("month") == 0) & (F.col("year") == 2014), UNCALIBRATED_NOTE).otherwise(""))

@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from lumenfield.functions.columns import pct
 from lumenfield.operators import catalogue, economy, export, models, panel, quality, raster, series, shaping, tables, timefn, zonal
-from lumenfield.plans import inputs, light, places
+from lumenfield.plans import details, inputs, light, places
 from lumenfield.plans import sql as S
 from lumenfield.plans.base import ORACLE_SQL, QUERIES, query
 from lumenfield.sources import adapter as A
 from lumenfield.sources import ingest
 from lumenfield.sources.shared import shared_path
 
-__all__ = ["ORACLE_SQL", "QUERIES", "light", "places"]
+__all__ = ["ORACLE_SQL", "QUERIES", "details", "light", "places"]
 
 def coarser(df):
     """Percentages of round areas to two digits: at the last one ties are common, and the two engines break them differently."""
@@ -563,7 +563,7 @@ def export_bundle(spark, d):
     export.export_bundle(A.provinces(spark, d), A.annual(spark, d, True), inputs.day_rows(spark, d), A.economy(spark, d), inputs.images(spark, d), "05", path, 2007, 2014)
     lines = None
     for part in ("light", "day", "economy", "images", "notes"):
-        own = spark.read.text(f"{path}/{part}").filter("startswith(value, '  - ')" if part == "notes" else "NOT startswith(ltrim('﻿', value), '#') AND NOT (value LIKE '%year,%')")
+        own = spark.read.text(f"{path}/{part}").filter("startswith(value, 'caution,')" if part == "notes" else "NOT startswith(ltrim('﻿', value), '#') AND NOT (value LIKE '%year,%')")
         counted = own.agg(F.count("*").alias("lines")).select(F.lit(part).alias("part"), "lines")
         lines = counted if lines is None else lines.unionByName(counted)
     return lines

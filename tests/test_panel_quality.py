@@ -124,7 +124,8 @@ def test_series_and_exports(spark, provinces, tmp_path):
     for name in ("day", "light", "images", "notes"):  # Spark leaves the byte-order mark out
         assert next((tmp_path / "bundle" / name).glob("part-*")).read_bytes().startswith(b"\xef\xbb\xbf")
     said = lines("notes")
-    assert said[0] == "Bà Rịa (code 01), 2009-2025" and any("DMSP" in x for x in said) and f"  - {quality.BREAK_2010}" in said
+    assert said[:3] == ["topic,detail", 'province,"01 Bà Rịa"', 'years,"2009-2025"'] and sum(x.startswith("sensor,") for x in said) == 2
+    assert f'caution,"{quality.BREAK_2010}"' in said and said[-2:] == ['gap,"no day rows in 2009-2025"', 'gap,"no economy rows in 2009-2025"']
     assert export.export_bundle(provinces, annual, day, money, images, "99", str(tmp_path / "none")) is None
     long = panel.panel_long({"ntl_annual": annual}, provinces, ["sol"], ["2009", "2010"])
     notes = ["# Sum of lights (nW/cm2/sr), code sol", "# radiance of the region's pixels above the background", f"# NOTE: {quality.BREAK_2010}", ""]
