@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenfield.schemas import FIRST_YEAR, INDICATORS, LAST_YEAR, unit_of
@@ -92,9 +92,10 @@ def panel_long(
     times = spark.createDataFrame([(y, m, period_label((y, m)), i) for i, (y, m) in enumerate(at)], "year int, month int, period string, period_order int")
     grid = regions.crossJoin(F.broadcast(names)).crossJoin(F.broadcast(times))
     rows = melt(tables, wanted).join(F.broadcast(times.select("year", "month")), ["year", "month"])
-    sources = rows.filter("source != ''").groupBy("province_code").agg(F.array_join(F.array_sort(F.collect_set("source")), "/").alias("source"))
-    cells = rows.select("province_code", "indicator", "year", "month", "value", F.nullif("flag", F.lit("A")).alias("flag"))
-    out = grid.join(cells, ["province_code", "indicator", "year", "month"], "left").join(sources, "province_code", "left")
+    cells = rows.select("province_code", "indicator", "year", "month", "value", F.nullif("flag", F.lit("A")).alias("flag"), F.nullif("source", F.lit("")).alias("__source"))
+    out = grid.join(cells, ["province_code", "indicator", "year", "month"], "left")
+    sources = F.array_sort(F.collect_set("__source").over(Window.partitionBy("province_code")))
+    out = out.withColumn("source", F.when(F.size(sources) > 0, F.array_join(sources, "/")))
     columns = ["province_code", "province_name", "number", "indicator", "indicator_order", "unit", "period", "period_order", "value", "flag", "source"]
     return out.select(columns).orderBy("number", "indicator_order", "period_order")
 

@@ -11,23 +11,18 @@ from lumenfield.plans import sql as S
 from lumenfield.plans.base import ORACLE_SQL, QUERIES, query
 from lumenfield.sources import adapter as A
 from lumenfield.sources import ingest
-from lumenfield.sources.shared import shared_path
+from lumenfield.sources.shared import shared_path, stash
 
 __all__ = ["ORACLE_SQL", "QUERIES", "details", "light", "places"]
 
-def coarser(df):
-    """Percentages of round areas to two digits: at the last one ties are common, and the two engines break them differently."""
-    return df.withColumn("lit_area_pct", F.round("lit_area_pct", 2))
-
-
 @query(f"{S.STATS} SELECT {S.ZONAL_SQL} FROM s")
 def zonal_annual(spark, d):
-    return coarser(A.stats(spark, d)).select(*S.names(S.ZONAL_COLUMNS))
+    return A.stats(spark, d).select(*S.names(S.ZONAL_COLUMNS))
 
 
 @query(f"{S.STATS_MONTHLY} SELECT {S.ZONAL_SQL} FROM s")
 def zonal_monthly(spark, d):
-    return coarser(A.stats(spark, d, True)).select(*S.names(S.ZONAL_COLUMNS))
+    return A.stats(spark, d, True).select(*S.names(S.ZONAL_COLUMNS))
 
 
 @query(f"{S.ANNUAL} SELECT {S.ANNUAL_COLUMNS} FROM ac")
@@ -74,7 +69,8 @@ def joined(spark, d):
 
 
 def with_indicators(spark, d):
-    rows = joined(spark, d)
+    # the model and the rows that it is applied to
+    rows = stash(joined(spark, d), "joined")
     rows = models.light_gdp_elasticity(economy.sol_per_capita(rows))
     return models.predicted_gdp(rows, models.gdp_model(rows))
 
@@ -83,20 +79,20 @@ def with_indicators(spark, d):
     w AS (SELECT *, {S.PREVIOUS.format(c='sol_cal')} AS p_light, {S.PREVIOUS.format(c='gdp')} AS p_gdp FROM j)
     SELECT province_code, year, population, round(gdp, 2) AS gdp, sol, round(sol_cal, 4) AS sol_cal,
         CASE WHEN population > 0 THEN round(sol_cal / population, 6) END AS sol_per_capita,
-        CASE WHEN year <> 2010 AND p_light > 0 AND p_gdp > 0 AND gdp <> p_gdp THEN round((100 * (sol_cal / p_light - 1)) / (100 * (gdp / p_gdp - 1)), 2) + 0 END AS light_gdp_elasticity,
-        CASE WHEN sol_cal > 0 THEN round(exp((SELECT a FROM g) + (SELECT b FROM g) * ln(sol_cal)), 1) END AS predicted_gdp
+        CASE WHEN year <> 2010 AND p_light > 0 AND p_gdp > 0 AND gdp <> p_gdp THEN round((100 * (sol_cal / p_light - 1)) / (100 * (gdp / p_gdp - 1)), 6) + 0 END AS light_gdp_elasticity,
+        CASE WHEN sol_cal > 0 THEN round(exp((SELECT a FROM g) + (SELECT b FROM g) * ln(sol_cal)), 4) END AS predicted_gdp
     FROM w""")
 def light_economy(spark, d):
-    out = with_indicators(spark, d).withColumns({"gdp": F.round("gdp", 2), "sol_cal": F.round("sol_cal", 4), "light_gdp_elasticity": F.round("light_gdp_elasticity", 2), "predicted_gdp": F.round("predicted_gdp", 1)})
+    out = with_indicators(spark, d).withColumns({"gdp": F.round("gdp", 2), "sol_cal": F.round("sol_cal", 4), "predicted_gdp": F.round("predicted_gdp", 4)})
     return out.select("province_code", "year", "population", "gdp", "sol", "sol_cal", "sol_per_capita", "light_gdp_elasticity", "predicted_gdp")
 
 
-@query(f"""{S.JOINED} SELECT 'G.' || province_code AS gid_1, province_name AS name_1, year, 0 AS month, population, round(gdp, 2) AS gdp, sol_raw, sol, lit_area_km2, round(lit_area_pct, 2) AS lit_area_pct,
+@query(f"""{S.JOINED} SELECT 'G.' || province_code AS gid_1, province_name AS name_1, year, 0 AS month, population, round(gdp, 2) AS gdp, sol_raw, sol, lit_area_km2, lit_area_pct,
     round(sol_cal, 4) AS sol_cal, round(sol_cal / area_km2, 6) AS sol_density, {S.pct('sol_cal', S.PREVIOUS.format(c='sol_cal'))} AS sol_change_pct, 'sol_cal' AS light_basis,
     CASE WHEN gdp IS NULL THEN '' ELSE 'so_sanh' END AS grdp_price_basis, CASE WHEN gdp IS NULL THEN '' ELSE 'orders' END AS economy_source, 'DMSP_TO_VIIRS_POWER_OVERLAP2013_v1' AS calibration, obs_status FROM j""")
 def night_economy(spark, d):
     out = tables.night_economy(with_indicators(spark, d), A.provinces(spark, d), True)
-    return coarser(out).withColumn("gdp", F.round("gdp", 2)).drop("sol_per_capita", "light_gdp_elasticity", "predicted_gdp")
+    return out.withColumn("gdp", F.round("gdp", 2)).drop("sol_per_capita", "light_gdp_elasticity", "predicted_gdp")
 
 
 @query(f"""{S.MONTHLY} SELECT 'G.' || province_code AS gid_1, province_name AS name_1, year, month, CAST(NULL AS VARCHAR) AS avg_rad, CAST(NULL AS VARCHAR) AS cf_cvg, area_km2, valid_pixels AS total_pixels,
@@ -109,13 +105,13 @@ def night_data(spark, d):
 @query(f"""{S.BOTH} SELECT province_code, year, 0 AS month, source, sol, sol_density, obs_status FROM ac WHERE source = 'DMSP'
     UNION ALL SELECT province_code, year, month, source, sol, sol_density, obs_status FROM m WHERE year >= 2014""")
 def ntl_panel(spark, d):
-    return tables.ntl_panel(A.annual(spark, d), A.monthly(spark, d)).select("province_code", "year", "month", "source", "sol", "sol_density", "obs_status")
+    return tables.ntl_panel(A.annual(spark, d, both=True), A.monthly(spark, d, both=True)).select("province_code", "year", "month", "source", "sol", "sol_density", "obs_status")
 
 
 @query(f"""{S.ANNUAL}, l AS (SELECT {', '.join(tables.LIGHT_FIELDS)} FROM ac WHERE province_code = '05' AND year BETWEEN 2007 AND 2014)
-    SELECT * REPLACE (round(sol_cal, 4) AS sol_cal, round(lit_area_pct, 2) AS lit_area_pct) FROM l""")
+    SELECT * REPLACE (round(sol_cal, 4) AS sol_cal) FROM l""")
 def province_light(spark, d):
-    return own_series(spark, d)["light"].withColumns({"sol_cal": F.round("sol_cal", 4), "lit_area_pct": F.round("lit_area_pct", 2)})
+    return own_series(spark, d)["light"].withColumn("sol_cal", F.round("sol_cal", 4))
 
 
 def own_series(spark, d):

@@ -55,7 +55,7 @@ _STATS = f"""{PROV}, z AS (SELECT province_code, year, month, source, count(*) F
         round(low, 4) AS rad_min, round(high, 4) AS rad_max, CASE WHEN raw > 0 THEN round(std / (raw / n), 4) END AS rad_cv, CASE WHEN n > 0 THEN coalesce(CASE WHEN raw > 0 THEN round(std / (raw / n), 4) END, 0) END AS spatial_cv,
         CASE WHEN n > 0 THEN lit END AS lit_pixels, CASE WHEN n > 0 THEN round(coalesce(lit_sum, 0), 4) END AS lit_sol, CASE WHEN n > 0 THEN round(coalesce(lit_area, 0), 4) END AS lit_area_km2,
         round(100 * lit / nullif(n, 0), 4) AS lit_pixel_pct, round(cloud, 4) AS cloud_free_obs FROM z JOIN prov USING (province_code)),
-    s AS (SELECT *, round(sol / area_km2, 6) AS sol_density, round(100 * lit_area_km2 / area_km2, 4) AS lit_area_pct,
+    s AS (SELECT *, round(sol / area_km2, 6) AS sol_density, CAST(round(CAST(CAST(100 * lit_area_km2 / area_km2 AS VARCHAR) AS DECIMAL(38, 20)), 4) AS DOUBLE) AS lit_area_pct,
         CASE WHEN month > 0 THEN year || '-' || lpad(CAST(month AS VARCHAR), 2, '0') ELSE CAST(year AS VARCHAR) END AS period, CASE WHEN month > 0 THEN 'monthly' ELSE 'annual' END AS frequency,
         CASE WHEN valid_pixels > 0 THEN 'OK' ELSE 'INSUFFICIENT_QUALITY' END AS status, CASE WHEN month = 0 AND year = 2014 THEN 'DOI_NGUON_ANH_CHUA_HIEU_CHINH' ELSE '' END AS note,
         CASE WHEN valid_pixels = 0 THEN 'L' WHEN month = 0 AND year IN (2010, 2014) THEN 'B' WHEN cloud_free_obs < 2 THEN 'U' ELSE 'A' END AS obs_status FROM s0)"""
@@ -66,7 +66,7 @@ ZONAL_COLUMNS = (
     "province_code, province_name, area_km2, year, month, source, valid_pixels, sol_raw, sol, background_pixels, background_threshold, lit_threshold, rad_mean, rad_std, rad_min, rad_max, rad_cv, spatial_cv, "
     "lit_pixels, lit_sol, lit_area_km2, lit_pixel_pct, cloud_free_obs, sol_density, lit_area_pct, period, frequency, status, note, obs_status"
 )
-ZONAL_SQL = ZONAL_COLUMNS.replace("lit_area_pct", "round(lit_area_pct, 2) AS lit_area_pct")
+ZONAL_SQL = ZONAL_COLUMNS
 OVERLAP = """SELECT d.province_code, 2013 AS year, d.sol AS sol_dmsp, v.sol AS sol_viirs, d.area_km2 FROM s d JOIN s v USING (province_code)
     WHERE d.year = 2013 AND v.year = 2013 AND d.source = 'DMSP' AND v.source = 'VIIRS'"""
 PREVIOUS = "max({c}) OVER (PARTITION BY province_code ORDER BY year RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING)"

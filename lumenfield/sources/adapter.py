@@ -29,12 +29,14 @@ def provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pixels(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
-    """Pixel observations of valid images: DMSP years to 2013 and VIIRS years from 2013, or VIIRS months from 2013."""
+def pixels(spark: SparkSession, sf_dir: str, monthly: bool | None = False) -> DataFrame:
+    """Pixel observations of valid images: DMSP years to 2013 and VIIRS years from 2013 (month 0), or VIIRS months from 2013, or with None both, from one scan."""
     line, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     year = (F.year("l_shipdate") + 14).alias("year")
-    month = (F.month("l_shipdate") if monthly else F.lit(0)).alias("month")
     source = F.when((F.year("l_shipdate") + 14 <= 2013) & (F.col("l_linenumber") % 2 == 1), "DMSP").otherwise("VIIRS")
+    # a DMSP image is one of a year
+    both = F.explode(F.when(source == "VIIRS", F.array(F.lit(0), F.month("l_shipdate"))).otherwise(F.array(F.lit(0))))
+    month = (both if monthly is None else F.month("l_shipdate") if monthly else F.lit(0)).alias("month")
     lat = (8 + F.col("l_partkey") % 16).cast("double")
     rows = line.select(
         "l_suppkey", year, month, source.alias("source"), ((F.col("l_quantity") - 4) / 8.0).alias("radiation"), (F.col("l_tax") * 100).alias("cf_cvg"), (F.col("l_discount") != 0.1).alias("mask"),
@@ -42,44 +44,47 @@ def pixels(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame
     )
     wanted = (F.col("source") == "VIIRS") & (F.col("year") >= 2013)
     if not monthly:
-        wanted = wanted | (F.col("source") == "DMSP")
+        wanted = wanted | ((F.col("source") == "DMSP") & (F.col("month") == 0))
     rows = rows.filter(wanted).join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     area = pixel_area_km2(F.lit(0.004), F.lit(0.004), F.lit(4326), F.col("lat"))
     return rows.select(F.lpad(F.col("s_nationkey").cast("string"), 2, "0").alias("province_code"), "year", "month", "source", "row", "col", "lat", "radiation", "cf_cvg", "mask", area.alias("pixel_area_km2"))
 
 
-KEPT: list[DataFrame] = []
+#: Statistics that are kept, by application, folder and kind of image (False, True, or None for both).
+KEPT: dict[tuple[str, str, bool | None], DataFrame] = {}
 
 
 def release() -> None:
     """Give up the statistics that ``stats`` keeps."""
     while KEPT:
-        KEPT.pop().unpersist()
+        KEPT.popitem()[1].unpersist()
 
 
-def stats(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
-    """Zonal statistics with areas, names and flags.
+def kept(spark: SparkSession, sf_dir: str, monthly: bool | None) -> DataFrame:
+    """Zonal statistics, one row for each image, which series, models and panels read several times; kept until ``release``, so that the pixels are read once."""
+    key = (spark.sparkContext.applicationId, sf_dir, monthly)
+    if key not in KEPT:
+        KEPT[key] = zonal_stats(pixels(spark, sf_dir, monthly)).persist()
+    return KEPT[key]
 
-    The statistics are one row for each image, and series, models and panels read them several times, so they are kept; the
-    pixels are then read once. Spark keeps one copy for all queries on the same files until ``release``.
-    """
+
+def stats(spark: SparkSession, sf_dir: str, monthly: bool = False, both: bool = False) -> DataFrame:
+    """Zonal statistics with areas, names and flags, of years or of months. With ``both`` they come from the one table of years and months, for a caller that takes the other too."""
     own = provinces(spark, sf_dir).select("province_code", "province_name", "area_km2")
-    kept = zonal_stats(pixels(spark, sf_dir, monthly)).persist()
-    KEPT.append(kept)
-    out = kept.join(own, "province_code")
-    return note(obs_status(with_area(out)))
+    rows = kept(spark, sf_dir, None).filter("month > 0" if monthly else "month = 0") if both else kept(spark, sf_dir, monthly)
+    return note(obs_status(with_area(rows.join(own, "province_code"))))
 
 
-def annual(spark: SparkSession, sf_dir: str, calibrated: bool = False) -> DataFrame:
+def annual(spark: SparkSession, sf_dir: str, calibrated: bool = False, both: bool = False) -> DataFrame:
     """The annual table. With ``calibrated`` the model is fitted on the provinces of the overlap (25 at most here, so from 5)."""
-    every = stats(spark, sf_dir)
+    every = stats(spark, sf_dir, both=both)
     model = fit_log_model(overlap_pairs(every), "sol_dmsp", "sol_viirs", 5) if calibrated else None
     rows = annual_change(annual_rows(every))
     return calibrated_change(calibrated_density(apply_calibration(rows, model)))
 
 
-def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return row_changes(monthly_changes(apply_calibration(stats(spark, sf_dir, True))))
+def monthly(spark: SparkSession, sf_dir: str, both: bool = False) -> DataFrame:
+    return row_changes(monthly_changes(apply_calibration(stats(spark, sf_dir, True, both))))
 
 
 def economy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +110,8 @@ def day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    made = {"ntl_annual": lambda: annual(spark, sf_dir, True), "ntl_monthly": lambda: monthly(spark, sf_dir), "day_annual": lambda: day(spark, sf_dir), "economy": lambda: economy(spark, sf_dir)}
+    both = not names or {"ntl_annual", "ntl_monthly"} <= set(names)
+    made = {"ntl_annual": lambda: annual(spark, sf_dir, True, both), "ntl_monthly": lambda: monthly(spark, sf_dir, both), "day_annual": lambda: day(spark, sf_dir), "economy": lambda: economy(spark, sf_dir)}
     return {n: made[n]() for n in names or made}
 
 
