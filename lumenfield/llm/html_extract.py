@@ -25,6 +25,9 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Elements that hold an article's prose, and those of them that may stand before its container.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote li pre".split())
+LEAD = frozenset(["p", "blockquote"])
 #: Elements that an open p ends at.
 ENDS_P = BLOCKS - frozenset("body caption dd dt html legend li optgroup option tbody td tfoot th thead tr".split()) | frozenset("dd dt li".split())
 #: What the start of an element ends, up to the nearest of the second.
@@ -53,7 +56,8 @@ RAW = "script|style|textarea|title|noscript|template|iframe|noembed|noframes|xmp
 TOKEN = re.compile(
     r"<!--(?:>|->)?.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    # a quote only opens a value after a sign of equality, and only if it is closed somewhere
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(?:>|\Z)",
     re.S | re.I,
 )
 ATTR = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))|([^\s=/>\"']+)")
@@ -87,15 +91,20 @@ def is_clutter(tag: str, attrs: dict[str, str], inside: bool) -> bool:
         return False
     if "hidden" in attrs or attrs.get("role", "").lower() in DROP_ROLES or attrs.get("aria-hidden") == "true":
         return True
-    return any(names_clutter(name, inside) for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split())
+    return any(names_clutter(name, inside, inside and tag in PROSE) for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split())
 
 
 @lru_cache(1 << 14)
-def names_clutter(name: str, inside: bool) -> bool:
-    """Whether a class or id is a name for clutter. ``content-sidebar-wrap`` and ``has-sidebar`` name what lies around both."""
+def names_clutter(name: str, inside: bool, prose: bool = False) -> bool:
+    """Whether a class or id is a name for clutter. ``content-sidebar-wrap`` and ``has-sidebar`` name what lies around both.
+
+    What holds prose in an article (``prose``) is clutter by a whole name only: ``notice``, but not ``notice-period``.
+    """
     parts = [p for p in (x.lower().rstrip("0123456789") for x in NAME_PART.split(name)) if p]
     if not parts:
         return False
+    if prose:
+        return "".join(parts) in DROP_NAMES
     if parts[0] in AROUND_FIRST or parts[-1] in AROUND_LAST and CONTENT_NAME.fullmatch(parts[0]):
         return False
     if any(p in DROP_NAMES and p not in WHOLE_ONLY for p in parts) or "".join(parts) in DROP_NAMES:
@@ -123,7 +132,7 @@ def blocks(page: str) -> tuple[list[tuple[tuple[int, ...], str, int]], list[Elem
     def flush() -> None:
         nonlocal linked
         if held:
-            text = " ".join(html.unescape("".join(held)).split())
+            text = " ".join("".join(held).split())
             if text:
                 out.append((around, text, min(linked, len(text))))
             held.clear()
@@ -134,7 +143,8 @@ def blocks(page: str) -> tuple[list[tuple[tuple[int, ...], str, int]], list[Elem
         if raw and not elements[stack[-1]].dropped:
             if not held:
                 around = tuple(stack)
-            held.append(raw)
+            # run by run, as a reference doesn't reach across a tag
+            held.append(html.unescape(raw))
             if links:
                 linked += len(raw)
 
@@ -221,14 +231,25 @@ def votes(page: str | None) -> list[tuple[str, float]]:
 
 
 def extract_page(page: str | None, path: str | None) -> tuple[str, str | None]:
-    """The text of all containers at ``path``, or of the page's own best one, and the path that was used."""
+    """The text of all containers at ``path``, or of the page's own best one, with the paragraphs before it in its wrapper, and the path that was used."""
     found, elements = blocks(page or "")
     if path is None or not any(elements[i].path == path for around, _, _ in found for i in around):
         scores = container_scores(found, elements)
         path = min(scores, key=lambda p: (-scores[p], p)) if scores else None
     if path is None:
         return " ".join(text for _, text, _ in found), None
-    return " ".join(text for around, text, _ in found if any(elements[i].path == path for i in around)), path
+    first = next(around for around, _, _ in found if any(elements[i].path == path for i in around))
+    at = next(k for k, i in enumerate(first) if elements[i].path == path)
+    # paragraphs that stand before the container in the same wrapper lead the article
+    wrapper = first[at - 1] if elements[first[at - 1]].tag not in ("", "html", "body") else None
+    told, begun = [], False
+    for around, text, _ in found:
+        inside = any(elements[i].path == path for i in around)
+        begun = begun or inside
+        lead = not begun and wrapper in around[:-1] and elements[around[around.index(wrapper) + 1]].tag in LEAD
+        if inside or lead:
+            told.append(text)
+    return " ".join(told), path
 
 
 def vote_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -256,7 +277,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` with ``text``, ``n_chars`` (code points) and ``path`` (the container used, null if none).
 
-    A null or empty page gives an empty text. A page whose url is null or names no host has no consensus and uses its own best
+    A null or empty page gives an empty text, repeated rows the same one each, a table without rows none; a page is read as a whole, whatever its length. A page whose url is null or names no host has no consensus and uses its own best
     container. Other columns stay; those with these names are replaced. Winning paths are written to the shared
     folder first, so the planner knows their size and broadcasts them only if they are small; a hot host is split by
     the skew join otherwise.

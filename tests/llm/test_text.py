@@ -217,3 +217,30 @@ def test_pages_awkward(spark):
     assert by[1] == by[2] == "" and by[4] == "plain words" and by[None].startswith("a b a b")
     assert html_extract.extract(written(df.filter("false"), 3)).collect() == []
     assert sorted((str(r.page_id), r.text) for r in html_extract.extract(written(df, 30)).collect()) == sorted((str(r.page_id), r.text) for r in out)
+
+
+def test_references_do_not_reach_across_tags():
+    read = lambda page: html_extract.extract_page(page, None)[0]
+    assert read("<p>A &am<b>p;</b> B &amp; C &l<!-- -->t; D &lt; E</p>") == "A &amp; B & C &lt; D < E"
+
+
+def test_prose_of_an_article_is_no_clutter_by_a_part_of_its_name():
+    page = '<article><p class="notice-period">one</p><p class="notice">two</p><h2 class="social-media">three</h2><li id="related-work">four</li><div class="social-links">five</div><blockquote class="ad">six</blockquote></article><p class="social-media">seven</p>'
+    assert html_extract.extract_page(page, None)[0] == "one three four"
+
+
+def test_lead_before_the_container():
+    body = " ".join(["A body of some length, with words."] * 9)
+    page = f'<body><p>Not this.</p><div class="wrap"><p>The lead.</p><blockquote>And a quote.</blockquote><div>Not this either.</div><p class="cookie">No.</p><article><h1>Title</h1><p>{body}</p></article><p>Nor this.</p></div></body>'
+    assert html_extract.extract_page(page, None) == (f"The lead. And a quote. Title {body}", "body>div.wrap>article")
+    plain = f"<body><p>Not this.</p><article><p>{body}</p></article></body>"
+    assert html_extract.extract_page(plain, None)[0] == body
+
+
+def test_quotes_that_open_nothing_end_with_their_tag():
+    read = lambda page: html_extract.extract_page(page, None)[0]
+    assert read("<p title=\"it's>first</p><p>second</p>") == "first second"
+    assert read("<p class=a don't>text</p><p>it's</p>") == "text it's"
+    assert read("<p title=\"a>b\" lang='c>d' x = \"e>f\">first</p>") == "first"
+    assert read("<p title='a") == ""
+    assert read("<p a='>" * 5001 + "x") == ""
