@@ -1,7 +1,7 @@
 """Document fingerprints as a homomorphic multiset hash of paragraphs.
 
-A document is the multiset of its passages: lines, where long ones are cut after sentence ends (or, without any, after words
-picked by a hash), as one change should leave the rest of a long paragraph as it was. Each passage is hashed to a wide vector, and a fingerprint is the sum of its passages' vectors, so the
+A document is the multiset of its passages: lines, where longer ones are cut at places that the text itself picks,
+as one change should leave the rest of a paragraph as it was. Each passage is hashed to a wide vector, and a fingerprint is the sum of its passages' vectors, so the
 order doesn't matter and passages can be added to or taken from a fingerprint without the others. Lanes are
 
     1 lane modulo 2**32: the number of passages
@@ -20,18 +20,17 @@ import json
 import math
 import re
 from collections.abc import Iterable, Iterator
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenfield.llm.common import shuffle_partitions
+from lumenfield.llm.common import shuffle_partitions, stash
 
 DENSE, CAUCHY = 8, 288
 SIZE = 4 * (1 + DENSE + CAUCHY)
-SENTENCE_END = re.compile(r"(?<=[.!?] )")
+PASSAGE = re.compile(r".{16,38}?(?:[.!?,;] |[dgkmtyz] |\Z)|.{38}[^ ]{0,10} ?|.+", re.S)
 DIGEST = 40
 #: Passages hashed at once; bounds the memory that one very long text takes.
 BLOCK = 1 << 12
@@ -43,24 +42,16 @@ STEPS = np.arange(1, CAUCHY // 4 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4
 
 
 def passages(text: str) -> Iterator[str]:
+    """The passages of a text, which put together are its lines.
+
+    Each line is cut after a mark or a word with one of some last letters, from 16 characters on, and at 49 characters at the latest, so places move with the text, and the first half of a
+    text of 100 characters or more always has a whole passage, whatever follows it.
+    """
     for line in text.split("\n"):
-        if len(line) <= 80:
+        if len(line) <= 16:
             yield line
-            continue
-        for part in SENTENCE_END.split(line):
-            yield from (part,) if len(part) <= 240 else cut_at_words(part)
-
-
-def cut_at_words(part: str) -> Iterator[str]:
-    """Cuts a long passage without a sentence's end after words that a hash picks, one in eight, so cuts move with the text."""
-    held = []
-    for w in part.split(" "):
-        held.append(w)
-        if crc32(w.encode("utf-8", "surrogatepass")) & 7 == 0:
-            yield " ".join(held)
-            held = []
-    if held:
-        yield " ".join(held)
+        else:
+            yield from PASSAGE.findall(line)
 
 
 def mix(z: np.ndarray) -> np.ndarray:
@@ -171,7 +162,8 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     parts = parts or shuffle_partitions(spark)
     key = F.struct(F.col("doc_id").cast("long").alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
-    keys = docs.select(key.alias("key"))
+    # what ranges are cut by is written once, so that texts are read for it once
+    keys = stash(docs.select(key.alias("key")), "keys")
     share = min(1.0, 64.0 * parts / max(1, keys.count()))
     order = lambda k: (k[0] is not None, k[0] or 0, k[1])
     # only where ranges are cut depends on the sample, not what comes out
@@ -179,7 +171,7 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     cuts = sorted({some[len(some) * i // parts] for i in range(1, parts)}, key=order) if some else []
     bucket = bucket_of(cuts, F.col("key")) if cuts else F.lit(0)
     rows = docs.select("doc_id", "text", key.alias("key")).withColumn("bucket", bucket)
-    heads = {r["bucket"]: (r["head"]["d"], r["head"]["h"]) for r in rows.groupBy("bucket").agg(F.max("key").alias("head")).collect()}
+    heads = {r["bucket"]: (r["head"]["d"], r["head"]["h"]) for r in keys.withColumn("bucket", bucket).groupBy("bucket").agg(F.max("key").alias("head")).collect()}
     full = sorted(heads, reverse=True)
     before = {b: full[i - 1] for i, b in enumerate(full)}
     known = [{"d": heads[b][0], "h": heads[b][1], "to": before[b]} if b in heads else None for b in range(len(cuts) + 1)]
@@ -202,7 +194,7 @@ def compare_next(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)`` of each row.
 
     Null texts are empty; rows that repeat an id run by a hash of their texts; a single row is its own next; an empty
-    table gives an empty result; other columns are ignored.
+    table gives an empty result; other columns are ignored. A very long text is hashed some thousand passages at a time; it and its edited text are held whole.
     """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -244,3 +245,21 @@ def test_quotes_that_open_nothing_end_with_their_tag():
     assert read("<p title=\"a>b\" lang='c>d' x = \"e>f\">first</p>") == "first"
     assert read("<p title='a") == ""
     assert read("<p a='>" * 5001 + "x") == "x"
+
+
+def test_half_kept_texts_share_passages():
+    """Whatever follows, the first half of a text of 100 characters or more keeps a passage whole."""
+    rng = random.Random(3)
+    letters = ["a", "e", "n", "r", "é", "😀", "d", " ", " ", ". ", "\n", "-", "x" * 30]
+    seen = []
+    for _ in range(600):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(60, 400)))[: rng.randrange(100, 600)]
+        other = "".join(rng.choice(letters[6:] if rng.random() < 0.5 else letters) for _ in range(300))
+        assert "\n".join("".join(fingerprint.passages(x)) for x in text.split("\n")) == text
+        assert all(len(p) <= 49 for p in fingerprint.passages(text))
+        if len(text) >= 100:
+            new = fingerprint.edited(text, other)
+            assert (Counter(fingerprint.passages(text)) & Counter(fingerprint.passages(new))).total() > 0
+            seen.append(fingerprint.likeness(fingerprint.fingerprint(text), fingerprint.fingerprint(new)) > 0)
+    # an estimate of one shared passage among some may round to none
+    assert np.mean(seen) > 0.95
