@@ -29,29 +29,57 @@ def letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def codes(text: str) -> np.ndarray:
-    """Code points of the lower-case text with each run of other characters than letters as one ``BLANK``, also at both ends."""
+def codes(text: str, before: bool = True, after: bool = True) -> np.ndarray:
+    """Code points of the lower-case text with each run of other characters than letters as one ``BLANK``, also at an end that is one of a word."""
     raw = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    raw = np.concatenate(([BLANK], np.where(letters()[raw], raw, BLANK), [BLANK]))
+    raw = np.concatenate(([BLANK] * before, np.where(letters()[raw], raw, BLANK), [BLANK] * after)).astype(np.int64)
     keep = np.ones(len(raw), bool)
     keep[1:] = (raw[1:] != BLANK) | (raw[:-1] != BLANK)
     return raw[keep]
 
 
-def grams(c: np.ndarray) -> np.ndarray:
-    """Codes of the n-grams inside single words, where a word is padded with a blank on both sides."""
-    one = c[c != BLANK]
-    two = (c[:-1] << 21) | c[1:]
+def grams(c: np.ndarray, known: int = 0) -> np.ndarray:
+    """Codes of the n-grams inside single words, where a word is padded with a blank on both sides; those that end in the first ``known`` codes left out."""
+    one = c[known:]
+    one = one[one != BLANK]
+    two = ((c[:-1] << 21) | c[1:])[max(known - 1, 0) :]
     mid = c[1:-1] != BLANK
-    three = ((c[:-2] << 42) | (c[1:-1] << 21) | c[2:])[mid]
+    three = ((c[:-2] << 42) | (c[1:-1] << 21) | c[2:])[max(known - 2, 0) :][mid[max(known - 2, 0) :]]
     return np.concatenate((one, two, three)) if len(c) > 1 else one
 
 
+def blocks(text: str) -> Iterator[tuple[str, bool, bool]]:
+    """A text in blocks of about ``BLOCK`` characters, and whether each begins and ends at a border of words; only in a run of letters longer than that does one not."""
+    start, begins = 0, True
+    while start < len(text):
+        end = start + BLOCK
+        while end < min(len(text), start + 2 * BLOCK) and text[end - 1].isalpha():
+            end += 1
+        ends = end >= len(text) or not text[end - 1].isalpha()
+        yield text[start:end], begins, ends
+        start, begins = end, ends
+
+
+def continued(held: np.ndarray, block: str, begins: bool, ends: bool) -> np.ndarray:
+    """The codes of a block after the last two of the word that it goes on with."""
+    c = codes(block, begins, ends)
+    return np.concatenate((held, c[1:] if len(held) and held[-1] == BLANK and len(c) and c[0] == BLANK else c))
+
+
+def block_grams(text: str) -> Iterator[np.ndarray]:
+    """The n-grams of a text, block by block. A word that is cut goes on with its last two codes, so each of its n-grams comes once."""
+    held = np.zeros(0, np.int64)
+    for block, begins, ends in blocks(text):
+        c = continued(held, block, begins, ends)
+        yield grams(c, len(held))
+        held = c[:0] if ends else c[-2:]
+
+
 def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of the whole text and their counts, block by block."""
     found, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for block in blocks(text):
-        g, k = np.unique(grams(codes(block)), return_counts=True)
+    for some in block_grams(text):
+        g, k = np.unique(some, return_counts=True)
         if len(found):
             g, back = np.unique(np.concatenate((found, g)), return_inverse=True)
             k = np.bincount(back.ravel(), np.concatenate((n, k))).astype(np.int64)
@@ -84,17 +112,6 @@ def merged(parts: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def blocks(text: str) -> Iterator[str]:
-    """A text in blocks of about ``BLOCK`` characters that cut no word."""
-    start = 0
-    while start < len(text):
-        end = start + BLOCK
-        while end < len(text) and text[end - 1].isalpha():
-            end += 1
-        yield text[start:end]
-        start = end
-
-
 def gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows ``(lang, gram, n)``: the n-grams of each word once, times how often the word occurs. No row where there is no word."""
     words: dict[str, Counter] = {}
@@ -110,9 +127,16 @@ def gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for pdf in batches:
         for lang, text in zip(pdf.lang, pdf.text):
-            own = words.setdefault(lang, Counter())
-            for block in blocks(text):
-                own.update(WORD.findall(block.lower()))
+            own, held = words.setdefault(lang, Counter()), np.zeros(0, np.int64)
+            for block, begins, ends in blocks(text):
+                if begins and ends:
+                    own.update(WORD.findall(block.lower()))
+                else:
+                    # part of a word longer than a block, and whatever stands beside it
+                    c = continued(held, block, begins, ends)
+                    found, n = np.unique(grams(c, len(held)), return_counts=True)
+                    held = c[:0] if ends else c[-2:]
+                    yield pd.DataFrame({"lang": lang, "gram": found, "n": n})
                 if sum(map(len, words.values())) > WORDS:
                     yield from flush()
                     own = words.setdefault(lang, Counter())
@@ -138,7 +162,8 @@ def predict(df: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "tex
     The distance of a profile is the sum, over the text's most frequent n-grams, of the difference of their ranks, and of
     ``TOP`` for an n-gram that the profile lacks. ``score`` is 1 less the distance's share of its maximum. Ties go
     to the language that is first by name. A text that is null or has no letter is ``und`` with score 0; so is every
-    text if no profile was learned.
+    text if no profile was learned. Repeated rows get the same prediction each. A very long text is counted in blocks, also
+    inside a word that is longer than one.
     """
     langs = sorted(profiles)
     order = {lang: np.argsort(profiles[lang], kind="stable") for lang in langs}

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +49,25 @@ def test_blocks_give_the_same_counts(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, parts))
 
 
+def test_a_word_longer_than_a_block(monkeypatch, spark):
+    """Cut anywhere, each n-gram comes once, in predictions and in profiles; nothing grows with the word."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdé") for _ in range(n)) for n in (1, 2, 3, 9, 10, 11, 19, 20, 21, 40, 200)]
+    texts += [f"a bb {x} c{x}, {x}" for x in texts] + ["ab İİİİİİİİİİİİİİİİİİİİİİ " * 3, " " * 50 + "x" * 50 + " " * 50]
+    whole = [language_id.counted(t) for t in texts]
+    one = [x for x in language_id.gram_counts(iter([pd.DataFrame({"lang": ["l"] * len(texts), "text": texts})]))]
+    sums = pd.concat(one).groupby("gram").n.sum()
+    for size in (5, 10, 16):
+        monkeypatch.setattr(language_id, "BLOCK", size)
+        assert all(len(b) <= 2 * size for t in texts for b, *_ in language_id.blocks(t))
+        assert all("".join(b for b, *_ in language_id.blocks(t)) == t for t in texts)
+        for t, (found, n) in zip(texts, whole):
+            g, k = language_id.counted(t)
+            assert g.tolist() == found.tolist() and k.tolist() == n.tolist(), t
+        parts = pd.concat(list(language_id.gram_counts(iter([pd.DataFrame({"lang": ["l"] * len(texts), "text": texts})]))))
+        assert parts.groupby("gram").n.sum().to_dict() == sums.to_dict()
+
+
 def test_language_held_out(spark):
     d = "/root/testdata/sf0.01"
     rows = queries.op3_language(spark, d).collect()
