@@ -102,11 +102,16 @@ def clip_raster(pixel: DataFrame, runs: DataFrame, bounds: DataFrame, wanted: Da
     asked = runs.join(wanted.select("province_code").distinct(), "province_code", "left_semi")
     ok = pixel.filter(is_valid()).select(*keys, "row", "col", "radiation")
     cells = clip(ok, asked, most_runs).groupBy(*keys, "province_code", "row", "col").agg(F.max("radiation").alias("v"))
-    lines = cells.groupBy(*keys, "province_code", "row").agg(F.map_from_entries(F.collect_list(F.struct("col", "v"))).alias("cells"))
+    lines = cells.groupBy(*keys, "province_code", "row").agg(F.sort_array(F.collect_list(F.struct("col", "v"))).alias("cells"))
     frame = wanted.join(bounds.select("province_code", "row_first", "row_last", "col_first", "col_last"), "province_code")
     frame = frame.select(*keys, "province_code", F.explode(F.sequence("row_first", "row_last")).alias("row"), "col_first", "col_last")
     out = frame.join(lines, [*keys, "province_code", "row"], "left")
-    values = F.transform(F.sequence("col_first", "col_last"), lambda c: F.coalesce(F.try_element_at("cells", c), F.lit(float(nodata))))
+    # each cell after the gap before it, then the gap at the end
+    gap = lambda n: F.array_repeat(F.lit(float(nodata)), n)
+    before = lambda i: F.when(i == 0, F.col("col_first") - 1).otherwise(F.get("cells", i - 1)["col"])
+    filled = F.flatten(F.transform("cells", lambda c, i: F.concat(gap(c["col"] - before(i) - 1), F.array(c["v"]))))
+    rest = F.col("col_last") - F.element_at("cells", -1)["col"]
+    values = F.when(F.col("cells").isNull(), gap(F.col("col_last") - F.col("col_first") + 1)).otherwise(F.concat(filled, gap(rest)))
     return out.select(*keys, "province_code", "row", "col_first", values.alias("values"))
 
 
