@@ -18,6 +18,8 @@ from lumenfield.sources.shared import stash
 
 #: Edges of a tile, about.
 PER_TILE = 64
+#: A tile with more times that is a crowd.
+CROWD = 8
 TILE = ["tile_x", "tile_y"]
 
 
@@ -60,11 +62,19 @@ def tiled(edges: DataFrame, per_tile: int = PER_TILE) -> tuple[DataFrame, float]
 
     ``low`` and ``high`` bound the part; the edge itself stays whole, so equal edges of neighbours stay equal to the last bit.
     """
-    b = edges.agg(F.count("*").alias("n"), F.min(F.least("x1", "x2")).alias("west"), F.max(F.greatest("x1", "x2")).alias("east"), F.min("y1").alias("south"), F.max("y2").alias("north")).first()
+    span = F.sum(F.abs(F.col("x2") - F.col("x1")) + F.col("y2") - F.col("y1")).alias("span")
+    b = edges.agg(F.count("*").alias("n"), span, F.min(F.least("x1", "x2")).alias("west"), F.max(F.greatest("x1", "x2")).alias("east"), F.min("y1").alias("south"), F.max("y2").alias("north")).first()
     if not b["n"]:
         return edges.selectExpr("province_code", "1L tile_x", "1L tile_y", "x1 u1", "y1 v1", "x2 u2", "y2 v2", "y1 low", "y2 high").filter("false"), 1.0
     wide, tall = max(b["east"] - b["west"], 1e-9), max(b["north"] - b["south"], 1e-9)
     size = max(sqrt(wide * tall * per_tile / b["n"]), max(wide, tall) / 65536)
+    # smaller where edges crowd, as long as that doesn't cut them into very many parts
+    middle = lambda a, b, low, s: F.floor(((F.col(a) + F.col(b)) / 2 - low) / s)
+    while b["span"] / (size / 2) < 4 * b["n"]:
+        held = edges.groupBy(middle("x1", "x2", b["west"], size).alias("x"), middle("y1", "y2", b["south"], size).alias("y")).count()
+        if held.agg(F.max("count").alias("m")).first()["m"] <= CROWD * per_tile:
+            break
+        size /= 2
     unit = lambda c, low: ((F.col(c) - low) / size)
     rows = edges.select("province_code", unit("x1", b["west"]).alias("u1"), unit("y1", b["south"]).alias("v1"), unit("x2", b["west"]).alias("u2"), unit("y2", b["south"]).alias("v2"))
     left, right = F.least("u1", "u2"), F.greatest("u1", "u2")

@@ -105,6 +105,16 @@ def test_random_regions(spark, seed):
     check(spark, rings, per_tile=rng.choice([3, 9, 200]))
 
 
+def test_edges_that_crowd_in_one_place(spark):
+    """Many small regions in a corner of a large map: tiles get smaller there, and the result stays."""
+    rng = random.Random(12)
+    rings = [("00", square(0, 0, 1000))] + [(f"{k:02}", [(x + rng.random(), y), (x + 1, y + rng.random()), (x + 0.2, y + 1), (x - 0.3, y + 0.5)]) for k, (x, y) in enumerate(((rng.uniform(1, 6), rng.uniform(1, 6)) for _ in range(40)), 1)]
+    check(spark, rings, per_tile=2)
+    df = spark.createDataFrame([(c, [{"x": float(x), "y": float(y)} for x, y in r]) for c, r in rings], SCHEMA)
+    parts, size = overlap.tiled(overlap.directed(df), 2)
+    assert size < 100 and parts.groupBy(*overlap.TILE).count().agg(F.max("count")).first()[0] < 164
+
+
 def test_neighbours_with_a_common_border_share_nothing(spark):
     """A slanted border of many points, the same on both sides."""
     rng = random.Random(7)
