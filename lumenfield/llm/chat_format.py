@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumenfield.llm.common import stash
+
 MARK, END = "<|im_start|>", "<|im_end|>"
 #: Strings that a tokenizer may take for control tokens; none may stand in a text unescaped.
 CONTROLS = (MARK, END, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -169,7 +172,7 @@ def variant_layouts(df: DataFrame, column: str, id_col: str = "conv_id", registr
     whole = [(m, functools.reduce(lambda a, b: a & b, (has[p] for p in m.paths))) for m in order]
     kept = [F.when(functools.reduce(lambda a, b: a | b, (ok for m, ok in whole if p in m.paths)), F.lit(p)) for p in has]
     parsed = parsed.withColumn("__layout", F.substring(F.sha2(F.array_join(F.array_compact(F.array(*kept)), "\n"), 256), 1, 16))
-    which = F.create_map(*(F.lit(x) for k, m in table.items() for x in (k, order.index(m))))
+    which = F.from_json(F.lit(json.dumps({k: order.index(m) for k, m in table.items()})), "map<string, int>")
     parsed = parsed.withColumn("__use", F.try_element_at(which, F.col("__layout")))
     turns = F.lit(None).cast(TURNS)
     for i, use in enumerate(order):
@@ -181,7 +184,9 @@ def variant_layouts(df: DataFrame, column: str, id_col: str = "conv_id", registr
         else:
             own = turns_of(use, lambda c: F.try_variant_get("__v", step(c), "string"))
         turns = F.when(F.col("__use") == i, complete(own, use)).otherwise(turns)
-    out = parsed.select("conv_id", "value", F.when(F.col("value").isNull(), "null").when(F.col("__v").isNull(), "not JSON").when(F.col("__use").isNull(), "no mapping for this layout").alias("error"), turns.alias("turns"))
+    error = F.when(F.col("value").isNull(), "null").when(F.col("__v").isNull(), "not JSON").when(F.col("__use").isNull(), "no mapping for this layout")
+    # written once, for both results
+    out = stash(parsed.select("conv_id", F.when(error.isNotNull(), F.col("value")).alias("value"), error.alias("error"), turns.alias("turns")), "layouts")
     return out.filter("error IS NULL").select("conv_id", F.inline("turns")), out.filter("error IS NOT NULL").select("conv_id", "value", "error")
 
 
