@@ -193,7 +193,7 @@ def bpe_encode_decode(docs: DataFrame, tokenizer_file: str, cached: int = 1 << 1
     ``cached`` bounds what a worker remembers of words that it has seen (about 1 kB for each): fewer take more time and less memory.
 
     The tokenizer file is read on the driver and its content, of a fixed size, goes to the executors. Columns of ``docs`` with
-    these names are replaced.
+    these names are replaced. Repeated rows are coded alike, a very long text word by word, and an empty table gives no row.
     """
     shared = broadcast_file(docs, tokenizer_file)
 

@@ -225,7 +225,7 @@ def format_chats(turns: DataFrame, trained_role: str = "assistant") -> DataFrame
 
     ``formatted`` has ``<|im_start|>role\\ntext<|im_end|>\\n`` for each turn, by turn; ties are put in the order of role and text.
     ``loss_spans`` are ``(start, length)`` in code points of the texts of ``trained_role``. Turns without a ``conv_id`` are one
-    conversation; roles and texts may be null (then empty). One conversation is one row, so it has to fit in one: its turns meet in one task.
+    conversation; roles and texts may be null (then empty). Repeated turns are turns of their own, and an empty table gives no row. One conversation is one row, so it has to fit in one: its turns meet in one task.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"))

@@ -190,7 +190,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, least: float = 0.5, max_ro
 
     ``base_failed``: under 50 words, or over half of the words in repeated 3-word windows. ``kept``: the base rules
     hold and the trees give ``least`` or more. A null or empty text has no words and so fails. Without labels of both
-    classes the base rules decide alone (score null). Columns of ``docs`` with these names are replaced.
+    classes the base rules decide alone (score null). Repeated rows get the same result each, and an empty table none; a very long text is read
+    as a whole, one at a time. Columns of ``docs`` with these names are replaced.
     """
     trees = fit_quality(docs, labels, max_rows)
 

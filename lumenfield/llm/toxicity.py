@@ -193,8 +193,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = ("l
     """``docs`` with a probability ``p_<category>`` for each category and the boolean ``toxic`` (the last one's is ``least`` or more).
 
     ``labels`` has ``doc_id`` and a 0/1 column for each category, in the order of the chain. A null or empty text, or
-    one without a term, is never toxic. Without labels every probability is near 0. Columns of ``docs`` with the
-    same names are replaced.
+    one without a term, is never toxic. Without labels every probability is near 0. Repeated rows get the same result each, and an empty table none; a very long text
+    is read as a whole, one at a time. Columns of ``docs`` with the same names are replaced.
     """
     chain = fit_toxicity(docs, labels, categories, max_rows)
     names = [f"p_{c}" for c in categories]
