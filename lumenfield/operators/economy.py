@@ -73,3 +73,25 @@ def growth_by_basis(joined: DataFrame) -> DataFrame:
     rows = joined.filter(F.coalesce("month", F.lit(0)) == 0)
     grown = lambda b: F.round(growth_pct(f"gdp_{b}", at_offset(f"gdp_{b}", ["province_code"], "year", -1)), 4)
     return rows.withColumns({"growth_constant_pct": grown("constant"), "growth_current_pct": grown("current"), "deflator": F.when(F.col("gdp_constant") > 0, 100 * F.col("gdp_current") / F.col("gdp_constant"))})
+
+
+def derived_indicators(rows: DataFrame) -> DataFrame:
+    """Annual rows with four indicators of light against the economy and the country:
+
+    ``gdp_gap_pct``: GDP above (or below) what light predicts, in percent of that; ``light_per_gdp``: calibrated light by GDP; ``lit_intensity``: light of the lit area for each of its
+    square kilometres; ``national_share_pct``: the province's share of the year's light of its source, and ``share_shift``, in percentage points from the calendar year before.
+    Each is null where a part is missing or what it is divided by isn't above zero. A province without light is left out of the country's sum; months are no rows here.
+    """
+    annual = rows.filter(F.coalesce("month", F.lit(0)) == 0)
+    by = lambda a, b, k=1.0: F.when(b > 0, k * a / F.when(b > 0, b))
+    country = annual.groupBy("year", "source").agg(F.sum("sol").alias("__country"))
+    out = annual.join(country, ["year", "source"], "left")
+    out = out.withColumns(
+        {
+            "gdp_gap_pct": F.round(by(F.col("gdp") - F.col("predicted_gdp"), F.col("predicted_gdp"), 100.0), 4),
+            "light_per_gdp": by(F.col("sol_cal"), F.when(F.col("gdp") > 0, F.col("gdp"))),
+            "lit_intensity": F.round(by(F.col("lit_sol"), F.col("lit_area_km2")), 4),
+            "national_share_pct": F.round(by(F.col("sol"), F.col("__country"), 100.0), 6),
+        }
+    ).drop("__country")
+    return out.withColumn("share_shift", F.round(F.col("national_share_pct") - at_offset("national_share_pct", ["province_code", "source"], "year", -1), 6))

@@ -87,6 +87,17 @@ def light_economy(spark, d):
     return out.select("province_code", "year", "population", "gdp", "sol", "sol_cal", "sol_per_capita", "light_gdp_elasticity", "predicted_gdp")
 
 
+@query(f"""{S.JOINED}, g AS (SELECT regr_intercept(ln(gdp), ln(sol_cal)) AS a, regr_slope(ln(gdp), ln(sol_cal)) AS b FROM j WHERE year >= 2014 AND sol_cal > 0 AND gdp > 0 HAVING count(*) >= 10),
+    p AS (SELECT *, CASE WHEN sol_cal > 0 THEN exp((SELECT a FROM g) + (SELECT b FROM g) * ln(sol_cal)) END AS predicted, sum(sol) OVER (PARTITION BY year, source) AS country FROM j),
+    n AS (SELECT *, CASE WHEN country > 0 THEN round(100 * sol / country, 6) END AS share FROM p)
+    SELECT province_code, year, source, round(100 * (gdp - predicted) / predicted, 4) AS gdp_gap_pct, round(1e9 * sol_cal / gdp, 6) AS light_per_gdp_e9, CASE WHEN lit_area_km2 > 0 THEN round(lit_sol / lit_area_km2, 4) END AS lit_intensity, share AS national_share_pct,
+        round(share - max(share) OVER (PARTITION BY province_code, source ORDER BY year RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING), 6) AS share_shift FROM n""")
+def economy_indicators(spark, d):
+    """Light against GDP and against the country, for every province and year."""
+    out = economy.derived_indicators(with_indicators(spark, d))
+    return out.select("province_code", "year", "source", "gdp_gap_pct", F.round(F.col("light_per_gdp") * 1e9, 6).alias("light_per_gdp_e9"), "lit_intensity", "national_share_pct", "share_shift")
+
+
 @query(f"""{S.JOINED} SELECT 'G.' || province_code AS gid_1, province_name AS name_1, year, 0 AS month, population, round(gdp, 2) AS gdp, sol_raw, sol, lit_area_km2, lit_area_pct,
     round(sol_cal, 4) AS sol_cal, round(sol_cal / area_km2, 6) AS sol_density, {S.pct('sol_cal', S.PREVIOUS.format(c='sol_cal'))} AS sol_change_pct, 'sol_cal' AS light_basis,
     CASE WHEN gdp IS NULL THEN '' ELSE 'so_sanh' END AS grdp_price_basis, CASE WHEN gdp IS NULL THEN '' ELSE 'orders' END AS economy_source, 'DMSP_TO_VIIRS_POWER_OVERLAP2013_v1' AS calibration, obs_status FROM j""")

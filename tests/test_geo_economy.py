@@ -107,3 +107,17 @@ def test_models_are_fitted_on_the_same_rows(spark):
     assert (a["beta"], b["beta"], a["r2"]) == pytest.approx((0.8, 1.1, 1.0))
     assert (a["official"], b["official"]) == (True, False)
     assert economy.models_by_basis(joined).count() == 2 and economy.models_by_basis(joined, minimum=11).count() == 0
+
+
+def test_derived_indicators(spark):
+    schema = "province_code string, year int, month int, source string, sol double, sol_cal double, lit_sol double, lit_area_km2 double, gdp double, predicted_gdp double"
+    rows = [
+        ("01", 2014, 0, "VIIRS", 30.0, 30.0, 20.0, 4.0, 120.0, 100.0), ("02", 2014, 0, "VIIRS", 10.0, 10.0, 0.0, 0.0, 0.0, 50.0), ("03", 2014, 0, "VIIRS", None, None, None, None, None, None),
+        ("01", 2015, 0, "VIIRS", 30.0, 30.0, 20.0, 8.0, 90.0, 100.0), ("02", 2015, 0, "VIIRS", 30.0, 30.0, 1.0, 0.5, 5.0, 0.0), ("01", 2017, 0, "VIIRS", 0.0, 0.0, 0.0, 0.0, 1.0, None), ("01", 2013, 0, "DMSP", 7.0, 9.0, 1.0, 1.0, 3.0, 2.0), ("01", 2015, 6, "VIIRS", 99.0, 99.0, 9.0, 9.0, 9.0, 9.0),
+    ]
+    names = ("gdp_gap_pct", "light_per_gdp", "lit_intensity", "national_share_pct", "share_shift")
+    got = {(r["province_code"], r["year"]): tuple(r[c] for c in names) for r in economy.derived_indicators(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {
+        ("01", 2014): (20.0, 0.25, 5.0, 75.0, None), ("02", 2014): (-100.0, None, None, 25.0, None), ("03", 2014): (None,) * 5,
+        ("01", 2015): (-10.0, 30 / 90, 2.5, 50.0, -25.0), ("02", 2015): (None, 6.0, 2.0, 50.0, 25.0), ("01", 2017): (None, 0.0, None, None, None), ("01", 2013): (50.0, 3.0, 1.0, 100.0, None),
+    }
