@@ -146,3 +146,15 @@ def test_registered_province_counts_include_day_rows(spark, sf_dir):
     days = {(nations[s], d.year) for s, p, d in zip(line.l_suppkey, line.l_partkey, line.l_shipdate) if s in nations and p in parts}
     got = {int(r.province_code): r.day_rows for r in registry.QUERIES["provinces_with_counts"](spark, sf_dir).collect()}
     assert got == {i: sum(n == i for n, _ in days) for i in got} and sum(got.values()) == len(days) > 0
+
+
+def test_requests_with_unknown_codes_are_refused(spark):
+    asked = [" sol , gdp", "sol,gdp,", "sol;gdp", "SOL", "", " , ", None, "NDVI_mean", "sol,nope"]
+    rows = panel.checked_requests(spark.createDataFrame(list(enumerate(asked)), "i int, indicators string")).orderBy("i").collect()
+    assert [r.accepted for r in rows] == [panel.check_indicators(x.split(",")) if x is not None else None for x in asked]
+    assert [r.accepted for r in rows] == [["sol", "gdp"], ["sol", "gdp"], None, None, None, None, None, ["NDVI_mean"], None]
+
+
+def test_flags_are_explained(spark):
+    rows = quality.explained(spark.createDataFrame([("A",), ("B",), ("L",), ("O",), ("U",), (None,), ("x",)], "obs_status string")).collect()
+    assert [r.flag_text for r in rows] == [None, quality.FLAGS["B"], quality.FLAGS["L"], quality.FLAGS["O"], quality.FLAGS["U"], None, None]
