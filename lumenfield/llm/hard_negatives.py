@@ -62,7 +62,8 @@ class Bucket:
         self.uids, self.ids, self.labels, self.q = uids, ids, labels, q
         self.norms = np.sqrt((q.astype(np.float64) ** 2).sum(1))
         self.longest = float(self.norms.max()) if len(q) else 0.0
-        self.order = None
+        self.order = self.real = None
+        self.greatest = float(np.abs(q).max(initial=0))
 
     def sort(self) -> None:
         self.unit = self.q / np.where(self.norms > 0, self.norms, 1.0)[:, None]
@@ -95,15 +96,17 @@ class Bucket:
             found = found[(x >= low) & (x <= high)]
         return found
 
-    def scores(self, anchor: np.ndarray, at: np.ndarray | None) -> np.ndarray:
-        """Exact inner products."""
-        rows = self.q if at is None else self.q[at]
-        most = float(np.abs(self.q).max(initial=0)) * float(np.abs(anchor).max(initial=0)) * self.q.shape[1]
+    def scores(self, anchor: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Exact inner products of the vectors at these places. Where they are many, all are multiplied, which is faster than taking them out first."""
+        most = self.greatest * float(np.abs(anchor).max(initial=0)) * self.q.shape[1]
         if most >= 2.0**56:
             raise OverflowError("scores are too large for a long")
-        if most < 2.0**53:
-            return (rows.astype(np.float64) @ anchor.astype(np.float64)).astype(np.int64)
-        return rows @ anchor
+        if most >= 2.0**53:
+            return self.q[at] @ anchor
+        if self.real is None:
+            self.real = self.q.astype(np.float64)
+        anchor = anchor.astype(np.float64)
+        return ((self.real @ anchor)[at] if 4 * len(at) > len(self.real) else self.real[at] @ anchor).astype(np.int64)
 
 
 def best(scores: np.ndarray, ids: np.ndarray, uids: np.ndarray, k: int) -> np.ndarray:
@@ -147,7 +150,7 @@ def probe(index: DataFrame, anchors: DataFrame, copies: int, k: int, bands: tupl
     def matches(bucket: Bucket, uid: int, vec_id: int | None, label: int, anchor: np.ndarray, theta: float | None, wanted: Sequence[tuple]) -> Iterator[tuple]:
         width = max(bucket.q.shape[1], len(anchor))
         if width > bucket.q.shape[1]:
-            bucket.q, bucket.order = widened(bucket.q, width), None
+            bucket.q, bucket.order, bucket.real = widened(bucket.q, width), None, None
         anchor = widened(anchor[None, :], width)[0]
         at = bucket.candidates(anchor, theta)
         if at is None:
@@ -231,6 +234,7 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, positives: int = 5, negat
     rows or anchors gives no row. Labels are integers. Scores must be under 2^56, else the job fails.
     """
     anchors = rows.filter(is_anchor)
+    low, whole, _ = bands
     copies = max(1, -(-anchors.count() // ANCHORS))
     index, sizes = buckets(rows, F.col("label").cast("long"), chunk)
     index = stash(index, "by-label")
@@ -243,11 +247,18 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, positives: int = 5, negat
     near = ranked(probe(index, sent_to(asked, sizes), copies, positives, None), ["anchor_uid"], positives)
     # a band below zero is empty
     near = near.filter("score >= 0").groupBy(F.col("anchor_uid").alias("uid")).agg(F.sort_array(F.collect_list(F.struct("rank", "uid", "vec_id", "score"))).alias("p"))
-    low, whole, _ = bands
     theta = F.array_min("p.score") * F.lit(low / whole)
     wanted = stash(near.select("uid", theta.alias("theta"), F.col("p.uid").alias("for_uid"), F.col("p.vec_id").alias("for_id"), F.col("p.score").alias("for_score")), "positives")
     index, sizes = buckets(rows, F.lit(0), chunk)
+    index = stash(index, "by-length")
     asked = anchors.withColumn("key", F.lit(0).cast("long")).join(wanted, "uid")
+    # the fullest bucket again raises the threshold, to the worst of what it has for each positive
+    first = sizes.groupBy("key").agg(F.max_by("bucket", F.struct("n", "bucket")).alias("bucket")).withColumn("chunk", F.lit(0).cast("long"))
+    seeds = probe(index.join(first, ["key", "bucket", "chunk"], "left_semi"), asked.join(F.broadcast(first), "key"), copies, negatives, bands)
+    worst = ranked(seeds, ["anchor_uid", "for_uid"], negatives).filter(F.col("rank") == negatives).select(F.col("anchor_uid").alias("uid"), "for_uid", F.col("score").alias("worst"))
+    each = wanted.select("uid", F.explode(F.arrays_zip("for_uid", "for_score")).alias("p")).select("uid", "p.for_uid", "p.for_score")
+    raised = each.join(worst, ["uid", "for_uid"], "left").groupBy("uid").agg(F.min(F.coalesce(F.col("worst").cast("double"), F.col("for_score") * F.lit(low / whole))).alias("theta"))
+    asked = stash(asked.drop("theta").join(raised, "uid"), "raised")
     # as many buckets as lengths have eighths of octaves
     far = probe(index, sent_to(asked, F.broadcast(sizes)), copies, negatives, bands)
     out = ranked(far, ["anchor_uid", "for_uid"], negatives)
