@@ -54,10 +54,8 @@ def boundary_problems(spark, d):
 
 def _image_meta(spark, d):
     """Every annual VIIRS image that a nation could have, with a tag, a path and a number of bands; some were never taken."""
-    years = spark.range(2013, 2017).select(F.col("id").cast("int").alias("year"))
     own = A.provinces(spark, d).select("province_code", "province_name", "area_km2", "number")
-    # a request: nations by four years
-    rows = own.crossJoin(F.broadcast(years))
+    rows = own.withColumn("year", F.explode(F.sequence(F.lit(2013), F.lit(2016))))
     n = F.col("number")
     return rows.select(
         "province_code", "province_name", "year", F.lit(0).alias("month"), F.lit("VIIRS").alias("source"), F.concat_ws("_", F.lit("viirs"), "province_code", "year").alias("path"), "area_km2",
