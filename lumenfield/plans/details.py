@@ -172,11 +172,14 @@ def export_panel_lines(spark, d):
 
 
 @query(f"""{S.ANNUAL_AND_ECONOMY}, day AS ({S.DAY_ROWS}), {inputs.ENTRIES.replace('images AS', 'pictures AS')}, own AS (SELECT * FROM ac WHERE province_code = '05' AND year BETWEEN 2007 AND 2014),
-    w AS (SELECT min(year) <= 2009 AND max(year) >= 2010 AS crosses, count(DISTINCT source) > 1 AS mixed FROM own)
+    w AS (SELECT min(year) <= 2009 AND max(year) >= 2010 AS crosses, count(DISTINCT source) > 1 AS mixed FROM own),
+    gaps AS (SELECT 'light' AS part, 'no light rows in 2007-2014' AS said FROM own HAVING count(*) = 0 UNION ALL SELECT 'day', 'no day rows in 2007-2014' FROM day WHERE province_code = '05' AND year BETWEEN 2007 AND 2014 HAVING count(*) = 0
+        UNION ALL SELECT 'economy', 'no economy rows in 2007-2014' FROM econ WHERE province_code = '05' AND year BETWEEN 2007 AND 2014 HAVING count(*) = 0 UNION ALL SELECT 'images', 'no images of these years' FROM pictures WHERE month = 0 AND year BETWEEN 2007 AND 2014 HAVING count(*) = 0)
     SELECT 'light' AS part, CAST(year AS VARCHAR) AS item, source AS detail, round(sol, 4) AS value FROM own UNION ALL SELECT 'day', CAST(year AS VARCHAR), 'S2', round(ndvi, 4) FROM day WHERE province_code = '05' AND year BETWEEN 2007 AND 2014
     UNION ALL SELECT 'economy', CAST(year AS VARCHAR), 'orders', round(population, 4) FROM econ WHERE province_code = '05' AND year BETWEEN 2007 AND 2014 UNION ALL SELECT 'images', CAST(year AS VARCHAR), kind || ' i' || seq, NULL FROM pictures WHERE month = 0 AND year BETWEEN 2007 AND 2014
     UNION ALL SELECT 'notes', topic, detail, NULL FROM (SELECT 'province' AS topic, '05 ' || n_name AS detail FROM nation WHERE n_nationkey = 5 UNION ALL VALUES ('years', '2007-2014'), {", ".join(f"('file', '{x}')" for x in export.BUNDLE_FILES)}, {", ".join(f"('sensor', '{x}')" for x in export.IMAGES)})
-    UNION ALL SELECT 'notes', 'caution', '{quality.BREAK_2010}', NULL FROM w WHERE crosses UNION ALL SELECT 'notes', 'caution', '{quality.USE_CALIBRATED}', NULL FROM w WHERE mixed""")
+    UNION ALL SELECT 'notes', 'caution', '{quality.BREAK_2010}', NULL FROM w WHERE crosses UNION ALL SELECT 'notes', 'caution', '{quality.USE_CALIBRATED}', NULL FROM w WHERE mixed
+    UNION ALL SELECT 'notes', 'gap', said, NULL FROM gaps UNION ALL SELECT part, '# ' || said, NULL, NULL FROM gaps""")
 def export_bundle_contents(spark, d):
     """What the files of a province's bundle say, read back."""
     path = shared_path(spark, "bundle")
