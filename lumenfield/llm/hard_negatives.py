@@ -217,12 +217,27 @@ def ranked(matches: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
     return matches.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def reached(longest: Column) -> Column:
+    """Whether a bucket is long enough for the threshold of an anchor; a little below, as lengths are rounded."""
+    return F.col("theta").isNull() | (F.col("theta") <= 0) | (F.col("norm") * longest >= F.col("theta") * (1 - 1e-9))
+
+
+def by_chunk(anchors: DataFrame) -> DataFrame:
+    return anchors.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks", "longest")
+
+
 def sent_to(anchors: DataFrame, sizes: DataFrame) -> DataFrame:
     """Anchors, once for each chunk of the buckets of their key that are long enough for their threshold."""
     own = anchors.join(sizes.select("key", "bucket", "chunks", "longest"), "key")
-    # a little below, as lengths are rounded
-    far = F.col("theta").isNull() | (F.col("theta") <= 0) | (F.col("norm") * F.col("longest") >= F.col("theta") * (1 - 1e-9))
-    return own.filter(far).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks", "longest")
+    return by_chunk(own.filter(reached(F.col("longest"))))
+
+
+def sent_to_all(anchors: DataFrame, sizes: list) -> DataFrame:
+    """The same where there is one key: its buckets, as many as lengths have eighths of octaves (some 240 at most, as scores are under 2^56), are given as a list."""
+    each = F.array(*(F.struct(F.lit(r["bucket"]).alias("bucket"), F.lit(r["chunks"]).alias("chunks"), F.lit(r["longest"]).alias("longest")) for r in sizes))
+    each = each.cast("array<struct<bucket: int, chunks: bigint, longest: double>>")
+    own = anchors.withColumn("__b", F.explode(F.filter(each, lambda b: reached(b["longest"]))))
+    return by_chunk(own.select(*anchors.columns, "__b.*"))
 
 
 def hard_negatives(rows: DataFrame, is_anchor: Column, positives: int = 5, negatives: int = 3, bands: tuple[int, int, int] = (50, 100, 95), chunk: int = CHUNK) -> DataFrame:
@@ -253,13 +268,13 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, positives: int = 5, negat
     index = stash(index, "by-length")
     asked = anchors.withColumn("key", F.lit(0).cast("long")).join(wanted, "uid")
     # the fullest bucket again raises the threshold, to the worst of what it has for each positive
-    first = sizes.groupBy("key").agg(F.max_by("bucket", F.struct("n", "bucket")).alias("bucket")).withColumn("chunk", F.lit(0).cast("long"))
-    seeds = probe(index.join(first, ["key", "bucket", "chunk"], "left_semi"), asked.join(F.broadcast(first), "key"), copies, negatives, bands)
+    known = sizes.select("bucket", "chunks", "longest", "n").collect()
+    fullest = max(((r["n"], r["bucket"]) for r in known), default=(0, 0))[1]
+    seeds = probe(index.filter((F.col("bucket") == fullest) & (F.col("chunk") == 0)), asked.withColumns({"bucket": F.lit(fullest), "chunk": F.lit(0).cast("long")}), copies, negatives, bands)
     worst = ranked(seeds, ["anchor_uid", "for_uid"], negatives).filter(F.col("rank") == negatives).select(F.col("anchor_uid").alias("uid"), "for_uid", F.col("score").alias("worst"))
     each = wanted.select("uid", F.explode(F.arrays_zip("for_uid", "for_score")).alias("p")).select("uid", "p.for_uid", "p.for_score")
     raised = each.join(worst, ["uid", "for_uid"], "left").groupBy("uid").agg(F.min(F.coalesce(F.col("worst").cast("double"), F.col("for_score") * F.lit(low / whole))).alias("theta"))
     asked = stash(asked.drop("theta").join(raised, "uid"), "raised")
-    # as many buckets as lengths have eighths of octaves
-    far = probe(index, sent_to(asked, F.broadcast(sizes)), copies, negatives, bands)
+    far = probe(index, sent_to_all(asked, known), copies, negatives, bands)
     out = ranked(far, ["anchor_uid", "for_uid"], negatives)
     return out.select("anchor_id", F.col("for_id").alias("positive_id"), F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("negative_id"), F.col("for_score").alias("positive_score"), F.col("score").alias("negative_score"))
